@@ -1,0 +1,89 @@
+"""Compare named queries with their SQL twins: ``python tests/check_oracle.py [sf] [name ...]``."""
+
+from __future__ import annotations
+
+import sys
+import time
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings "
+    "pages benchmark labels conversations"
+).split()
+
+
+def connect(sf_dir: str):
+    con = duckdb.connect()
+    con.execute("SET TimeZone = 'UTC'")
+    for name in TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+    return con
+
+
+def normal_type(text: str) -> str:
+    return {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER"}.get(text, text.upper())
+
+
+def difference(df, con, sql: str) -> str | None:
+    """What differs, or None. Column order and row order do not count."""
+    answer = con.execute(sql)
+    names = [d[0] for d in answer.description]
+    types = dict(zip(names, (str(d[1]) for d in answer.description)))
+    if sorted(names) != sorted(df.columns):
+        return f"columns {sorted(df.columns)} against {sorted(names)}"
+    for name, kind in df.dtypes:
+        if normal_type(kind) != types[name]:
+            return f"type of {name}: {kind} against {types[name]}"
+    order = sorted(names)
+    places = [names.index(n) for n in order]
+    expected = Counter(tuple(row[i] for i in places) for row in answer.fetchall())
+    found = Counter(tuple(row) for row in df.select(*order).collect())
+    if found != expected:
+        extra, missing = found - expected, expected - found
+        return (
+            f"{sum(found.values())} rows against {sum(expected.values())}; "
+            f"extra {list(extra)[:2]}; missing {list(missing)[:2]}"
+        )
+    return None
+
+
+def main() -> int:
+    from footfall.plans.oracle import ORACLE
+    from footfall.plans.queries import QUERIES
+    from footfall.session import build_session
+
+    sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
+    names = sys.argv[2:] or list(QUERIES)
+    folder = f"/root/testdata/sf{sf}"
+    spark = build_session(
+        "footfall-check",
+        **{
+            "spark.master": "local[8]",
+            "spark.sql.shuffle.partitions": "8",
+            "spark.driver.memory": "6g",
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+        },
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    con = connect(folder)
+    bad = 0
+    for name in names:
+        start = time.time()
+        try:
+            fault = difference(QUERIES[name](spark, folder), con, ORACLE[name])
+        except Exception as error:  # report and go on with the next query
+            fault = f"{type(error).__name__}: {str(error)[:1500]}"
+        bad += fault is not None
+        print(f"{name:28} {time.time() - start:6.2f}s {fault or 'ok'}", flush=True)
+    spark.stop()
+    return bad
+
+
+if __name__ == "__main__":
+    sys.exit(main())
