@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.schemas import VISIT_COLUMNS
@@ -13,13 +13,13 @@ from footfall.schemas import VISIT_COLUMNS
 def dedup_visits(rows: DataFrame) -> DataFrame:
     """One row per (day, rowkey): the one with the latest ``formattime``.
 
-    Ties go to the larger row, column by column, so a rerun keeps the same rows.
-    ``max`` of a struct combines on the map side: a key that holds a third of the log
-    leaves each task as one row.
+    Ties go to the larger row, column by column, so a rerun keeps the same rows. Spark
+    turns the rank filter into a group limit that also runs before the shuffle: a key
+    that holds a third of the log leaves each task as one row.
     """
     rest = [c for c in rows.columns if c not in ("day", "rowkey", "formattime")]
-    latest = F.max(F.struct("formattime", *rest)).alias("v")
-    return rows.groupBy("day", "rowkey").agg(latest).select("rowkey", "v.*", "day")
+    latest = Window.partitionBy("day", "rowkey").orderBy(*[F.desc(c) for c in ("formattime", *rest)])
+    return rows.withColumn("_rank", F.row_number().over(latest)).where(F.col("_rank") == 1).drop("_rank")
 
 
 def visits_by(visits: DataFrame, *columns: str) -> DataFrame:

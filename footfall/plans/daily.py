@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from footfall.functions.agents import with_agent
 from footfall.operators.cells import sort_for_bulk_load, to_cells
 from footfall.operators.geo import with_geo
 from footfall.operators.visits import browser_stat, dedup_visits, region_stat, storable, visit_cube
 from footfall.schemas import GEO_COLUMNS, VISIT_COLUMNS, VISIT_SCHEMA
 from footfall.sinks.tables import read_days, write_day, write_report
-from footfall.sources.access_log import accepted, parse_lines, rejected, with_agent, with_key
+from footfall.sources.access_log import accepted, parse_lines, rejected, with_key
 
 BARE_COLUMNS = tuple(c for c in VISIT_COLUMNS if c not in GEO_COLUMNS)
 FAMILY = "info"

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from footfall.functions.agents import with_agent
 from footfall.operators import cells as cell_ops
 from footfall.operators import order_stats as stats
 from footfall.operators import ordering
@@ -26,7 +27,7 @@ from footfall.schemas import (
 from footfall.session import scratch_path
 from footfall.sinks.messages import write_messages
 from footfall.sinks.tables import read_days, write_days
-from footfall.sources.access_log import accepted, parse_lines, rejected, typed_view, with_agent, with_key
+from footfall.sources.access_log import accepted, parse_lines, rejected, typed_view, with_key
 from footfall.sources.orders import accepted_orders, parse_orders, rejected_orders, to_messages
 from footfall.sources.products import parse_products
 from footfall.streaming.order_stream import read_totals, start_order_stream

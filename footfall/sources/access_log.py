@@ -2,20 +2,17 @@
 
 A line reads: ip identity user [time zone] "method url protocal" status bytes "host"
 "referer" - "ua" and a tail that is not used. The server escapes quotes inside a
-field, so the quotes cut every line at the same places. Cutting there and once more
-at the blanks is about five times cheaper per line than one regular expression and
-thirty times cheaper than one ``regexp_extract`` per field.
+field, so the quotes cut every line at the same places. Two rounds of splitting, at the
+quotes and then at the blanks, cost about a sixth of one ``regexp_extract`` per field.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.functions.agents import browser, operating_system
-from footfall.functions.clock import format_time
+from footfall.functions.clock import log_instant, minute_digits, wall_clock
 from footfall.functions.keys import visit_key
-from footfall.schemas import AGENT_COLUMNS, LINE_FIELDS
 
 REJECT_COLUMNS = ("value", "reject_reason")
 
@@ -30,77 +27,64 @@ def read_lines(spark: SparkSession, root: str, day: str) -> DataFrame:
     return spark.read.text(day_path(root, day))
 
 
-def _digits(text: Column) -> Column:
-    return (text != "") & (F.translate(text, "0123456789", "") == "")
-
-
-def _line_struct(line: Column) -> Column:
-    """Fields of one line as a struct; null when the line has another layout."""
-    quoted = F.split(line, '"')
-
-    def piece(i: int) -> Column:
-        return F.get(quoted, F.lit(i))
-
-    head = F.split(piece(0), " ")  # ip, identity, user, [time, zone], ""
-    request = F.split(piece(1), " ", 3)
-    numbers = F.split(piece(2), " ")  # "", status, bytes, ""
-
-    def word(words: Column, i: int) -> Column:
-        return F.get(words, F.lit(i))
-
-    opening, closing = word(head, 3), word(head, 4)
-    status, sent = word(numbers, 1), word(numbers, 2)
-    well_formed = (
-        (F.size(quoted) >= 9)
-        & ~line.contains("\n")
-        & (F.size(head) == 6)
-        & (word(head, 0) != "")
-        & (word(head, 1) != "")
-        & (word(head, 2) != "")
-        & opening.startswith("[")
-        & closing.endswith("]")
-        & (word(head, 5) == "")
-        & (F.size(request) == 3)
-        & (word(request, 0) != "")
-        & (word(request, 1) != "")
-        & (word(request, 2) != "")
-        & (F.size(numbers) == 4)
-        & (word(numbers, 0) == "")
-        & (F.length(status) == 3)
-        & _digits(status)
-        & (_digits(sent) | (sent == "-"))
-        & (word(numbers, 3) == "")
-        & (piece(4) == " ")
-        & piece(6).isin(" ", " - ")
-    )
-    values = (
-        word(head, 0),
-        F.concat(opening, F.lit(" "), closing),
-        word(request, 0),
-        word(request, 1),
-        word(request, 2),
-        status,
-        sent,
-        piece(3),
-        piece(5),
-        piece(7),
-    )
-    return F.when(well_formed, F.struct(*[v.alias(n) for n, v in zip(LINE_FIELDS, values)]))
+# One expression per requirement, over the pieces named in parse_lines.
+_LAYOUT = (
+    "size(quoted) >= 9",
+    r"NOT contains(value, '\n')",
+    # ip, identity, user, [time, zone], ""
+    "size(head) = 6",
+    "get(head, 0) <> '' AND get(head, 1) <> '' AND get(head, 2) <> ''",
+    "startswith(get(head, 3), '[') AND endswith(get(head, 4), ']') AND get(head, 5) = ''",
+    # method, url, protocal
+    "size(request) = 3",
+    "get(request, 0) <> '' AND get(request, 1) <> '' AND get(request, 2) <> ''",
+    # "", status, bytes, ""
+    "size(numbers) = 4",
+    "get(numbers, 0) = '' AND get(numbers, 3) = ''",
+    "length(get(numbers, 1)) = 3 AND translate(get(numbers, 1), '0123456789', '') = ''",
+    "get(numbers, 2) <> '' AND (get(numbers, 2) = '-' OR translate(get(numbers, 2), '0123456789', '') = '')",
+    "get(quoted, 4) = ' ' AND get(quoted, 6) IN (' ', ' - ')",
+)
+
+_FIELDS = {
+    "ip": "get(head, 0)",
+    "time": "time",
+    "method": "get(request, 0)",
+    "url": "get(request, 1)",
+    "protocal": "get(request, 2)",
+    "status": "get(numbers, 1)",
+    "bytessent": "get(numbers, 2)",
+    "host": "get(quoted, 3)",
+    "referer": "get(quoted, 5)",
+    "ua": "get(quoted, 7)",
+}
 
 
 def parse_lines(lines: DataFrame, tz: str = "UTC") -> DataFrame:
     """Add the line's fields, ``formattime`` and ``reject_reason`` to column ``value``.
 
-    A good row has a null ``reject_reason``; a bad one says why and keeps its text, so
-    one damaged line never fails the job.
+    A good row has a null ``reject_reason``; a bad one says why, has null fields and
+    keeps its text, so one damaged line never fails the job.
     """
-    # explode of a one-element array keeps the cut below the filters that callers add;
-    # as a plain projection it would be repeated inside each of them.
-    cut = lines.select("value", F.explode(F.array(_line_struct(F.col("value")))).alias("f"))
-    fields = cut.select("value", "f.*", F.col("f").isNull().alias("no_layout"))
-    timed = fields.withColumn("formattime", format_time(F.col("time"), tz))
-    reason = F.when(F.col("no_layout"), "layout").when(F.col("formattime").isNull(), "time")
-    return timed.withColumn("reject_reason", reason).drop("no_layout")
+    # get() and not [], which fails on a short array: common parts are evaluated up front.
+    pieces = lines.selectExpr("value", "split(value, '\"') AS quoted").selectExpr(
+        "value",
+        "quoted",
+        "split(get(quoted, 0), ' ') AS head",
+        "split(get(quoted, 1), ' ', 3) AS request",
+        "split(get(quoted, 2), ' ') AS numbers",
+    )
+    checked = pieces.withColumn("ok", F.expr(f"coalesce({' AND '.join(_LAYOUT)}, false)"))
+    timed = checked.withColumn("time", F.expr("CASE WHEN ok THEN concat(get(head, 3), ' ', get(head, 4)) END"))
+    walled = timed.withColumn("wall", wall_clock(log_instant(F.col("time")), tz))
+    stamped = walled.withColumn("formattime", minute_digits(F.col("wall")))
+    fields = ", ".join(f"'{name}', {text}" for name, text in _FIELDS.items())
+    row = f"CASE WHEN ok AND formattime IS NOT NULL THEN named_struct({fields}, 'formattime', formattime) END"
+    reason = "CASE WHEN NOT ok THEN 'layout' WHEN formattime IS NULL THEN 'time' END"
+    # explode of a one-element array: as plain projections all of the above would be
+    # repeated inside every filter that a caller adds.
+    whole = stamped.selectExpr("value", f"explode(array(named_struct('row', {row}, 'reason', {reason}))) AS cut")
+    return whole.selectExpr("value", "cut.row.*", "cut.reason AS reject_reason")
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
@@ -111,14 +95,6 @@ def rejected(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("reject_reason").isNotNull()).select(*REJECT_COLUMNS)
 
 
-def with_agent(rows: DataFrame) -> DataFrame:
-    """Add browser and operating system names and versions from column ``ua``."""
-    ua = F.col("ua")
-    classed = rows.withColumns({"_b": browser(ua), "_o": operating_system(ua)})
-    values = ("_b.name", "_b.version", "_o.name", "_o.version")
-    return classed.withColumns({n: F.col(v) for n, v in zip(AGENT_COLUMNS, values)}).drop("_b", "_o")
-
-
 def with_key(rows: DataFrame, day: str | None = None, digest: str = "crc32") -> DataFrame:
     """Add ``day`` and ``rowkey``. Without ``day`` each row's own day is taken."""
     value = F.substring("formattime", 1, 8) if day is None else F.lit(day)
