@@ -31,6 +31,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event table, spread over the cores where its file has too few splits.
+
+    A table large enough to have a split per core is read as it lies.
+    """
+    rows = table(spark, sf_dir, "events")
+    cores = spark.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def _pick(values: tuple[str, ...], index: Column) -> Column:
     return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
 
@@ -41,7 +51,6 @@ def _k() -> Column:
 
 def access_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One access-log line per event, in column ``value``."""
-    events = table(spark, sf_dir, "events")
     user, ts = F.col("user_id"), F.col("ts")
     digits = second_digits(ts)
 
@@ -62,7 +71,7 @@ def access_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id") % 5000, F.lit(' "www.example.com" "'), referer, F.lit('" - "'),
         _pick(USER_AGENTS, user % len(USER_AGENTS)), F.lit('" "-" 10.100.0.1:80 '), status, F.lit(" 0.001 0.001"),
     )
-    return events.select(line.alias("value"))
+    return events(spark, sf_dir).select(line.alias("value"))
 
 
 def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,10 +88,10 @@ def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_rows(events: DataFrame) -> DataFrame:
+def order_rows(rows: DataFrame) -> DataFrame:
     """Events as order rows, every field a string; purchases count as paid."""
     paid = F.when(F.col("event_type") == "purchase", F.lit("1")).otherwise(F.lit("0"))
-    return events.select(
+    return rows.select(
         second_digits(F.col("ts")).alias("time"),
         F.col("user_id").cast("string").alias("userid"),
         (F.col("event_id") % 500).cast("string").alias("courseid"),

@@ -60,7 +60,7 @@ def _stored_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return to_messages(derived.order_rows(derived.table(spark, sf_dir, "events")))
+    return to_messages(derived.order_rows(derived.events(spark, sf_dir)))
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,132 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from footfall.functions.clock import between_brackets, format_time
+from footfall.plans.derived import USER_AGENTS
+from footfall.sources.access_log import accepted, day_path, parse_lines, read_lines, rejected, typed_view
+
+TAIL = '"-" 10.0.0.7:80 200 0.172 0.172'
+
+
+def line(ip="8.8.8.8", time="30/Jan/2019:00:00:21 +0800", request="GET /a/b?c=d HTTP/1.1", status="200", sent="12800",
+         host="www.example.com", referer="https://www.example.com/x", dash=" - ", ua=USER_AGENTS[1], tail=TAIL):
+    return f'{ip} - - [{time}] "{request}" {status} {sent} "{host}" "{referer}"{dash}"{ua}" {tail}'
+
+
+GOOD = [
+    line(ua=USER_AGENTS[0]),
+    line(ip="9.9.9.9", referer="-", ua=USER_AGENTS[2]),
+    line(request="GET /u/card%20?cb=jQuery1_1&_=2 HTTP/1.1"),
+    line(ua=USER_AGENTS[3], referer="-"),
+    line(ua=USER_AGENTS[4], status="301", sent="178", tail='"-" - - - 0.000'),
+    line(dash=" "),
+    line(sent="-"),
+    line(request="POST / HTTP/2.0 extra"),
+    line(ua=""),
+    line(host="", referer=""),
+]
+
+BAD = {
+    "": "layout",
+    "plain prose without any structure": "layout",
+    line().replace("[", "").replace("]", ""): "layout",
+    line()[:90]: "layout",
+    line(request="GET"): "layout",
+    line(request="\\x16\\x03\\x01"): "layout",
+    line(status="20"): "layout",
+    line(status="2x0"): "layout",
+    line(sent="12k"): "layout",
+    line(sent=""): "layout",
+    line(dash=" + "): "layout",
+    '" " " " " " " " " "': "layout",
+    '"' * 12: "layout",
+    line(time="30/Foo/2019:00:00:21 +0800"): "time",
+    line(time="31/Feb/2019:00:00:21 +0800"): "time",
+    line(time="2019-01-30 00:00:21"): "time",
+}
+
+
+def lines(spark, *values):
+    return spark.createDataFrame([(v,) for v in values], "value string")
+
+
+def test_every_layout_variant_is_read(spark):
+    rows = accepted(parse_lines(lines(spark, *GOOD))).collect()
+    assert len(rows) == len(GOOD)
+    assert {r.formattime for r in rows} == {"201901291600"}
+    first = next(r for r in rows if r.ua == USER_AGENTS[0])
+    assert (first.ip, first.time, first.method, first.url, first.protocal) == (
+        "8.8.8.8", "[30/Jan/2019:00:00:21 +0800]", "GET", "/a/b?c=d", "HTTP/1.1",
+    )
+    assert (first.status, first.bytessent, first.host) == ("200", "12800", "www.example.com")
+    assert first.referer == "https://www.example.com/x"
+    assert {"HTTP/2.0 extra"} == {r.protocal for r in rows if r.method == "POST"}
+
+
+def test_bad_lines_come_back_whole_with_a_reason(spark):
+    parsed = parse_lines(lines(spark, *BAD, *GOOD))
+    assert {r.value: r.reject_reason for r in rejected(parsed).collect()} == BAD
+    assert accepted(parsed).count() == len(GOOD)
+
+
+def test_a_value_with_a_line_break_is_not_one_line(spark):
+    assert rejected(parse_lines(lines(spark, line(ua="a\nb")))).count() == 1
+
+
+@pytest.mark.parametrize(
+    "tz, expected",
+    [("UTC", "201901291600"), ("Asia/Shanghai", "201901300000"), ("America/New_York", "201901291100")],
+)
+@pytest.mark.parametrize("session_tz", ["UTC", "Asia/Shanghai"])
+def test_minute_follows_the_argument_not_the_session(spark, tz, expected, session_tz):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", session_tz)
+    try:
+        text = lines(spark, "[30/Jan/2019:00:00:21 +0800]")
+        assert text.select(format_time(F.col("value"), tz)).first()[0] == expected
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_daylight_saving_gap_of_the_session_zone_does_not_move_minutes(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        text = lines(spark, "[10/Mar/2019:02:30:00 +0000]")
+        assert text.select(format_time(F.col("value"), "UTC")).first()[0] == "201903100230"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_brackets_from_the_first_to_the_last(spark):
+    rows = lines(spark, "[a]", "x[a]b]y", "none", "[[a]]").select(between_brackets(F.col("value"))).collect()
+    assert [r[0] for r in rows] == ["a", "a]b", "", "[a]"]
+
+
+def test_unreadable_time_is_null(spark):
+    rows = lines(spark, "no brackets", "[]", "[garbage]").select(format_time(F.col("value"))).collect()
+    assert [r[0] for r in rows] == [None] * 3
+
+
+def test_typed_view(spark):
+    rows = typed_view(accepted(parse_lines(lines(spark, line(), line(sent="-"))))).select("status", "bytessent")
+    assert rows.dtypes == [("status", "int"), ("bytessent", "bigint")]
+    assert sorted(rows.collect(), key=str) == [(200, 12800), (200, None)]
+
+
+def test_filters_do_not_repeat_the_cut(spark, plan):
+    text = plan(accepted(parse_lines(lines(spark, line()))).where("status = '200'"))
+    assert text.count('split(value') == 1
+    assert "Python" not in text
+
+
+def test_day_folder(spark, tmp_path):
+    (tmp_path / "20190130").mkdir()
+    (tmp_path / "20190131").mkdir()
+    (tmp_path / "20190130" / "a.log").write_text("one\ntwo\n")
+    (tmp_path / "20190130" / "b.log").write_text("three\n")
+    (tmp_path / "20190131" / "a.log").write_text("four\n")
+    assert day_path("/access/", "20190130") == "/access/20190130/*"
+    assert {r.value for r in read_lines(spark, str(tmp_path), "20190130").collect()} == {"one", "two", "three"}
