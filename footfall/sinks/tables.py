@@ -24,11 +24,17 @@ def publish(spark: SparkSession, staged: str, target: str) -> None:
     aside, _ = _path(spark, f"{staged}-replaced")
     fs.mkdirs(final.getParent())
     replaced = fs.exists(final)
-    if replaced and not fs.rename(final, aside):
-        raise OSError(f"cannot move {target} aside")
-    if not fs.rename(new, final):
-        if replaced:
+    if replaced:
+        fs.mkdirs(aside.getParent())
+        if not fs.rename(final, aside):
+            raise OSError(f"cannot move {target} aside")
+    moved = False
+    try:
+        moved = fs.rename(new, final)
+    finally:
+        if replaced and not moved:
             fs.rename(aside, final)
+    if not moved:
         raise OSError(f"cannot move {staged} to {target}")
     if replaced:
         fs.delete(aside, True)

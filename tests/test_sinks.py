@@ -1,0 +1,138 @@
+from __future__ import annotations
+
+from pathlib import Path
+
+import pytest
+
+from footfall.schemas import BROWSER_STAT_SCHEMA
+from footfall.sinks import jdbc, tables
+from footfall.sinks.messages import write_messages
+
+
+def stat(spark, *rows):
+    return spark.createDataFrame([(b, c, d) for d, b, c in rows], BROWSER_STAT_SCHEMA)
+
+
+def content(spark, root):
+    return sorted((r.day, r.browser, r.cnt) for r in tables.read_days(spark, root, BROWSER_STAT_SCHEMA).collect())
+
+
+def test_rerun_replaces_only_its_day(spark, tmp_path):
+    root = str(tmp_path / "t")
+    tables.write_report(stat(spark, ("20240101", "Chrome", 1), ("20240101", "Edge", 2)), root, "20240101")
+    tables.write_report(stat(spark, ("20240102", "Chrome", 3)), root, "20240102")
+    tables.write_report(stat(spark, ("20240101", "Chrome", 9)), root, "20240101")
+    assert content(spark, root) == [("20240101", "Chrome", 9), ("20240102", "Chrome", 3)]
+    assert len(list(Path(root, "day=20240101").glob("*.parquet"))) == 1
+    assert list(Path(root, "_staging").iterdir()) == []
+
+
+def test_rerun_without_rows_empties_the_day(spark, tmp_path):
+    root = str(tmp_path / "t")
+    tables.write_day(stat(spark, ("20240101", "Chrome", 1)), root, "20240101")
+    tables.write_day(stat(spark), root, "20240101")
+    assert content(spark, root) == []
+
+
+def test_a_failing_rerun_keeps_the_old_day(spark, tmp_path):
+    root = str(tmp_path / "t")
+    tables.write_day(stat(spark, ("20240101", "Chrome", 1)), root, "20240101")
+    broken = stat(spark, ("20240101", "Chrome", 1)).selectExpr("browser", "raise_error('no') AS cnt", "day")
+    with pytest.raises(Exception):
+        tables.write_day(broken, root, "20240101")
+    assert content(spark, root) == [("20240101", "Chrome", 1)]
+
+
+def test_publish_puts_the_old_folder_back_when_the_move_fails(spark, tmp_path):
+    target = tmp_path / "day=1"
+    target.mkdir()
+    (target / "old").write_text("kept")
+    with pytest.raises(Exception):
+        tables.publish(spark, str(tmp_path / "_staging" / "missing"), str(target))
+    assert (target / "old").read_text() == "kept"
+
+
+def test_backfill_replaces_the_days_it_holds(spark, tmp_path):
+    root = str(tmp_path / "t")
+    tables.write_days(stat(spark, ("20240101", "Chrome", 1), ("20240102", "Chrome", 2)), root)
+    tables.write_days(stat(spark, ("20240102", "Edge", 5), ("20240103", "Edge", 6)), root)
+    assert content(spark, root) == [("20240101", "Chrome", 1), ("20240102", "Edge", 5), ("20240103", "Edge", 6)]
+
+
+def test_day_filter_prunes_folders_and_columns(spark, plan, tmp_path):
+    root = str(tmp_path / "t")
+    tables.write_days(stat(spark, ("20240101", "Chrome", 1), ("20240102", "Chrome", 2)), root)
+    text = plan(tables.read_days(spark, root, BROWSER_STAT_SCHEMA).where("day = '20240101'").select("browser"))
+    assert "PartitionFilters: [isnotnull(day" in text and "ReadSchema: struct<browser:string>" in text
+
+
+def test_cell_table_with_families(spark, tmp_path):
+    for _ in range(2):
+        tables.create_cell_table(spark, "people", str(tmp_path / "people"), ["info", "address"])
+    spark.sql("INSERT INTO people VALUES ('jepson', 'age', 1, '18', 'info')")
+    tables.create_cell_table(spark, "people", str(tmp_path / "people"), ["info", "address"])
+    assert spark.table("people").count() == 1
+    found = {tuple(r) for r in tables.list_families(spark).collect()}
+    assert found == {("people", "info"), ("people", "address")}
+    spark.sql("DROP TABLE people")
+
+
+def test_messages_are_appended(spark, tmp_path):
+    path = str(tmp_path / "m")
+    write_messages(spark.createDataFrame([("a",)], "value string"), "text", path=path)
+    write_messages(spark.createDataFrame([("b",)], "value string"), "text", path=path)
+    assert {r.value for r in spark.read.text(path).collect()} == {"a", "b"}
+
+
+class Statement:
+    def __init__(self, log, sql, fail):
+        self.log, self.sql, self.fail, self.bound = log, sql, fail, []
+
+    def setString(self, i, value):  # noqa: N802
+        self.bound.append((i, value))
+
+    def executeUpdate(self):  # noqa: N802
+        if self.fail and self.sql.startswith(self.fail):
+            raise RuntimeError("refused")
+        self.log.append((self.sql, self.bound))
+
+
+class Connection:
+    """Stands in for a JDBC connection: no database may run beside the tests."""
+
+    def __init__(self, fail=None):
+        self.log, self.fail, self.auto = [], fail, True
+
+    def getAutoCommit(self):  # noqa: N802
+        return self.auto
+
+    def setAutoCommit(self, value):  # noqa: N802
+        self.auto = value
+
+    def prepareStatement(self, sql):  # noqa: N802
+        return Statement(self.log, sql, self.fail)
+
+    def commit(self):
+        assert not self.auto
+        self.log.append("commit")
+
+    def rollback(self):
+        self.log.append("rollback")
+
+
+def test_day_swap_is_one_transaction():
+    connection = Connection()
+    jdbc.swap_day(connection, "browser_stat", "browser_stat_staging", ["day", "browser", "cnt"], "20240101")
+    assert connection.log == [
+        ("DELETE FROM browser_stat WHERE day = ?", [(1, "20240101")]),
+        ("INSERT INTO browser_stat (day, browser, cnt) SELECT day, browser, cnt FROM browser_stat_staging", []),
+        "commit",
+    ]
+    assert connection.auto
+
+
+def test_failed_swap_rolls_back():
+    connection = Connection(fail="INSERT")
+    with pytest.raises(RuntimeError):
+        jdbc.swap_day(connection, "t", "s", ["day"], "d")
+    assert connection.log[-1] == "rollback" and connection.auto
