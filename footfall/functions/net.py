@@ -6,12 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def ip_number(ip: Column) -> Column:
-    """Dotted IPv4 text as a bigint; null for anything else, IPv6 included."""
-    parts = F.split(ip, r"\.")
-    octets = [F.get(parts, F.lit(i)).try_cast("bigint") for i in range(4)]
-    in_range = F.size(parts) == 4
-    for octet in octets:
-        in_range = in_range & octet.between(0, 255)
-    a, b, c, d = octets
-    return F.when(in_range, a * 16777216 + b * 65536 + c * 256 + d)
+def ip_number(ip: str) -> Column:
+    """Column ``ip`` (dotted IPv4 text) as a bigint; null for anything else, IPv6 included."""
+    parts = f"split({ip}, r'\\.')"
+    octets = [f"try_cast(get({parts}, {i}) AS BIGINT)" for i in range(4)]
+    valid = " AND ".join([f"size({parts}) = 4", *[f"{octet} BETWEEN 0 AND 255" for octet in octets]])
+    number = " + ".join(f"{octet} * {256 ** (3 - i)}" for i, octet in enumerate(octets))
+    return F.expr(f"CASE WHEN {valid} THEN {number} END")

@@ -113,7 +113,7 @@ def with_geo(
         raise ValueError(f"range table has {facts.broken} broken and {facts.overlaps} overlapping ranges")
 
     own = rows.columns
-    keyed = rows.withColumn("_ip", ip_number(F.col(ip)))
+    keyed = rows.withColumn("_ip", ip_number(ip))
     block = F.shiftright("_ip", 16)
     size = facts.bytes
     if facts.densest > DENSE:

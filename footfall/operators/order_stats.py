@@ -25,9 +25,12 @@ def _measures() -> dict[str, Column]:
     }
 
 
-def order_stats(orders: DataFrame, grain: str) -> DataFrame:
-    """total, success, fee per group of one grain."""
-    return orders.groupBy(*GRAINS[grain]).agg(*[m.alias(n) for n, m in _measures().items()])
+def order_stats(orders: DataFrame, grain: str, *also_by: Column) -> DataFrame:
+    """total, success, fee per group of one grain.
+
+    ``also_by`` adds group columns, such as the window that lets a watermark close groups.
+    """
+    return orders.groupBy(*also_by, *GRAINS[grain]).agg(*[m.alias(n) for n, m in _measures().items()])
 
 
 def paid_count_per_day(orders: DataFrame) -> DataFrame:
@@ -44,36 +47,24 @@ def _grain_name() -> Column:
     return F.when(level == 0, "minute").when(level == 1, "hour").otherwise("day")
 
 
-def order_stats_all_grains(orders: DataFrame) -> DataFrame:
-    """All three grains at once, marked by ``grain``.
-
-    The orders are added up per minute first; the grouping sets then multiply only
-    those few rows (1,440 a day at most), not the orders.
-    """
+def roll_up(minutes: DataFrame) -> DataFrame:
+    """Totals of all three grains, marked by ``grain``, from totals per minute."""
     sums = [F.sum(n).alias(n) for n in _measures()]
     sets = [list(columns) for columns in GRAINS.values()]
-    rolled = order_stats(orders, "minute").groupingSets(sets, "day", "hour", "minute")
+    rolled = minutes.groupingSets(sets, "day", "hour", "minute")
     # grouping_id has a bit for every column rolled away, minute being the lowest.
     level = F.grouping_id()
     grain = F.when(level == 0, "minute").when(level == 1, "hour").otherwise("day")
     return rolled.agg(grain.alias("grain"), *sums).select("grain", "day", "hour", "minute", *_measures())
 
 
-def order_stats_one_pass(orders: DataFrame, *also_by: Column) -> DataFrame:
-    """The same rows from a single aggregation, as a streaming query needs it.
+def order_stats_all_grains(orders: DataFrame) -> DataFrame:
+    """All three grains from one pass over the orders.
 
-    ``also_by`` adds grouping columns, such as the window that lets a watermark close
-    old groups.
+    Grouping sets multiply their input. Here that is the totals per minute, 1,440 rows
+    a day at most, and not the orders.
     """
-
-    def place(grain: str) -> Column:
-        parts = [(F.col(c) if c in GRAINS[grain] else F.lit(None).cast("string")).alias(c) for c in ("hour", "minute")]
-        return F.struct(F.lit(grain).alias("grain"), *parts)
-
-    places = orders.withColumn("_at", F.explode(F.array(*[place(g) for g in GRAINS])))
-    keys = ("_at.grain", "day", "_at.hour", "_at.minute")
-    totals = places.groupBy(*also_by, *keys).agg(*[m.alias(n) for n, m in _measures().items()])
-    return totals.select("grain", "day", "hour", "minute", *_measures())
+    return roll_up(order_stats(orders, "minute"))
 
 
 def to_counters(day_totals: DataFrame) -> DataFrame:

@@ -41,37 +41,35 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
 
 
-def _pick(values: tuple[str, ...], index: Column) -> Column:
-    return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
-
-
 def _k() -> Column:
     return F.get_json_object("props", "$.k").cast("bigint")
 
 
+def _pick(values: tuple[str, ...], index: str) -> str:
+    listed = ", ".join(f"'{v}'" for v in values)
+    return f"get(array({listed}), CAST({index} AS INT))"
+
+
 def access_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One access-log line per event, in column ``value``."""
-    user, ts = F.col("user_id"), F.col("ts")
-    digits = second_digits(ts)
-
-    def cut(start: int, length: int) -> Column:
-        return F.substring(digits, start, length)
-
-    time = F.concat(
-        F.lit("["), cut(7, 2), F.lit("/"), _pick(MONTHS, F.month(ts) - 1), F.lit("/"), cut(1, 4), F.lit(":"),
-        cut(9, 2), F.lit(":"), cut(11, 2), F.lit(":"), cut(13, 2), F.lit(" +0000]"),
-    )
-    ip = F.concat(F.lit("10."), (user * 37) % 200, F.lit("."), user % 256, F.lit(".1"))
-    url = F.concat(F.lit("/"), F.col("event_type"), F.lit("/"), _k() % 2)
-    status = F.when(F.col("event_type") == "error", F.lit("404")).otherwise(F.lit("200"))
-    page = F.concat(F.lit("https://www.example.com/"), F.col("event_type"))
-    referer = F.when(user % 3 == 0, F.lit("-")).otherwise(page)
-    line = F.concat(
-        ip, F.lit(" - - "), time, F.lit(' "GET '), url, F.lit(' HTTP/1.1" '), status, F.lit(" "),
-        F.col("event_id") % 5000, F.lit(' "www.example.com" "'), referer, F.lit('" - "'),
-        _pick(USER_AGENTS, user % len(USER_AGENTS)), F.lit('" "-" 10.100.0.1:80 '), status, F.lit(" 0.001 0.001"),
-    )
-    return events(spark, sf_dir).select(line.alias("value"))
+    # d reads yyyyMMddHHmmss
+    rows = events(spark, sf_dir).withColumns({"d": second_digits(F.col("ts")), "k": _k()})
+    month = _pick(MONTHS, "substr(d, 5, 2) - 1")
+    time = f"substr(d, 7, 2), '/', {month}, '/', substr(d, 1, 4), ':'"
+    clock = "substr(d, 9, 2), ':', substr(d, 11, 2), ':', substr(d, 13, 2)"
+    fields = rows.selectExpr(
+        "concat('10.', (user_id * 37) % 200, '.', user_id % 256, '.1') AS ip",
+        f"concat('[', {time}, {clock}, ' +0000]') AS time",
+        "concat('GET /', event_type, '/', k % 2, ' HTTP/1.1') AS request",
+        "CASE WHEN event_type = 'error' THEN '404' ELSE '200' END AS status",
+        "event_id % 5000 AS sent",
+        "CASE WHEN user_id % 3 = 0 THEN '-' ELSE concat('https://www.example.com/', event_type) END AS referer",
+        f"{_pick(USER_AGENTS, f'user_id % {len(USER_AGENTS)}')} AS ua",
+    )
+    return fields.selectExpr(
+        "concat(ip, ' - - ', time, ' \"', request, '\" ', status, ' ', sent, ' \"www.example.com\" \"', referer, "
+        "'\" - \"', ua, '\" \"-\" 10.100.0.1:80 ', status, ' 0.001 0.001') AS value"
+    )
 
 
 def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -62,7 +62,6 @@ REGION_STAT_SCHEMA = T.StructType(
 
 TOTALS_SCHEMA = T.StructType(
     [
-        T.StructField("grain", T.StringType()),
         T.StructField("day", T.StringType()),
         T.StructField("hour", T.StringType()),
         T.StructField("minute", T.StringType()),

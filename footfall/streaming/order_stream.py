@@ -4,9 +4,12 @@ Late orders count towards the day in the message, as there is no watermark; the
 holds one row per day, hour and minute seen. Where that must be bounded, ``watermark``
 closes a day once it is that long past and drops the orders that come later still.
 
-Each micro-batch stores the new *absolute* totals of the groups it touched, marked
+The query keeps totals per minute only; hours and days are added up from them when
+they are read, which is a few rows, instead of counting every order three times.
+
+Each micro-batch stores the new *absolute* totals of the minutes it touched, marked
 with the batch id. Replaying a batch after a crash rewrites the same values, and
-readers take the highest batch id of each group, so nothing is counted twice. Offsets
+readers take the highest batch id of each minute, so nothing is counted twice. Offsets
 and state live in the query's checkpoint; a query that starts without it must also
 start with an empty totals folder.
 """
@@ -19,29 +22,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from footfall.operators.order_stats import order_stats_one_pass
+from footfall.operators.order_stats import GRAINS, order_stats, roll_up
 from footfall.schemas import TOTALS_SCHEMA
 from footfall.sources.orders import accepted_orders, parse_orders
 
-GROUP = ("grain", "day", "hour", "minute")
-
 
 def running_totals(messages: DataFrame, watermark: str | None = None) -> DataFrame:
-    """Streaming totals of all grains from message text in column ``value``."""
+    """Streaming totals per minute from message text in column ``value``."""
     orders = accepted_orders(parse_orders(messages))
     if not watermark:
-        return order_stats_one_pass(orders)
+        return order_stats(orders, "minute")
     # The offset makes the one-day window start where the day in the digits starts.
     digits = F.concat(F.substring("time", 1, 12), F.lit("+0000"))
     timed = orders.withColumn("at", F.try_to_timestamp(digits, F.lit("yyyyMMddHHmmZ")))
-    return order_stats_one_pass(timed.withWatermark("at", watermark), F.window("at", "1 day"))
+    return order_stats(timed.withWatermark("at", watermark), "minute", F.window("at", "1 day"))
 
 
-def read_totals(spark: SparkSession, root: str) -> DataFrame:
-    """Current totals: the newest stored value of every group."""
+def read_minutes(spark: SparkSession, root: str) -> DataFrame:
+    """Current totals per minute: the newest stored value of each."""
     stored = spark.read.schema(TOTALS_SCHEMA).option("recursiveFileLookup", "true").parquet(root)
     newest = [F.max_by(c, "batch_id").alias(c) for c in ("total", "success", "fee")]
-    return stored.groupBy(*GROUP).agg(*newest, F.max("batch_id").alias("batch_id"))
+    return stored.groupBy(*GRAINS["minute"]).agg(*newest, F.max("batch_id").alias("batch_id"))
+
+
+def read_totals(spark: SparkSession, root: str) -> DataFrame:
+    """Current totals per day, hour and minute, marked by ``grain``."""
+    return roll_up(read_minutes(spark, root))
 
 
 def _folders(spark: SparkSession, root: str):
@@ -59,7 +65,7 @@ def compact_totals(spark: SparkSession, root: str) -> None:
     """
     fs, old = _folders(spark, root)
     target = f"{root.rstrip('/')}/fold-{uuid.uuid4().hex}"
-    read_totals(spark, root).repartition(1).select(*TOTALS_SCHEMA.names).write.parquet(target)
+    read_minutes(spark, root).repartition(1).select(*TOTALS_SCHEMA.names).write.parquet(target)
     for path in old:
         fs.delete(path, True)
 
@@ -70,7 +76,7 @@ def totals_writer(root: str, compact_every: int = 500):
     def store(changed: DataFrame, batch_id: int) -> None:
         rows = changed.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         target = f"{root.rstrip('/')}/batch-{batch_id:012d}"
-        # A batch changes a few thousand groups at most: one file.
+        # A batch touches few minutes: one file.
         rows.select(*TOTALS_SCHEMA.names).repartition(1).write.mode("overwrite").parquet(target)
         if compact_every and batch_id % compact_every == compact_every - 1:
             compact_totals(changed.sparkSession, root)

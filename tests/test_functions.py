@@ -41,7 +41,7 @@ def test_visit_key_order(spark):
     ],
 )
 def test_ip_number(spark, text, number):
-    assert spark.createDataFrame([(text,)], "ip string").select(ip_number(F.col("ip"))).first()[0] == number
+    assert spark.createDataFrame([(text,)], "ip string").select(ip_number("ip")).first()[0] == number
 
 
 WIN = "Mozilla/5.0 (Windows NT 10.0; Win64; x64)"

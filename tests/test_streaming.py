@@ -36,7 +36,7 @@ def run(spark, tmp_path, **options):
 
 
 def totals(spark, tmp_path):
-    return sorted((tuple(r)[:-1] for r in o.read_totals(spark, str(tmp_path / "totals")).collect()), key=str)
+    return sorted((tuple(r) for r in o.read_totals(spark, str(tmp_path / "totals")).collect()), key=str)
 
 
 def batch_twin(spark, lines):
