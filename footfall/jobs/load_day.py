@@ -24,6 +24,7 @@ def main(argv: list[str] | None = None) -> None:
     options.add_argument("--ranges", required=True, help="Parquet table: lo, hi, country, province, city")
     options.add_argument("--table", required=True, help="folder of the visit table")
     options.add_argument("--rejects", help="folder for lines that cannot be read")
+    options.add_argument("--requests", help="folder of a second table that keeps repeated requests")
     options.add_argument("--cells", help="folder for the same visits as sorted cells")
     options.add_argument("--tz", default="UTC", help="zone of the stored minute")
     options.add_argument("--key", default="crc32", choices=["crc32", "sha2"])
@@ -32,7 +33,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(f"load_day {args.day}")
     lines = read_lines(spark, args.logs, args.day)
     ranges = spark.read.parquet(args.ranges)
-    load_day(lines, ranges, args.table, args.day, args.rejects, args.tz, args.key)
+    load_day(lines, ranges, args.table, args.day, args.rejects, args.requests, args.tz, args.key)
     if args.cells:
         # From the stored table: placing the sort ranges reads the input twice.
         stored = read_days(spark, args.table, VISIT_SCHEMA).where(F.col("day") == args.day)

@@ -21,6 +21,10 @@ def main(argv: list[str] | None = None) -> None:
     source.add_argument("--files", help="folder where text files of messages arrive")
     options.add_argument("--topics", help="comma-separated topics")
     options.add_argument("--starting", default="latest", help="offsets of the very first start")
+    options.add_argument(
+        "--option", action="append", default=[], metavar="NAME=VALUE",
+        help="source option, such as minPartitions (splits a busy topic partition) or maxOffsetsPerTrigger",
+    )
     options.add_argument("--totals", required=True, help="folder of the totals")
     options.add_argument("--checkpoint", required=True)
     options.add_argument("--every", default="5 seconds", help="micro-batch interval")
@@ -31,10 +35,11 @@ def main(argv: list[str] | None = None) -> None:
         options.error("--brokers needs --topics")
 
     spark = build_session("order_stream")
+    extra = dict(option.split("=", 1) for option in args.option)
     if args.brokers:
-        messages = read_kafka(spark, args.brokers, args.topics.split(","), starting=args.starting)
+        messages = read_kafka(spark, args.brokers, args.topics.split(","), starting=args.starting, **extra)
     else:
-        messages = read_files(spark, args.files)
+        messages = read_files(spark, args.files, **extra)
     every = None if args.once else args.every
     start_order_stream(messages, args.totals, args.checkpoint, every, args.watermark).awaitTermination()
 

@@ -20,7 +20,7 @@ from footfall.sinks.tables import read_days
 def main(argv: list[str] | None = None) -> None:
     options = argparse.ArgumentParser(description="Report on one day's visits")
     options.add_argument("--day", required=True, help="yyyyMMdd")
-    options.add_argument("--table", required=True, help="folder of the visit table")
+    options.add_argument("--table", required=True, help="folder of the visit table, or of the table of requests")
     options.add_argument("--reports", required=True, help="folder of the report tables")
     options.add_argument("--jdbc-url", help="also replace the day in SQL tables browser_stat and region_stat")
     options.add_argument("--jdbc-option", action="append", default=[], metavar="NAME=VALUE")

@@ -39,11 +39,18 @@ def load_day(
     table: str,
     day: str,
     rejects: str | None = None,
+    every_request: str | None = None,
     tz: str = "UTC",
     digest: str = "crc32",
 ) -> None:
-    """Replace one day of the visit table; lines that cannot be read go to ``rejects``."""
+    """Replace one day of the visit table; lines that cannot be read go to ``rejects``.
+
+    ``every_request`` names a second table of the same shape that keeps repeated
+    requests. Reports count visits or requests by the table they read.
+    """
     write_day(visits(lines, ranges, tz, day, digest), table, day)
+    if every_request:
+        write_day(storable(with_geo(requests(lines, tz, day, digest), ranges)), every_request, day)
     if rejects:
         write_day(rejected(parse_lines(lines, tz)), rejects, day)
 

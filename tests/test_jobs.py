@@ -33,13 +33,16 @@ def test_daily_jobs_end_to_end_and_again(spark, tmp_path, capsys):
     for _ in range(2):
         load_day.main(
             ["--day", "20190130", "--logs", str(tmp_path / "logs"), "--ranges", str(tmp_path / "ranges"),
-             "--table", table, "--rejects", rejects, "--cells", cells]
+             "--table", table, "--rejects", rejects, "--cells", cells,
+             "--requests", str(tmp_path / "requests")]
         )
         report_day.main(["--day", "20190130", "--table", table, "--reports", reports])
     stored = read_days(spark, table, VISIT_SCHEMA).collect()
     assert len(stored) == 3 and {r.day for r in stored} == {"20190130"}
     assert {r.formattime for r in stored if r.ip == "10.0.0.1"} == {"201901300200"}
     assert {r.ip: r.city for r in stored} == {"10.0.0.1": "SH", "10.0.0.2": "SH", "99.0.0.2": "unknown"}
+    requests = read_days(spark, str(tmp_path / "requests"), VISIT_SCHEMA)
+    assert requests.count() == 4 and requests.select("rowkey").distinct().count() == 3
     bad = spark.read.parquet(rejects).collect()
     assert [(r.value, r.reject_reason) for r in bad] == [("damaged", "layout")]
     assert spark.read.schema(CELL_SCHEMA).parquet(f"{cells}/day=20190130").count() == 3 * 15
@@ -59,8 +62,9 @@ def test_order_stream_job(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.txt").write_text('{"time":"20240101093015","fee":"12","flag":"1"}\n')
     order_stream.main(
-        ["--files", str(tmp_path / "in"), "--totals", str(tmp_path / "t"), "--checkpoint", str(tmp_path / "c"), "--once"]
-    )
+        ["--files", str(tmp_path / "in"), "--totals", str(tmp_path / "t"), "--checkpoint", str(tmp_path / "c"), "--once",
+         "--option", "maxFilesPerTrigger=1"]
+    )
     rows = {r.grain: (r.total, r.success, r.fee) for r in read_totals(spark, str(tmp_path / "t")).collect()}
     assert rows == dict.fromkeys(("day", "hour", "minute"), (1, 1, 12))
     with pytest.raises(SystemExit):
