@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from footfall.schemas import CELL_SCHEMA
 
+# Per row of a broadcast hash table, beside the text itself.
+ROW_OVERHEAD = 96
+
 CELL_KEY = ("rowkey", "family", "qualifier")
 
 
@@ -47,15 +50,22 @@ def latest_cells(cells: DataFrame) -> DataFrame:
     return cells.groupBy(*CELL_KEY).agg(newest).select(*CELL_KEY, "v.ts", "v.value")
 
 
-def upsert_cells(base: DataFrame, changes: DataFrame, broadcast_rows: int = 1_000_000) -> DataFrame:
+def _measured_bytes(cells: DataFrame) -> int:
+    """What the cells take in a broadcast hash table: their text and a fixed part per row."""
+    texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c in (*CELL_KEY, "value")]
+    size = F.sum(reduce(lambda a, b: a + b, texts, F.lit(ROW_OVERHEAD).cast("bigint")))
+    return cells.agg(F.coalesce(size, F.lit(0))).first()[0]
+
+
+def upsert_cells(base: DataFrame, changes: DataFrame, broadcast_bytes: int = 128 << 20) -> DataFrame:
     """``base`` with ``changes`` put on top; cells that no change names stay as they are.
 
-    ``base`` holds one version per cell, as this function leaves it. While the counted
-    changes number at most ``broadcast_rows`` they are broadcast and the base, however
-    large, is not shuffled; more changes than that meet the base in one aggregation.
+    ``base`` holds one version per cell, as this function leaves it. While the measured
+    size of the changes stays under ``broadcast_bytes`` they are broadcast and the base,
+    however large, is not shuffled; beyond it both meet in one aggregation.
     """
     columns = CELL_SCHEMA.names
-    if changes.count() > broadcast_rows:
+    if _measured_bytes(changes) > broadcast_bytes:
         return latest_cells(base.select(*columns).unionByName(changes.select(*columns)))
     key = list(CELL_KEY)
     news = latest_cells(changes)

@@ -9,7 +9,7 @@ from footfall.functions.agents import with_agent
 from footfall.operators.cells import sort_for_bulk_load, to_cells
 from footfall.operators.geo import with_geo
 from footfall.operators.visits import browser_stat, dedup_visits, region_stat, storable, visit_cube
-from footfall.schemas import GEO_COLUMNS, VISIT_COLUMNS, VISIT_SCHEMA
+from footfall.schemas import GEO_COLUMNS, LOG_COLUMNS, VISIT_COLUMNS, VISIT_SCHEMA
 from footfall.sinks.tables import read_days, write_day, write_report
 from footfall.sources.access_log import accepted, parse_lines, rejected, with_key
 
@@ -17,6 +17,11 @@ BARE_COLUMNS = tuple(c for c in VISIT_COLUMNS if c not in GEO_COLUMNS)
 FAMILY = "info"
 
 
+def log_rows(lines: DataFrame, ranges: DataFrame, tz: str = "UTC") -> DataFrame:
+    """Readable lines as located and classed rows, for looking at a log directly."""
+    return with_geo(with_agent(accepted(parse_lines(lines, tz))), ranges).select(*LOG_COLUMNS)
+
+
 def requests(lines: DataFrame, tz: str = "UTC", day: str | None = None, digest: str = "crc32") -> DataFrame:
     """Every readable request with its key, browser and system; one row per log line."""
     rows = with_key(with_agent(accepted(parse_lines(lines, tz))), day, digest)
@@ -46,13 +51,18 @@ def load_day(
     """Replace one day of the visit table; lines that cannot be read go to ``rejects``.
 
     ``every_request`` names a second table of the same shape that keeps repeated
-    requests. Reports count visits or requests by the table they read.
+    requests; the visits are then taken from it and the log is not parsed again. Reports
+    count visits or requests by the table they read.
     """
-    write_day(visits(lines, ranges, tz, day, digest), table, day)
     if every_request:
         write_day(storable(with_geo(requests(lines, tz, day, digest), ranges)), every_request, day)
+        stored = read_days(lines.sparkSession, every_request, VISIT_SCHEMA).where(F.col("day") == day)
+        write_day(storable(dedup_visits(stored)), table, day)
+    else:
+        write_day(visits(lines, ranges, tz, day, digest), table, day)
     if rejects:
-        write_day(rejected(parse_lines(lines, tz)), rejects, day)
+        # Few rows from very many tasks: rebalance them into few files.
+        write_day(rejected(parse_lines(lines, tz)).hint("rebalance"), rejects, day)
 
 
 def visit_cells(stored: DataFrame, ts: int = 0) -> DataFrame:

@@ -161,6 +161,10 @@ ORACLE: dict[str, str] = {
     "access_log_parse": _on_requests(
         "SELECT ip, time, method, url, protocal, status, bytessent, host, referer, ua, formattime FROM requests"
     ),
+    "access_log_rows": _on_requests(
+        "SELECT ip, country, province, city, time, method, url, protocal, status, bytessent, referer, "
+        "browsername, browserversion, osname, osversion, ua, formattime FROM requests"
+    ),
     "access_log_typed": _on_requests(
         "SELECT ip, formattime, url, CAST(status AS INTEGER) AS status, CAST(bytessent AS BIGINT) AS bytessent "
         "FROM requests"

@@ -77,6 +77,11 @@ def access_log_parse(spark, sf_dir):
     return _parsed(spark, sf_dir).select(*LINE_FIELDS, "formattime")
 
 
+@query
+def access_log_rows(spark, sf_dir):
+    return daily.log_rows(derived.access_lines(spark, sf_dir), derived.ip_ranges(spark, sf_dir))
+
+
 @query
 def access_log_typed(spark, sf_dir):
     return typed_view(_parsed(spark, sf_dir)).select("ip", "formattime", "url", "status", "bytessent")

@@ -22,6 +22,12 @@ VISIT_COLUMNS = (
 GEO_COLUMNS = ("country", "province", "city")
 AGENT_COLUMNS = ("browsername", "browserversion", "osname", "osversion")
 
+# The columns of a parsed, located and classed log line.
+LOG_COLUMNS = (
+    "ip", "country", "province", "city", "time", "method", "url", "protocal", "status", "bytessent",
+    "referer", "browsername", "browserversion", "osname", "osversion", "ua", "formattime",
+)
+
 VISIT_SCHEMA = _strings("rowkey", *VISIT_COLUMNS, "day")
 
 # The fields of one order message; all of them travel as JSON strings.

@@ -89,7 +89,7 @@ def list_families(spark: SparkSession) -> DataFrame:
     """Every partitioned table of the current database with its families."""
     found = []
     for table in spark.catalog.listTables():
-        if table.isTemporary or not table.tableType == "EXTERNAL":
+        if table.tableType not in ("MANAGED", "EXTERNAL"):
             continue
         columns = spark.catalog.listColumns(table.name)
         if any(c.isPartition and c.name == "family" for c in columns):

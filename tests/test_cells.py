@@ -72,8 +72,8 @@ def test_upsert_equals_brute_force_on_both_ways(spark, old, new):
 
     base = spark.createDataFrame(sorted(merge(old)), CELL_SCHEMA)
     changes = spark.createDataFrame(new, CELL_SCHEMA)
-    for limit in (1000, -1):
-        found = [tuple(r) for r in c.upsert_cells(base, changes, broadcast_rows=limit).collect()]
+    for limit in (1 << 20, -1):
+        found = [tuple(r) for r in c.upsert_cells(base, changes, broadcast_bytes=limit).collect()]
         assert len(found) == len(set(found)) and set(found) == merge(old, new)
 
 
@@ -81,8 +81,13 @@ def test_small_changes_leave_the_base_where_it_is(spark, plan, tmp_path, people)
     people.write.parquet(str(tmp_path / "cells"))
     stored = spark.read.schema(CELL_SCHEMA).parquet(str(tmp_path / "cells"))
     change = spark.createDataFrame([("xx", "info", "age", 2, "20")], CELL_SCHEMA)
-    kept_side = plan(c.upsert_cells(stored, change)).split("LeftAnti")[0]
-    assert "BroadcastHashJoin" in kept_side
+    text = plan(c.upsert_cells(stored, change))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    # Above each scan of the base there is a broadcast join before any shuffle.
+    lines = text.splitlines()
+    for scan in (n for n, line in enumerate(lines) if "FileScan" in line):
+        above = lines[:scan][::-1]
+        assert "BroadcastHashJoin" in next(x for x in above if "Join" in x or "hashpartitioning" in x)
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
