@@ -233,6 +233,7 @@ ORACLE: dict[str, str] = {
         "SELECT rowkey, segment, acctbal, nationkey FROM wide "
         "WHERE rowkey LIKE 'Customer#0000001%' OR rowkey LIKE 'Supplier#%'"
     ),
+    "family_scan": _on_wide(f"SELECT * FROM ({_cells('wide', 1)}) WHERE family = 'info'"),
     "bulk_cells": _on_wide(_cells("wide", 1)),
     "product_sort": (
         "SELECT *, row_number() OVER (ORDER BY price DESC, store DESC, p_partkey) AS position "

@@ -26,7 +26,7 @@ from footfall.schemas import (
 )
 from footfall.session import scratch_path
 from footfall.sinks.messages import write_messages
-from footfall.sinks.tables import read_days, write_days
+from footfall.sinks.tables import read_days, read_family, write_cells, write_days
 from footfall.sources.access_log import accepted, parse_lines, rejected, typed_view, with_key
 from footfall.sources.orders import accepted_orders, parse_orders, rejected_orders, to_messages
 from footfall.sources.products import parse_products
@@ -308,6 +308,13 @@ def rowkey_prefix_scan(spark, sf_dir):
     return cell_ops.prefix_scan(derived.wide_rows(spark, sf_dir), ["Customer#0000001", "Supplier#"])
 
 
+@query
+def family_scan(spark, sf_dir):
+    root = scratch_path(spark, "cells")
+    write_cells(derived.cells(spark, sf_dir), root)
+    return read_family(spark, root, "info")
+
+
 @query
 def bulk_cells(spark, sf_dir):
     root = scratch_path(spark, "bulk_cells")

@@ -5,8 +5,11 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from footfall.schemas import CELL_SCHEMA
+
 
 def _path(spark: SparkSession, text: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(text)
@@ -74,6 +77,16 @@ def read_days(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame
     return spark.read.schema(schema).parquet(root)
 
 
+def write_cells(cells: DataFrame, root: str) -> None:
+    """Store cells with one folder per family, so that a scan of a family opens only its own."""
+    cells.write.mode("overwrite").partitionBy("family").parquet(root)
+
+
+def read_family(spark: SparkSession, root: str, family: str) -> DataFrame:
+    stored = spark.read.schema(CELL_SCHEMA).parquet(root).where(F.col("family") == family)
+    return stored.select(*CELL_SCHEMA.names)
+
+
 def create_cell_table(spark: SparkSession, name: str, root: str, families: list[str]) -> None:
     """Create a cell table, one partition per family, unless it exists."""
     spark.sql(

@@ -60,7 +60,8 @@ def compact_totals(spark: SparkSession, root: str) -> None:
     """Fold the stored batches into one folder and delete what it replaces.
 
     Readers may see the fold beside the batches it came from: both carry the same
-    absolute values and batch ids. The new folder has a fresh name, so a fold never
+    absolute values and batch ids. A reader whose files go away while it runs reads
+    again. The new folder has a fresh name, so a fold never
     overwrites its own input.
     """
     fs, old = _folders(spark, root)

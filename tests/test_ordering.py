@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from footfall.operators.ordering import sort_products, sort_products_by_price, with_position
 from footfall.sources.products import parse_products
 
-LINES = ["tv 17999 1000", "xiaomi  200 10", "xiaomiMonitor 200 1000", "mitu 9 2000"]
+LINES = ["desk 900 40", "lamp  70 5", "shelf 70 60", "hook 3 800"]
 
 
 def products(spark):
@@ -14,13 +14,13 @@ def products(spark):
 
 def test_price_then_stock(spark):
     rows = sort_products(products(spark)).collect()
-    assert [r.name for r in rows] == ["tv", "xiaomiMonitor", "xiaomi", "mitu"]
-    assert rows[2].asDict() == {"name": "xiaomi", "price": 200, "store": 10}
+    assert [r.name for r in rows] == ["desk", "shelf", "lamp", "hook"]
+    assert rows[2].asDict() == {"name": "lamp", "price": 70, "store": 5}
 
 
 def test_price_only(spark):
     names = [r.name for r in sort_products_by_price(products(spark), F.col("name")).collect()]
-    assert names == ["tv", "xiaomi", "xiaomiMonitor", "mitu"]
+    assert names == ["desk", "lamp", "shelf", "hook"]
 
 
 def test_unreadable_numbers_become_null(spark):

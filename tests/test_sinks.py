@@ -4,7 +4,7 @@ from pathlib import Path
 
 import pytest
 
-from footfall.schemas import BROWSER_STAT_SCHEMA
+from footfall.schemas import BROWSER_STAT_SCHEMA, CELL_SCHEMA
 from footfall.sinks import jdbc, tables
 from footfall.sinks.messages import write_messages
 
@@ -69,7 +69,7 @@ def test_day_filter_prunes_folders_and_columns(spark, plan, tmp_path):
 def test_cell_table_with_families(spark, tmp_path):
     for _ in range(2):
         tables.create_cell_table(spark, "people", str(tmp_path / "people"), ["info", "address"])
-    spark.sql("INSERT INTO people VALUES ('jepson', 'age', 1, '18', 'info')")
+    spark.sql("INSERT INTO people VALUES ('anna', 'age', 1, '31', 'info')")
     tables.create_cell_table(spark, "people", str(tmp_path / "people"), ["info", "address"])
     assert spark.table("people").count() == 1
     found = {tuple(r) for r in tables.list_families(spark).collect()}
@@ -77,6 +77,15 @@ def test_cell_table_with_families(spark, tmp_path):
     spark.sql("DROP TABLE people")
 
 
+def test_a_family_is_read_alone(spark, plan, tmp_path):
+    rows = [("anna", "info", "age", 1, "31"), ("anna", "address", "city", 1, "IMST")]
+    root = str(tmp_path / "cells")
+    tables.write_cells(spark.createDataFrame(rows, CELL_SCHEMA), root)
+    found = tables.read_family(spark, root, "address")
+    assert [tuple(r) for r in found.collect()] == [("anna", "address", "city", 1, "IMST")]
+    assert "PartitionFilters: [isnotnull(family" in plan(found)
+
+
 def test_messages_are_appended(spark, tmp_path):
     path = str(tmp_path / "m")
     write_messages(spark.createDataFrame([("a",)], "value string"), "text", path=path)
