@@ -1,10 +1,15 @@
 from __future__ import annotations
 
+import random
+import re
+from datetime import datetime, timezone
+
 import pytest
 from pyspark.sql import functions as F
 
 from footfall.functions.clock import between_brackets, format_time
 from footfall.plans.derived import USER_AGENTS
+from footfall.schemas import LINE_FIELDS
 from footfall.sources.access_log import accepted, day_path, parse_lines, read_lines, rejected, typed_view
 
 TAIL = '"-" 10.0.0.7:80 200 0.172 0.172'
@@ -130,3 +135,37 @@ def test_day_folder(spark, tmp_path):
     (tmp_path / "20190131" / "a.log").write_text("four\n")
     assert day_path("/access/", "20190130") == "/access/20190130/*"
     assert {r.value for r in read_lines(spark, str(tmp_path), "20190130").collect()} == {"one", "two", "three"}
+
+
+PATTERN = re.compile(
+    r'^(\S+) \S+ \S+ (\[[^\]]+\]) "(\S+) (\S+) ([^"]+)" (\d{3}) (\d+|-) "([^"]*)" "([^"]*)" (?:- )?"([^"]*)"'
+)
+
+
+def expected_fields(text):
+    """What one regular expression and a strict time format make of a line."""
+    found = PATTERN.match(text)
+    if not found or not re.fullmatch(r"\[\d\d/[A-Z][a-z]{2}/\d{4}:\d\d:\d\d:\d\d [+-]\d{4}\]", found[2]):
+        return None
+    try:
+        time = datetime.strptime(found[2], "[%d/%b/%Y:%H:%M:%S %z]").astimezone(timezone.utc)
+    except ValueError:
+        return None
+    return (*found.groups(), f"{time.year:04}{time:%m%d%H%M}")
+
+
+def test_damaged_lines_are_judged_as_by_one_regular_expression(spark):
+    chance = random.Random(5)
+    texts = set(GOOD)
+    while len(texts) < 1500:
+        text = list(chance.choice(GOOD))
+        for _ in range(chance.randint(1, 3)):
+            at = chance.randrange(min(len(text), 320))
+            piece = chance.choice([[], [text[at]] * 2, [chance.choice(' "[]-0a/.:+\t')]])
+            text[at : at + 1] = piece
+        texts.add("".join(text))
+    parsed = parse_lines(lines(spark, *texts)).collect()
+    found = {r.value: None if r.reject_reason else tuple(r[c] for c in (*LINE_FIELDS, "formattime")) for r in parsed}
+    expected = {text: expected_fields(text) for text in texts}
+    assert {t: (found[t], expected[t]) for t in texts if found[t] != expected[t]} == {}
+    assert 200 < sum(v is not None for v in expected.values()) < 1300
