@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,7 +40,7 @@ def n_words(text: Column) -> Column:
 def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that a slice has about ``most`` bytes of ``column``, one row at least."""
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
         start = held = 0
         for i, size in enumerate(sizes):
             if held and held + size > most:

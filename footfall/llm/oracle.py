@@ -75,3 +75,20 @@ judged AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND coalesce(fine, FALSE) AS kept
 FROM based LEFT JOIN judged USING (rid)"""
+
+ORACLE["op6_ngram_jaccard_join"] = """
+WITH RECURSIVE docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+words AS (
+  SELECT rid, doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM docs),
+sets AS (
+  SELECT rid, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i : i + 2], ' ') FOR i IN range(1, len(w) - 1)]) END AS s FROM words),
+shingles AS (SELECT rid, len(s) AS n, unnest(s) AS x FROM sets),
+common AS (
+  SELECT a.rid AS a, b.rid AS b, a.n AS na, b.n AS nb, count(*) AS i FROM shingles a JOIN shingles b USING (x)
+  WHERE a.rid != b.rid AND 10 * least(a.n, b.n) >= 9 * greatest(a.n, b.n) GROUP BY ALL),
+edges AS (SELECT a, b FROM common WHERE 100 * i >= 90 * (na + nb - i)),
+reach AS (SELECT rid AS a, rid AS b FROM docs UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(t.doc_id) AS component_id
+FROM sets s JOIN reach r ON r.a = s.rid JOIN docs t ON t.rid = r.b GROUP BY s.rid, s.doc_id, len(s.s)"""

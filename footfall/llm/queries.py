@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.llm import quality_rules
+from footfall.llm import jaccard_join, quality_rules
 from footfall.llm.common import documents
 from footfall.llm.oracle import ORACLE
 
@@ -23,3 +23,8 @@ def query(function):
 @query
 def op9_quality_rules(spark, sf_dir):
     return quality_rules.report(documents(spark, sf_dir))
+
+
+@query
+def op6_ngram_jaccard_join(spark, sf_dir):
+    return jaccard_join.jaccard_components(documents(spark, sf_dir), width=3, percent=90).drop("set")
