@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.llm import jaccard_join, quality_rules
+from footfall.llm import jaccard_join, mixing, quality_rules
 from footfall.llm.common import documents
 from footfall.llm.oracle import ORACLE
 
@@ -20,6 +20,11 @@ def query(function):
     return function
 
 
+@query
+def op1_pareto_mix(spark, sf_dir):
+    return mixing.report(documents(spark, sf_dir))
+
+
 @query
 def op9_quality_rules(spark, sf_dir):
     return quality_rules.report(documents(spark, sf_dir))
