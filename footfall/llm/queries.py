@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.llm import jaccard_join, mixing, quality_rules
+from footfall.llm import jaccard_join, mixing, packing, quality_rules
 from footfall.llm.common import documents
 from footfall.llm.oracle import ORACLE
 
@@ -25,6 +26,11 @@ def op1_pareto_mix(spark, sf_dir):
     return mixing.report(documents(spark, sf_dir))
 
 
+@query
+def op5_best_fit_packing(spark, sf_dir):
+    return packing.packed(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query
 def op9_quality_rules(spark, sf_dir):
     return quality_rules.report(documents(spark, sf_dir))
