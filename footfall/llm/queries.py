@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.llm import jaccard_join, mixing, packing, quality_rules, token_files
+from footfall.llm import jaccard_join, mixing, packing, pii, quality_rules, token_files
 from footfall.llm.common import documents
 from footfall.llm.oracle import ORACLE
 
@@ -36,6 +36,11 @@ def op5_best_fit_packing(spark, sf_dir):
     return packing.packed(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op7_semi_markov_pii(spark, sf_dir):
+    return pii.report(documents(spark, sf_dir))
+
+
 @query
 def op9_quality_rules(spark, sf_dir):
     return quality_rules.report(documents(spark, sf_dir))
