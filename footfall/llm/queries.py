@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.llm import jaccard_join, mixing, packing, pii, quality_rules, token_files
+from footfall.llm import jaccard_join, mixing, packing, pii, quality_rules, spotsigs, token_files
 from footfall.llm.common import documents
 from footfall.llm.oracle import ORACLE
 
@@ -26,6 +26,11 @@ def op1_pareto_mix(spark, sf_dir):
     return mixing.report(documents(spark, sf_dir))
 
 
+@query
+def op2_spotsigs(spark, sf_dir):
+    return spotsigs.report(documents(spark, sf_dir))
+
+
 @query
 def op3_zstd_token_files(spark, sf_dir):
     return token_files.round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
