@@ -7,10 +7,10 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from footfall.session import materialize
+from footfall.session import materialize, scratch_path
 
 # A word: a run of anything but blank, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -32,6 +32,29 @@ def whole(text: str | None) -> str:
     return "" if text is None else text
 
 
+class Tables:
+    """Tables that an operator writes on its way, in the shared folder; each is dropped once nothing reads it.
+
+    After each write the driver's JVM is asked to collect garbage: Spark drops the shuffle files of a finished step
+    only then, and they would otherwise stay on the executors' disks until the operator ends.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def store(self, df: DataFrame, label: str) -> DataFrame:
+        path = scratch_path(self.spark, label)
+        df.write.parquet(path)
+        self.paths[label] = path
+        self.spark._jvm.System.gc()
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *labels: str) -> None:
+        for label in labels:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(label))
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def n_words(text: Column) -> Column:
     """Number of words; 0 for a null text."""
     return F.coalesce(F.size(F.regexp_extract_all(text, F.lit(WORD), F.lit(0))), F.lit(0)).cast("long")
@@ -51,32 +74,35 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = 1 << 20)
             yield batch.slice(start)
 
 
-def with_running_total(ordered: DataFrame, value: Column, name: str) -> DataFrame:
+def with_running_total(ordered: DataFrame, value: Column, name: str, position: str | None = None) -> DataFrame:
     """Add ``name``: the sum of ``value`` over all rows before this one in a globally sorted DataFrame.
 
-    The sorted rows are stored once, numbered inside their partition. A window per block of a partition
-    adds up inside it, a second window adds up block totals inside a partition, and the partition totals,
-    one row each, are added up by a third, so no task sees more than one block or one row per block.
+    ``position``, if given, is added as the number of rows before. The sorted rows are stored once, numbered inside
+    their partition. A window per block of a partition adds up inside it, a second one adds up block totals inside a
+    partition, and the partition totals, one row each, are added up by a third; so a window sees one block of 65,536
+    rows, or one row per block of a partition, or one row per partition.
     """
     block_bits, row_bits = 16, 33
-    stored = materialize(
-        ordered.select(F.struct("*").alias("row"), value.cast("long").alias("v"), F.monotonically_increasing_id().alias("id")),
-        "sorted",
-    )
-    part, block = F.shiftright("id", row_bits), F.shiftright("id", block_bits)
-    totals = stored.groupBy(block.alias("block")).agg(F.sum("v").alias("sum"))
-    from pyspark.sql import Window
-
+    number = F.monotonically_increasing_id().alias("id")
+    stored = materialize(ordered.select(F.struct("*").alias("row"), value.cast("long").alias("v"), number), "sorted")
+    block = F.shiftright("id", block_bits)
+    sums = [F.sum("v").alias("v"), F.sum("n").alias("n")]
+    totals = stored.withColumn("n", F.lit(1).cast("long")).groupBy(block.alias("block")).agg(*sums)
     totals = totals.withColumn("part", F.shiftright("block", row_bits - block_bits))
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = totals.groupBy("part").agg(F.sum("sum").alias("sum"))
-    # One row for each sort partition.
-    parts = parts.select("part", F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("before_part"))
-    in_part = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = totals.join(F.broadcast(parts), "part").select(
-        "block", (F.col("before_part") + F.coalesce(F.sum("sum").over(in_part), F.lit(0))).alias("before")
-    )
-    in_block = Window.partitionBy("block").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
-    inside = F.coalesce(F.sum("v").over(in_block), F.lit(0))
-    rows = stored.withColumn("block", block).withColumn("inside", inside).join(blocks, "block")
-    return rows.select("row.*", (F.col("before") + F.col("inside")).alias(name))
+
+    def before(window):
+        over = window.rowsBetween(Window.unboundedPreceding, -1)
+        return {c: F.coalesce(F.sum(c).over(over), F.lit(0)) for c in ("v", "n")}
+
+    parts = totals.groupBy("part").agg(*sums)
+    parts = parts.select("part", *[c.alias(f"part_{k}") for k, c in before(Window.orderBy("part")).items()])
+    in_part = before(Window.partitionBy("part").orderBy("block"))
+    blocks = totals.withColumns({f"in_{k}": c for k, c in in_part.items()}).join(F.broadcast(parts), "part")
+    blocks = blocks.select("block", *[(F.col(f"in_{k}") + F.col(f"part_{k}")).alias(f"block_{k}") for k in "vn"])
+    rows = stored.withColumns({"n": F.lit(1).cast("long"), "block": block})
+    rows = rows.withColumns({f"row_{k}": c for k, c in before(Window.partitionBy("block").orderBy("id")).items()})
+    rows = rows.join(blocks, "block")
+    found = [(F.col("block_v") + F.col("row_v")).alias(name)]
+    if position:
+        found.append((F.col("block_n") + F.col("row_n")).alias(position))
+    return rows.select("row.*", *found)

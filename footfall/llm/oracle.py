@@ -92,3 +92,23 @@ edges AS (SELECT a, b FROM common WHERE 100 * i >= 90 * (na + nb - i)),
 reach AS (SELECT rid AS a, rid AS b FROM docs UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a)
 SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(t.doc_id) AS component_id
 FROM sets s JOIN reach r ON r.a = s.rid JOIN docs t ON t.rid = r.b GROUP BY s.rid, s.doc_id, len(s.s)"""
+
+_RECORD = """concat('WARC/1.1', chr(13), chr(10), 'WARC-Type: response', chr(13), chr(10), 'WARC-Record-ID: <urn:md5:', rid,
+  '>', chr(13), chr(10), 'WARC-Date: 1970-01-01T00:00:00Z', chr(13), chr(10), 'WARC-Target-URI: ', url, chr(13), chr(10),
+  'Content-Type: text/html', chr(13), chr(10), 'Content-Length: ', strlen(html), chr(13), chr(10), chr(13), chr(10), html,
+  chr(13), chr(10), chr(13), chr(10))"""
+ORACLE["op10_merkle_fixity"] = f"""
+WITH pages_ AS (
+  SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html,
+         md5(concat(page_id, '|', coalesce(url, ''))) AS rid FROM pages),
+held AS (SELECT page_id, rid, {_RECORD} AS r FROM pages_),
+placed AS (
+  SELECT page_id, rid AS record_id, row_number() OVER (ORDER BY page_id) - 1 AS position,
+         coalesce(sum(strlen(r)) OVER (ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS offset_,
+         strlen(r)::BIGINT AS length, sha256(r) AS sha256,
+         CASE WHEN page_id % 211 = 5 THEN 'missing' WHEN page_id % 97 = 13 THEN 'corrupt' ELSE 'ok' END AS status FROM held),
+added AS (
+  SELECT page_id, url, html, md5(concat(page_id, '|', url)) AS rid
+  FROM (SELECT -page_id AS page_id, url, html FROM pages_ WHERE page_id % 503 = 7))
+SELECT page_id, record_id, position, offset_ AS "offset", length, sha256, status FROM placed
+UNION ALL SELECT page_id, rid, NULL, NULL, strlen({_RECORD})::BIGINT, sha256({_RECORD}), 'extra' FROM added"""

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from footfall.llm import jaccard_join, mixing, packing, pii, quality_rules, spotsigs, token_files
+from footfall.llm import attribution, fixity, hilbert, jaccard_join, mixing, packing, pii, quality_rules, spotsigs, token_files
 from footfall.llm.common import documents
 from footfall.llm.oracle import ORACLE
 
@@ -36,6 +37,12 @@ def op3_zstd_token_files(spark, sf_dir):
     return token_files.round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op4_token_attribution(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return attribution.attributed(documents(spark, sf_dir), path, ("source", "lang", "text"))
+
+
 @query
 def op5_best_fit_packing(spark, sf_dir):
     return packing.packed(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
@@ -54,3 +61,19 @@ def op9_quality_rules(spark, sf_dir):
 @query
 def op6_ngram_jaccard_join(spark, sf_dir):
     return jaccard_join.jaccard_components(documents(spark, sf_dir), width=3, percent=90).drop("set")
+
+
+@query
+def op8_hilbert_shards(spark, sf_dir):
+    return hilbert.report(documents(spark, sf_dir))
+
+
+@query
+def op10_merkle_fixity(spark, sf_dir):
+    """Audit of all pages against a replica with known damage: changed, lost and added records."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    changed = F.when(F.col("page_id") % 97 == 13, F.concat(F.lit("#"), F.col("html"))).otherwise(F.col("html"))
+    copy = pages.where(F.expr("coalesce(page_id % 211 != 5, TRUE)")).withColumn("html", changed)
+    added = pages.where("page_id % 503 = 7").withColumn("page_id", -F.col("page_id"))
+    found = fixity.audit(fixity.leaves(pages), fixity.leaves(copy.unionByName(added)))
+    return found.withColumnRenamed("key", "page_id").withColumnRenamed("id", "record_id")

@@ -16,6 +16,13 @@ _BLANKS = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 
 
+def pieces_of(text: str) -> list[str]:
+    """The text cut before every blank that stands between two characters other than white space."""
+    if "\0" in text or _BLANKS.search(text):
+        return _CUT.split(text)
+    return text.replace(" ", "\0 ").split("\0")
+
+
 class Encoder:
     """Encodes texts; ids come as little-endian bytes of ``width`` bytes each.
 
@@ -32,19 +39,28 @@ class Encoder:
         self.code = "H" if self.width == 2 else "I"
         self.known: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        docs = [
-            _CUT.split(t) if "\0" in t or _BLANKS.search(t) else t.replace(" ", "\0 ").split("\0") for t in texts
-        ]
+    def learn(self, docs: list[list[str]]) -> dict[str, bytes]:
+        """Ids of every piece of the documents; remembered as long as there is room."""
         new = list(set().union(*docs).difference(self.known)) if docs else []
-        code = self.code
         coded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        fresh = {word: array(code, c.ids).tobytes() for word, c in zip(new, coded)}
-        if len(self.known) + len(fresh) <= KNOWN_WORDS:
-            self.known.update(fresh)
-            return [b"".join(map(self.known.__getitem__, d)) for d in docs]
-        both = {w: self.known[w] for d in docs for w in d if w in self.known} | fresh
-        return [b"".join(map(both.__getitem__, d)) for d in docs]
+        self.fresh = {word: array(self.code, c.ids).tobytes() for word, c in zip(new, coded)}
+        if len(self.known) + len(self.fresh) <= KNOWN_WORDS:
+            self.known.update(self.fresh)
+            return self.known
+        return {w: self.known[w] for d in docs for w in d if w in self.known} | self.fresh
+
+    def known_or_coded(self, piece: str) -> bytes:
+        """Ids of a piece of the documents that were learned last."""
+        return self.known[piece] if piece in self.known else self.fresh[piece]
+
+    def spans(self, piece: str) -> list[tuple[int, int]]:
+        """Start and end of each token of a piece, in code points."""
+        return self.tokenizer.encode(piece, add_special_tokens=False).offsets
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        docs = [pieces_of(t) for t in texts]
+        found = self.learn(docs)
+        return [b"".join(map(found.__getitem__, d)) for d in docs]
 
     def ids(self, coded: bytes) -> np.ndarray:
         return np.frombuffer(coded, f"<u{self.width}").astype("<u4")
