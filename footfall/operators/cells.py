@@ -12,34 +12,37 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from footfall.functions.sizes import measured_bytes
 from footfall.schemas import CELL_SCHEMA
-
-# Per row of a broadcast hash table, beside the text itself.
-ROW_OVERHEAD = 96
+from footfall.session import materialize
 
 CELL_KEY = ("rowkey", "family", "qualifier")
 
 
 def to_cells(rows: DataFrame, families: Mapping[str, Iterable[str]], ts: Column | int = 0) -> DataFrame:
-    """Wide rows to cells. ``families`` names the columns of each family."""
-    family_of = {q: f for f, qualifiers in families.items() for q in qualifiers}
+    """Wide rows to cells. ``families`` names the columns of each family; a column may be in several."""
     stamp = (F.lit(ts) if isinstance(ts, int) else ts).cast("bigint")
-    texts = [F.col(q).cast("string").alias(q) for q in family_of]
-    wide = rows.select("rowkey", stamp.alias("ts"), *texts)
-    long = wide.unpivot(["rowkey", "ts"], list(family_of), "qualifier", "value")
-    names = F.create_map(*[F.lit(x) for pair in family_of.items() for x in pair])
-    marked = long.where(F.col("value").isNotNull()).withColumn("family", names[F.col("qualifier")])
-    return marked.select(*CELL_SCHEMA.names)
+    pairs = sorted((f, q) for f, qualifiers in families.items() for q in qualifiers)
+    cells = [
+        F.struct(F.lit(f).alias("family"), F.lit(q).alias("qualifier"), F.col(q).cast("string").alias("value"))
+        for f, q in pairs
+    ]
+    # In key order, so that rows sorted by key give sorted cells.
+    long = rows.select("rowkey", stamp.alias("ts"), F.inline(F.array(*cells)))
+    return long.where(F.col("value").isNotNull()).select(*CELL_SCHEMA.names)
 
 
-def from_cells(cells: DataFrame, qualifiers: Iterable[str]) -> DataFrame:
-    """Cells to wide rows with the given columns; a missing cell is null.
+def from_cells(cells: DataFrame, columns: Iterable[tuple[str, str]], names: Iterable[str] | None = None) -> DataFrame:
+    """Cells to wide rows with the given (family, qualifier) columns; a missing cell is null.
 
-    The latest version of each cell wins (the larger value on equal stamps), so
-    versions need not be merged before; it stays one shuffle on the row key.
+    Columns are named by ``names``, or else by their qualifier. The latest version of each cell wins (the larger value
+    on equal stamps), so versions need not be merged before; it stays one shuffle on the row key.
     """
+    columns = list(columns)
+    names = list(names) if names else [q for _, q in columns]
     latest = [
-        F.max(F.when(F.col("qualifier") == q, F.struct("ts", "value")))["value"].alias(q) for q in qualifiers
+        F.max(F.when((F.col("family") == f) & (F.col("qualifier") == q), F.struct("ts", "value")))["value"].alias(name)
+        for (f, q), name in zip(columns, names, strict=True)
     ]
     return cells.groupBy("rowkey").agg(*latest)
 
@@ -50,35 +53,23 @@ def latest_cells(cells: DataFrame) -> DataFrame:
     return cells.groupBy(*CELL_KEY).agg(newest).select(*CELL_KEY, "v.ts", "v.value")
 
 
-def _measured_bytes(cells: DataFrame) -> int:
-    """What the cells take in a broadcast hash table: their text and a fixed part per row."""
-    texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c in (*CELL_KEY, "value")]
-    size = F.sum(reduce(lambda a, b: a + b, texts, F.lit(ROW_OVERHEAD).cast("bigint")))
-    return cells.agg(F.coalesce(size, F.lit(0))).first()[0]
-
-
 def upsert_cells(base: DataFrame, changes: DataFrame, broadcast_bytes: int = 128 << 20) -> DataFrame:
-    """``base`` with ``changes`` put on top; cells that no change names stay as they are.
+    """``base`` with ``changes`` put on top.
 
-    ``base`` holds one version per cell, as this function leaves it. While the measured
-    size of the changes stays under ``broadcast_bytes`` they are broadcast and the base,
-    however large, is not shuffled; beyond it both meet in one aggregation.
+    Each cell that the changes name comes out once, with its latest version from both; every other cell stays as it
+    is, with all its versions. Keys are compared null-safely. The changes are stored once. Their size decides only how
+    Spark joins: while it stays under ``broadcast_bytes`` they are broadcast and the base, however large, does not
+    move, and beyond it both sides shuffle; the result is the same.
     """
-    columns = CELL_SCHEMA.names
-    if _measured_bytes(changes) > broadcast_bytes:
-        return latest_cells(base.select(*columns).unionByName(changes.select(*columns)))
-    key = list(CELL_KEY)
-    news = latest_cells(changes)
-    pair = news.select(*key, F.struct("ts", "value").alias("_new"))
-    old = F.struct("ts", "value")
-    kept = (
-        base.join(F.broadcast(pair), key, "left")
-        .withColumn("_v", F.greatest(old, F.col("_new")))  # greatest skips nulls
-        .select(*key, "_v.ts", "_v.value")
-    )
-    known = base.join(F.broadcast(news.select(*key)), key, "left_semi").select(*key)
-    added = news.join(known, key, "left_anti")
-    return kept.select(*columns).unionByName(added.select(*columns))
+    columns, names = CELL_SCHEMA.names, [f"_{c}" for c in CELL_KEY]
+    news = materialize(latest_cells(changes.select(*columns)), "changes")
+    keys = news.select(*[F.col(c).alias(n) for c, n in zip(CELL_KEY, names)])
+    if measured_bytes(news, *CELL_KEY) <= broadcast_bytes:
+        keys = F.broadcast(keys)
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(CELL_KEY, names)])
+    untouched = base.join(keys, same, "left_anti").select(*columns)
+    touched = base.join(keys, same, "left_semi").select(*columns)
+    return untouched.unionByName(latest_cells(touched.unionByName(news)).select(*columns))
 
 
 def get_row(rows: DataFrame, key: str) -> DataFrame:
@@ -107,3 +98,13 @@ def sort_for_bulk_load(cells: DataFrame, partitions: int | None = None) -> DataF
     key = [F.col(c) for c in CELL_KEY]
     ranged = cells.repartitionByRange(*([partitions] if partitions else []), *key)
     return ranged.sortWithinPartitions(*key)
+
+
+def sort_rows_for_bulk_load(rows: DataFrame, families: Mapping[str, Iterable[str]], ts: Column | int = 0,
+                            partitions: int | None = None) -> DataFrame:
+    """Wide rows as cells in total order. The rows are ranged and sorted, and only then cut into cells.
+
+    One row is moved where ``sort_for_bulk_load`` would move each of its cells. Row keys must be unique.
+    """
+    ranged = rows.repartitionByRange(*([partitions] if partitions else []), F.col("rowkey"))
+    return to_cells(ranged.sortWithinPartitions("rowkey"), families, ts)

@@ -15,11 +15,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.functions.net import ip_number
+from footfall.functions.sizes import row_bytes
 from footfall.schemas import GEO_COLUMNS
 
 DENSE = 256
-# Per row of a broadcast hash table, beside the text itself.
-ROW_OVERHEAD = 96
 FINE_OFFSET = 1 << 32  # keeps /24 block numbers apart from /16 ones
 
 
@@ -40,13 +39,12 @@ def _coarse_blocks(ranges: DataFrame) -> DataFrame:
 def profile(ranges: DataFrame) -> RangeProfile:
     """Size, density and faults of a range table, in one job over the ranges only."""
     sound = (F.col("lo") >= 0) & (F.col("lo") <= F.col("hi")) & (F.col("hi") < FINE_OFFSET)
-    text = [F.coalesce(F.octet_length(c), F.lit(0)).cast("bigint") for c in GEO_COLUMNS]
     # A broken range gets the null block, where it is only counted.
     blocks = F.when(sound, F.sequence(F.shiftright("lo", 16), F.shiftright("hi", 16)))
     cut = ranges.select(
         "lo",
         "hi",
-        (F.lit(ROW_OVERHEAD) + sum(text[1:], text[0])).alias("bytes"),
+        row_bytes(*GEO_COLUMNS).alias("bytes"),
         F.explode_outer(blocks).alias("block"),
     )
     # Two ranges that overlap share a block, so looking inside the blocks is enough.
@@ -104,8 +102,9 @@ def with_geo(
     must not overlap, since a row would then come out twice. Rows without a range keep
     ``unknown``. The ranges are broadcast while their measured size stays under
     ``broadcast_bytes``, so ``rows`` does not move at all; beyond it both sides shuffle
-    on (block, salt) with the ranges repeated once per salt, so that one busy block is
-    shared by ``salts`` tasks.
+    on (block, salt) with the ranges repeated once per salt. The salt counts the rows of
+    a task, so equal rows get different salts: one busy block, or one busy address, is
+    shared by ``salts`` tasks. The ranges are profiled by a job when this is called.
     """
     ranges = ranges.select(F.col("lo").cast("bigint"), F.col("hi").cast("bigint"), *GEO_COLUMNS)
     facts = profile(ranges)
@@ -132,8 +131,8 @@ def with_geo(
     if size <= broadcast_bytes:
         lookup = F.broadcast(lookup)
     else:
-        # A hash of the row, not a random number: a retried task must salt alike.
-        keyed = keyed.withColumn("_salt", F.pmod(F.xxhash64(*own), F.lit(salts)).cast("int"))
+        # The salt does not decide the result, so a retried task may number its rows anew.
+        keyed = keyed.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
         lookup = lookup.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         match = match & (F.col("_salt") == F.col("_copy"))
     joined = keyed.join(lookup, match, "left")

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from footfall.operators import geo
 
@@ -102,3 +103,22 @@ def test_bad_ranges_are_refused(spark, ranges):
 def test_no_ranges_at_all(spark):
     rows = spark.createDataFrame([("1.1.1.1",)], "ip string")
     assert geo.with_geo(rows, spark.createDataFrame([], RANGES)).first().country == "unknown"
+
+
+def test_a_hot_address_is_shared_by_several_tasks(spark):
+    """Beyond the broadcast limit, with a third of all rows on one address and no other column."""
+    rows = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN '10.0.0.7' ELSE concat('10.0.', id % 200, '.9') END AS ip")
+    table = spark.createDataFrame(
+        [(10 << 24, (10 << 24) + 65535, "C", "P", "T")],
+        "lo bigint, hi bigint, country string, province string, city string",
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = geo.with_geo(rows, table, broadcast_bytes=0, salts=16).withColumn("p", F.spark_partition_id())
+        hot = found.where("ip = '10.0.0.7'").groupBy("p").count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(r["count"] for r in hot) == 1000
+    assert len(hot) >= 4 and max(r["count"] for r in hot) < 500
