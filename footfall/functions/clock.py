@@ -65,3 +65,12 @@ def order_hour(text: Column) -> Column:
 
 def order_minute(text: Column) -> Column:
     return F.substring(text, 11, 2)
+
+
+def is_minute(text: Column) -> Column:
+    """Whether the text starts with twelve digits that are a minute of the calendar; false for null."""
+    head = F.substring(text, 1, 12)
+    digits = (F.length(head) == 12) & (F.translate(head, "0123456789", "") == "")
+    # Read at a fixed offset: no local hour is skipped there.
+    at = F.try_to_timestamp(F.concat(head, F.lit("+0000")), F.lit("yyyyMMddHHmmZ"))
+    return F.coalesce(digits & at.isNotNull(), F.lit(False))

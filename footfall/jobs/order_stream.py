@@ -11,7 +11,7 @@ import argparse
 
 from footfall.session import build_session
 from footfall.sources.orders import read_files, read_kafka
-from footfall.streaming.order_stream import start_order_stream
+from footfall.streaming.order_stream import start_order_stream, store_lookups
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -26,10 +26,12 @@ def main(argv: list[str] | None = None) -> None:
         help="source option, such as minPartitions (splits a busy topic partition) or maxOffsetsPerTrigger",
     )
     options.add_argument("--totals", required=True, help="folder of the totals")
+    options.add_argument("--rejects", help="folder of messages that are not counted; <totals>_rejects when left out")
+    options.add_argument("--lookups", help="folder for counters and hash fields, written when the query stops")
     options.add_argument("--checkpoint", required=True)
     options.add_argument("--every", default="5 seconds", help="micro-batch interval")
     options.add_argument("--once", action="store_true", help="work off what has arrived, then stop")
-    options.add_argument("--watermark", help="close a day this long after it is past, such as '2 days'")
+    options.add_argument("--watermark", help="reject orders this much older than the newest, such as '2 days'")
     args = options.parse_args(argv)
     if args.brokers and not args.topics:
         options.error("--brokers needs --topics")
@@ -41,7 +43,12 @@ def main(argv: list[str] | None = None) -> None:
     else:
         messages = read_files(spark, args.files, **extra)
     every = None if args.once else args.every
-    start_order_stream(messages, args.totals, args.checkpoint, every, args.watermark).awaitTermination()
+    query = start_order_stream(messages, args.totals, args.checkpoint, every, args.watermark, rejects=args.rejects)
+    try:
+        query.awaitTermination()
+    finally:
+        if args.lookups:
+            store_lookups(spark, args.totals, args.lookups)
 
 
 if __name__ == "__main__":

@@ -41,12 +41,6 @@ def paid_fee_per_day(orders: DataFrame) -> DataFrame:
     return orders.groupBy("day").agg(_measures()["fee"].alias("fee"))
 
 
-def _grain_name() -> Column:
-    """grouping_id counts the columns that were rolled away, minute being bit 0."""
-    level = F.grouping_id()
-    return F.when(level == 0, "minute").when(level == 1, "hour").otherwise("day")
-
-
 def roll_up(minutes: DataFrame) -> DataFrame:
     """Totals of all three grains, marked by ``grain``, from totals per minute."""
     sums = [F.sum(n).alias(n) for n in _measures()]

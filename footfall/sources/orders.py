@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from footfall.functions.clock import order_day, order_hour, order_minute
+from footfall.functions.clock import is_minute, order_day, order_hour, order_minute
 from footfall.schemas import ORDER_FIELDS, ORDER_SCHEMA
 
 _BROKEN = "_broken"
@@ -59,7 +59,7 @@ def parse_orders(messages: DataFrame) -> DataFrame:
     paid = F.coalesce(F.col("flag") == "1", F.lit(False))
     reason = (
         F.when(F.col("_empty") | F.col(_BROKEN).isNotNull(), "json")
-        .when(F.coalesce(F.length("time"), F.lit(0)) < 12, "time")
+        .when(~is_minute(F.col("time")), "time")
         .when(paid & F.col("amount").isNull(), "fee")
     )
     return rows.withColumn("reject_reason", reason).drop("_empty", _BROKEN)

@@ -1,17 +1,18 @@
 """Order messages to running totals, as a Structured Streaming query.
 
-Late orders count towards the day in the message, as there is no watermark; the state
-holds one row per day, hour and minute seen. Where that must be bounded, ``watermark``
-closes a day once it is that long past and drops the orders that come later still.
-
-The query keeps totals per minute only; hours and days are added up from them when
-they are read, which is a few rows, instead of counting every order three times.
-
-Each micro-batch stores the new *absolute* totals of the minutes it touched, marked
-with the batch id. Replaying a batch after a crash rewrites the same values, and
-readers take the highest batch id of each minute, so nothing is counted twice. Offsets
-and state live in the query's checkpoint; a query that starts without it must also
-start with an empty totals folder.
+The query itself keeps no state: it parses each micro-batch once, adds up its orders per minute and stores these
+totals, and its unreadable messages with their reason, in folders named by the batch id. A replayed batch writes the
+same folders again, so nothing is counted twice. Readers add the batches up; hours and days are added up from minutes.
+As times are checked, a day has 1,440 minutes at most however many orders come.
+
+Every so many batches the totals are folded into one folder that replaces all batches so far. Readers take the newest
+finished fold and the batches after it. What a fold replaced is deleted by the next fold, so a reader that began
+before a fold still finds its files.
+
+Late orders count towards the day in the message. Where old days must stay closed, ``watermark`` sends orders that are
+more than that much older than the newest order of earlier batches to the rejects, with reason ``late``.
+
+Offsets live in the query's checkpoint; a query that starts without it must also start with an empty totals folder.
 """
 
 from __future__ import annotations
@@ -22,27 +23,43 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from footfall.operators.order_stats import GRAINS, order_stats, roll_up
+from footfall.operators.order_stats import GRAINS, order_stats, roll_up, to_counters, to_hash_fields
 from footfall.schemas import TOTALS_SCHEMA
-from footfall.sources.orders import accepted_orders, parse_orders
+from footfall.sources.orders import accepted_orders, parse_orders, rejected_orders
+
+REJECT_SCHEMA = "value string, reject_reason string"
 
 
-def running_totals(messages: DataFrame, watermark: str | None = None) -> DataFrame:
-    """Streaming totals per minute from message text in column ``value``."""
-    orders = accepted_orders(parse_orders(messages))
-    if not watermark:
-        return order_stats(orders, "minute")
-    # The offset makes the one-day window start where the day in the digits starts.
-    digits = F.concat(F.substring("time", 1, 12), F.lit("+0000"))
-    timed = orders.withColumn("at", F.try_to_timestamp(digits, F.lit("yyyyMMddHHmmZ")))
-    return order_stats(timed.withWatermark("at", watermark), "minute", F.window("at", "1 day"))
+def _fs(spark: SparkSession, text: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(text)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def read_minutes(spark: SparkSession, root: str) -> DataFrame:
-    """Current totals per minute: the newest stored value of each."""
-    stored = spark.read.schema(TOTALS_SCHEMA).option("recursiveFileLookup", "true").parquet(root)
-    newest = [F.max_by(c, "batch_id").alias(c) for c in ("total", "success", "fee")]
-    return stored.groupBy(*GRAINS["minute"]).agg(*newest, F.max("batch_id").alias("batch_id"))
+def _finished(spark: SparkSession, root: str) -> tuple[list[tuple[int, str]], list[tuple[int, str]]]:
+    """(last batch, folder) of the finished folds, newest first, and of the finished batches."""
+    path, fs = _fs(spark, root)
+    folds, batches = [], []
+    for status in fs.listStatus(path) if fs.exists(path) else []:
+        folder = status.getPath().toString()
+        kind, _, rest = status.getPath().getName().partition("-")
+        if kind in ("fold", "batch") and fs.exists(_fs(spark, f"{folder}/_SUCCESS")[0]):
+            (folds if kind == "fold" else batches).append((int(rest.split("-")[0]), folder))
+    return sorted(folds, reverse=True), sorted(batches)
+
+
+def read_minutes(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
+    """Current totals per minute; with ``before``, those of the batches before that one."""
+    folds, batches = _finished(spark, root)
+    if before is not None:
+        folds = [f for f in folds if f[0] < before]
+        batches = [b for b in batches if b[0] < before]
+    last = folds[0][0] if folds else -1
+    paths = [folder for _, folder in folds[:1]] + [folder for number, folder in batches if number > last]
+    if not paths:
+        return spark.createDataFrame([], TOTALS_SCHEMA)
+    stored = spark.read.schema(TOTALS_SCHEMA).parquet(*paths)
+    sums = [F.sum(c).alias(c) for c in ("total", "success", "fee")]
+    return stored.groupBy(*GRAINS["minute"]).agg(*sums, F.max("batch_id").alias("batch_id"))
 
 
 def read_totals(spark: SparkSession, root: str) -> DataFrame:
@@ -50,37 +67,60 @@ def read_totals(spark: SparkSession, root: str) -> DataFrame:
     return roll_up(read_minutes(spark, root))
 
 
-def _folders(spark: SparkSession, root: str):
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs, [s.getPath() for s in fs.listStatus(path) if s.isDirectory()]
+def read_rejects(spark: SparkSession, root: str) -> DataFrame:
+    """All messages that were not counted, with their reason."""
+    _, batches = _finished(spark, root)
+    if not batches:
+        return spark.createDataFrame([], REJECT_SCHEMA)
+    return spark.read.schema(REJECT_SCHEMA).parquet(*[folder for _, folder in batches])
 
 
 def compact_totals(spark: SparkSession, root: str) -> None:
-    """Fold the stored batches into one folder and delete what it replaces.
-
-    Readers may see the fold beside the batches it came from: both carry the same
-    absolute values and batch ids. A reader whose files go away while it runs reads
-    again. The new folder has a fresh name, so a fold never
-    overwrites its own input.
-    """
-    fs, old = _folders(spark, root)
-    target = f"{root.rstrip('/')}/fold-{uuid.uuid4().hex}"
-    read_minutes(spark, root).repartition(1).select(*TOTALS_SCHEMA.names).write.parquet(target)
-    for path in old:
-        fs.delete(path, True)
-
-
-def totals_writer(root: str, compact_every: int = 500):
-    """A ``foreachBatch`` function that stores the changed totals under ``root``."""
-
-    def store(changed: DataFrame, batch_id: int) -> None:
-        rows = changed.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        target = f"{root.rstrip('/')}/batch-{batch_id:012d}"
-        # A batch touches few minutes: one file.
-        rows.select(*TOTALS_SCHEMA.names).repartition(1).write.mode("overwrite").parquet(target)
+    """Fold the finished batches into one folder and delete what the fold before replaced."""
+    folds, batches = _finished(spark, root)
+    last = max([n for n, _ in folds[:1]] + [n for n, _ in batches[-1:]], default=None)
+    if last is None or (folds and folds[0][0] == last):
+        return
+    target = f"{root.rstrip('/')}/fold-{last:012d}-{uuid.uuid4().hex}"
+    read_minutes(spark, root, last + 1).repartition(1).select(*TOTALS_SCHEMA.names).write.parquet(target)
+    if folds:
+        old = [f for f in folds[1:]] + [b for b in batches if b[0] <= folds[0][0]]
+        for _, folder in old:
+            path, fs = _fs(spark, folder)
+            fs.delete(path, True)
+
+
+def _with_late(parsed: DataFrame, root: str, batch_id: int, watermark: str) -> DataFrame:
+    """Mark orders that are older than the newest stored minute by more than the watermark."""
+    spark = parsed.sparkSession
+    digits = F.max(F.concat("day", "hour", "minute"))
+    newest = read_minutes(spark, root, batch_id).agg(digits.alias("newest")).first()["newest"]
+    if newest is None:
+        return parsed
+    at = lambda c: F.try_to_timestamp(F.concat(c, F.lit("+0000")), F.lit("yyyyMMddHHmmZ"))
+    late = at(F.substring("time", 1, 12)) < at(F.lit(newest)) - F.expr(f"INTERVAL {watermark}")
+    reason = F.when(F.col("reject_reason").isNull() & late, "late").otherwise(F.col("reject_reason"))
+    return parsed.withColumn("reject_reason", reason)
+
+
+def batch_writer(root: str, rejects: str, compact_every: int = 500, watermark: str | None = None):
+    """A ``foreachBatch`` function that stores a parsed batch's totals and rejects."""
+
+    def store(parsed: DataFrame, batch_id: int) -> None:
+        name = f"batch-{batch_id:012d}"
+        if watermark:
+            parsed = _with_late(parsed, root, batch_id, watermark)
+        parsed = parsed.persist()  # parsed once for both tables
+        try:
+            # Few rows from many tasks: rebalance them into few files.
+            bad = rejected_orders(parsed).hint("rebalance")
+            bad.write.mode("overwrite").parquet(f"{rejects.rstrip('/')}/{name}")
+            rows = order_stats(accepted_orders(parsed), "minute").withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            rows.select(*TOTALS_SCHEMA.names).coalesce(1).write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}")
+        finally:
+            parsed.unpersist()
         if compact_every and batch_id % compact_every == compact_every - 1:
-            compact_totals(changed.sparkSession, root)
+            compact_totals(parsed.sparkSession, root)
 
     return store
 
@@ -92,19 +132,31 @@ def start_order_stream(
     every: str | None = "5 seconds",
     watermark: str | None = None,
     compact_every: int = 500,
+    rejects: str | None = None,
 ) -> StreamingQuery:
-    """Start the query. ``every=None`` works off what has arrived and stops."""
+    """Start the query. ``every=None`` works off what has arrived and stops.
+
+    Rejects go to ``rejects``, or else beside the totals to ``<root>_rejects``.
+    """
     trigger = {"processingTime": every} if every else {"availableNow": True}
+    rejects = rejects or f"{root.rstrip('/')}_rejects"
     return (
-        running_totals(messages, watermark)
-        .writeStream.outputMode("update")
-        .foreachBatch(totals_writer(root, compact_every))
+        parse_orders(messages)
+        .writeStream.foreachBatch(batch_writer(root, rejects, compact_every, watermark))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
     )
 
 
+def store_lookups(spark: SparkSession, root: str, target: str) -> None:
+    """Write the current counters and hash fields as two tables under ``target``, each of a size of days and hours."""
+    totals = read_totals(spark, root)
+    counters = to_counters(totals.where(F.col("grain") == "day"))
+    counters.write.mode("overwrite").parquet(f"{target.rstrip('/')}/counters")
+    to_hash_fields(totals).write.mode("overwrite").parquet(f"{target.rstrip('/')}/hash_fields")
+
+
 def offset_ranges(query: StreamingQuery) -> list[dict]:
     """Start and end offsets of the last finished batch, per source."""
     progress = query.lastProgress

@@ -48,6 +48,12 @@ def test_bad_orders_are_set_aside(spark):
         message(time="202401"): "time",
         message(time=None): "time",
         message(time="absent"): "time",
+        message(time="not a time at all"): "time",
+        message(time="2024-01-01 10:00:00"): "time",
+        message(time="20241301093015"): "time",
+        message(time="20240230093015"): "time",
+        message(time="20240101243015"): "time",
+        message(time="20240101096015"): "time",
         message(fee="abc"): "fee",
         message(fee="12.5"): "fee",
         message(fee=None): "fee",

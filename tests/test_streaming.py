@@ -4,7 +4,7 @@ import json
 import shutil
 
 from footfall.operators import order_stats as s
-from footfall.sources.orders import accepted_orders, parse_orders, read_files
+from footfall.sources.orders import accepted_orders, parse_orders, read_files, rejected_orders
 from footfall.streaming import order_stream as o
 
 SCHEMA = "value string"
@@ -39,6 +39,15 @@ def totals(spark, tmp_path):
     return sorted((tuple(r) for r in o.read_totals(spark, str(tmp_path / "totals")).collect()), key=str)
 
 
+def rejects(spark, tmp_path):
+    return sorted(tuple(r) for r in o.read_rejects(spark, str(tmp_path / "totals_rejects")).collect())
+
+
+def rejects_twin(spark, lines):
+    parsed = parse_orders(spark.createDataFrame([(x,) for x in lines], SCHEMA))
+    return sorted(tuple(r) for r in rejected_orders(parsed).collect())
+
+
 def batch_twin(spark, lines):
     rows = accepted_orders(parse_orders(spark.createDataFrame([(x,) for x in lines], SCHEMA)))
     return sorted(map(tuple, s.order_stats_all_grains(rows).collect()), key=str)
@@ -51,6 +60,7 @@ def test_stream_equals_batch_over_restarts(spark, tmp_path):
         seen += lines
         run(spark, tmp_path)
         assert totals(spark, tmp_path) == batch_twin(spark, seen)
+        assert rejects(spark, tmp_path) == rejects_twin(spark, seen)
     run(spark, tmp_path)
     assert totals(spark, tmp_path) == batch_twin(spark, seen)
 
@@ -74,6 +84,7 @@ def test_a_replayed_batch_is_not_counted_twice(spark, tmp_path):
         (tmp_path / "checkpoint" / name).unlink(missing_ok=True)
     query = run(spark, tmp_path)
     assert query.lastProgress["batchId"] == 1
+    assert rejects(spark, tmp_path) == rejects_twin(spark, BATCHES[0] + BATCHES[1])
     assert totals(spark, tmp_path) == expected == batch_twin(spark, BATCHES[0] + BATCHES[1])
 
 
@@ -87,27 +98,42 @@ def test_a_batch_lost_after_its_offsets_were_logged_is_done_again(spark, tmp_pat
     assert totals(spark, tmp_path) == batch_twin(spark, BATCHES[0])
 
 
-def test_folding_batches_keeps_the_totals(spark, tmp_path):
-    for number, lines in enumerate(BATCHES):
-        arrive(tmp_path / "in", number, lines)
+def test_folding_batches_keeps_the_totals_and_open_readers(spark, tmp_path):
+    arrive(tmp_path / "in", 0, BATCHES[0])
+    arrive(tmp_path / "in", 1, BATCHES[1])
     run(spark, tmp_path, compact_every=2)
-    names = sorted(p.name.split("-")[0] for p in (tmp_path / "totals").iterdir() if p.is_dir())
-    assert names == ["batch", "fold"]
+    root = str(tmp_path / "totals")
+    early = o.read_minutes(spark, root)
+    expected = sorted(map(tuple, early.collect()))
+    arrive(tmp_path / "in", 2, BATCHES[2])
+    run(spark, tmp_path, compact_every=0)
     everything = [line for lines in BATCHES for line in lines]
     assert totals(spark, tmp_path) == batch_twin(spark, everything)
-    o.compact_totals(spark, str(tmp_path / "totals"))
-    o.compact_totals(spark, str(tmp_path / "totals"))
+    o.compact_totals(spark, root)
+    o.compact_totals(spark, root)
     assert totals(spark, tmp_path) == batch_twin(spark, everything)
+    # The fold before and what came after it are still there.
+    assert sorted(map(tuple, early.collect())) == expected
+    names = sorted(p.name.split("-")[0] for p in (tmp_path / "totals").iterdir() if p.is_dir())
+    assert names == ["batch", "fold", "fold"]
 
 
-def test_a_fold_seen_beside_its_batches_changes_nothing(spark, tmp_path):
-    for number, lines in enumerate(BATCHES[:2]):
-        arrive(tmp_path / "in", number, lines)
+def test_an_unfinished_folder_is_not_read(spark, tmp_path):
+    arrive(tmp_path / "in", 0, BATCHES[0])
+    run(spark, tmp_path)
+    shutil.copytree(tmp_path / "totals" / "batch-000000000000", tmp_path / "totals" / "fold-000000000000-x")
+    (tmp_path / "totals" / "fold-000000000000-x" / "_SUCCESS").unlink()
+    assert totals(spark, tmp_path) == batch_twin(spark, BATCHES[0])
+    assert o.read_totals(spark, str(tmp_path / "nothing")).count() == 0
+
+
+def test_counters_and_hash_fields_are_stored(spark, tmp_path):
+    arrive(tmp_path / "in", 0, BATCHES[0])
     run(spark, tmp_path)
-    shutil.copytree(tmp_path / "totals", tmp_path / "copy")
-    o.compact_totals(spark, str(tmp_path / "totals"))
-    shutil.copytree(tmp_path / "copy", tmp_path / "totals", dirs_exist_ok=True)
-    assert totals(spark, tmp_path) == batch_twin(spark, BATCHES[0] + BATCHES[1])
+    o.store_lookups(spark, str(tmp_path / "totals"), str(tmp_path / "lookups"))
+    counters = {r.key: r.value for r in spark.read.parquet(str(tmp_path / "lookups" / "counters")).collect()}
+    assert counters == {"ImoocCount-20240101": 1, "ImoocFee-20240101": 10}
+    assert spark.read.parquet(str(tmp_path / "lookups" / "hash_fields")).where("field = 'total09'").first().value == 2
 
 
 def test_a_watermark_closes_old_days(spark, tmp_path):
@@ -126,6 +152,7 @@ def test_a_watermark_closes_old_days(spark, tmp_path):
         spark.conf.set("spark.sql.session.timeZone", before)
     day = {r[1]: r[4:] for r in totals(spark, tmp_path) if r[0] == "day"}
     assert day == {"20240101": (2, 2, 3), "20240110": (2, 2, 20)}
+    assert rejects(spark, tmp_path) == [(message("20240101120000", 8), "late")]
 
 
 def test_interval_trigger_starts_and_stops(spark, tmp_path):
