@@ -8,9 +8,7 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import functions as F
-
-from footfall.plans.daily import bulk_load_day, load_day, visit_cells
+from footfall.plans.daily import bulk_load_visits, load_day
 from footfall.schemas import VISIT_SCHEMA
 from footfall.session import build_session
 from footfall.sinks.tables import read_days
@@ -26,6 +24,7 @@ def main(argv: list[str] | None = None) -> None:
     options.add_argument("--rejects", help="folder for lines that cannot be read")
     options.add_argument("--requests", help="folder of a second table that keeps repeated requests")
     options.add_argument("--cells", help="folder for the same visits as sorted cells")
+    options.add_argument("--partitions", type=int, help="number of cell files; the shuffle partitions when left out")
     options.add_argument("--tz", default="UTC", help="zone of the stored minute")
     options.add_argument("--key", default="crc32", choices=["crc32", "sha2"])
     args = options.parse_args(argv)
@@ -33,11 +32,11 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(f"load_day {args.day}")
     lines = read_lines(spark, args.logs, args.day)
     ranges = spark.read.parquet(args.ranges)
-    load_day(lines, ranges, args.table, args.day, args.rejects, args.requests, args.tz, args.key)
+    counted = load_day(lines, ranges, args.table, args.day, args.rejects, args.requests, args.tz, args.key)
+    print(" ".join(f"{name}={n}" for name, n in counted.items()))
     if args.cells:
         # From the stored table: placing the sort ranges reads the input twice.
-        stored = read_days(spark, args.table, VISIT_SCHEMA).where(F.col("day") == args.day)
-        bulk_load_day(visit_cells(stored), args.cells, args.day)
+        bulk_load_visits(read_days(spark, args.table, VISIT_SCHEMA, args.day), args.cells, args.day, 0, args.partitions)
 
 
 if __name__ == "__main__":

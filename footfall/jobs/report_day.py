@@ -28,12 +28,12 @@ def main(argv: list[str] | None = None) -> None:
     args = options.parse_args(argv)
 
     spark = build_session(f"report_day {args.day}")
-    report_day(spark, args.table, args.reports, args.day)
-    this_day = F.col("day") == args.day
-    browsers = read_days(spark, f"{args.reports}/browser_stat", BROWSER_STAT_SCHEMA).where(this_day)
-    regions = read_days(spark, f"{args.reports}/region_stat", REGION_STAT_SCHEMA).where(this_day)
+    print(f"unreported={report_day(spark, args.table, args.reports, args.day)}")
+    browsers = read_days(spark, f"{args.reports}/browser_stat", BROWSER_STAT_SCHEMA, args.day)
+    regions = read_days(spark, f"{args.reports}/region_stat", REGION_STAT_SCHEMA, args.day)
     regions.orderBy(F.desc("cnt"), "country", "province").show(args.top, truncate=False)
-    browsers.orderBy(F.desc("cnt"), "browser").show(truncate=False)
+    # One row per browser of the rule list.
+    browsers.orderBy(F.desc("cnt"), "browser").show(browsers.count(), truncate=False)
     if args.jdbc_url:
         properties = dict(option.split("=", 1) for option in args.jdbc_option)
         replace_day(browsers, args.jdbc_url, "browser_stat", args.day, properties)

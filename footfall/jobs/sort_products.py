@@ -28,7 +28,9 @@ def main(argv: list[str] | None = None) -> None:
     if args.out:
         ordered.write.mode("overwrite").parquet(args.out)
     else:
-        ordered.show(truncate=False)
+        print(*ordered.columns)
+        for row in ordered.toLocalIterator():  # every row, a partition at a time
+            print(*row)
 
 
 if __name__ == "__main__":

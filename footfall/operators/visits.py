@@ -57,17 +57,26 @@ def visit_cube(visits: DataFrame) -> DataFrame:
 
 
 def region_stat(cube: DataFrame) -> DataFrame:
-    """Report table rows; a row without a region is left out, as the table forbids nulls."""
+    """Report table rows; the table forbids nulls, see ``unreported`` for the rest."""
     rows = cube.where(F.col("country").isNotNull() & F.col("province").isNotNull())
     return rows.groupBy("day", "country", "province").agg(F.sum("cnt").alias("cnt"))
 
 
 def browser_stat(cube: DataFrame) -> DataFrame:
+    """Report table rows; as ``region_stat``. ``cube`` may lack the region."""
     rows = cube.where(F.col("browsername").isNotNull())
     named = rows.withColumnRenamed("browsername", "browser")
     return named.groupBy("day", "browser").agg(F.sum("cnt").alias("cnt"))
 
 
+def unreported(cube: DataFrame) -> DataFrame:
+    """The visits that a report leaves out, counted: day, country, province, browsername, cnt, reject_reason."""
+    no_region = F.col("country").isNull() | F.col("province").isNull()
+    reason = F.when(no_region & F.col("browsername").isNull(), "region, browser").when(no_region, "region")
+    reason = reason.when(F.col("browsername").isNull(), "browser")
+    return cube.withColumn("reject_reason", reason).where(F.col("reject_reason").isNotNull())
+
+
 def _complete() -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in VISIT_COLUMNS])
 
@@ -80,3 +89,12 @@ def storable(visits: DataFrame) -> DataFrame:
 def unstorable(visits: DataFrame) -> DataFrame:
     """The visits that ``storable`` leaves out."""
     return visits.where(~_complete()).select("rowkey", *VISIT_COLUMNS, "day")
+
+
+def merged_keys(keyed: DataFrame) -> int:
+    """How many visits a short key hides: distinct (day, key text) pairs beyond the distinct (day, rowkey) pairs.
+
+    ``keyed`` has day, rowkey and ``sha2_key``, the same visit's key by a digest without collisions.
+    """
+    row = keyed.agg(F.count_distinct("day", "sha2_key").alias("texts"), F.count_distinct("day", "rowkey").alias("keys")).first()
+    return row["texts"] - row["keys"]

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.functions.agents import with_agent
-from footfall.operators.cells import sort_for_bulk_load, to_cells
+from footfall.functions.keys import visit_key
+from footfall.operators.cells import sort_for_bulk_load, sort_rows_for_bulk_load, to_cells
 from footfall.operators.geo import with_geo
-from footfall.operators.visits import browser_stat, dedup_visits, region_stat, storable, visit_cube
+from footfall.operators.visits import browser_stat, dedup_visits, merged_keys, region_stat, storable, unreported, visit_cube
 from footfall.schemas import GEO_COLUMNS, LOG_COLUMNS, VISIT_COLUMNS, VISIT_SCHEMA
+from footfall.session import discard, materialize
 from footfall.sinks.tables import read_days, write_day, write_report
-from footfall.sources.access_log import accepted, parse_lines, rejected, with_key
+from footfall.sources.access_log import accepted, parse_lines, with_key
 
 BARE_COLUMNS = tuple(c for c in VISIT_COLUMNS if c not in GEO_COLUMNS)
 FAMILY = "info"
@@ -38,6 +42,17 @@ def visits(lines: DataFrame, ranges: DataFrame, tz: str = "UTC", day: str | None
     return storable(with_geo(dedup_visits(requests(lines, tz, day, digest)), ranges))
 
 
+def staged_day(lines: DataFrame, tz: str = "UTC", day: str | None = None, digest: str = "crc32") -> DataFrame:
+    """Every line, parsed in the one scan of the log, as stored rows: the request's columns or, where it cannot be
+    taken, its text and ``reject_reason``. ``sha2_key`` is the key without collisions, to count those of the key."""
+    rows = with_key(with_agent(parse_lines(lines, tz)), day, digest)
+    incomplete = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in ("rowkey", *BARE_COLUMNS)])
+    reason = F.coalesce("reject_reason", F.when(incomplete, "incomplete"))
+    rows = rows.withColumn("sha2_key", visit_key(F.col("day"), "sha2")).withColumn("reject_reason", reason)
+    text = F.when(F.col("reject_reason").isNotNull(), F.col("value")).alias("value")
+    return materialize(rows.select("rowkey", *BARE_COLUMNS, "day", "sha2_key", "reject_reason", text), "staged_day")
+
+
 def load_day(
     lines: DataFrame,
     ranges: DataFrame,
@@ -47,22 +62,37 @@ def load_day(
     every_request: str | None = None,
     tz: str = "UTC",
     digest: str = "crc32",
-) -> None:
-    """Replace one day of the visit table; lines that cannot be read go to ``rejects``.
+) -> dict[str, int]:
+    """Replace one day of the visit table; lines that cannot be taken go to ``rejects``, if given.
 
     ``every_request`` names a second table of the same shape that keeps repeated
-    requests; the visits are then taken from it and the log is not parsed again. Reports
-    count visits or requests by the table they read.
+    requests. Reports count visits or requests by the table they read. Returns what was
+    counted: lines, accepted, rejected, and merged (visits that the short key hides).
     """
-    if every_request:
-        write_day(storable(with_geo(requests(lines, tz, day, digest), ranges)), every_request, day)
-        stored = read_days(lines.sparkSession, every_request, VISIT_SCHEMA).where(F.col("day") == day)
-        write_day(storable(dedup_visits(stored)), table, day)
-    else:
-        write_day(visits(lines, ranges, tz, day, digest), table, day)
-    if rejects:
-        # Few rows from very many tasks: rebalance them into few files.
-        write_day(rejected(parse_lines(lines, tz)).hint("rebalance"), rejects, day)
+    staged = staged_day(lines, tz, day, digest)
+    try:
+        bad = F.col("reject_reason").isNotNull()
+        counted = staged.agg(F.count(F.lit(1)).alias("lines"), F.count_if(bad).alias("rejected")).first()
+        good = staged.where(~bad).select("rowkey", *BARE_COLUMNS, "day")
+        if every_request:
+            write_day(_in_key_order(storable(with_geo(good, ranges))), every_request, day)
+        visits_ = storable(with_geo(dedup_visits(good), ranges))
+        write_day(_in_key_order(visits_), table, day)
+        if rejects:
+            # Few rows from very many tasks: rebalance them into few files.
+            write_day(staged.where(bad).select("value", "reject_reason").hint("rebalance"), rejects, day)
+        merged = merged_keys(staged.where(~bad)) if digest == "crc32" else 0
+    finally:
+        discard(staged)
+    return {
+        "lines": counted["lines"], "accepted": counted["lines"] - counted["rejected"],
+        "rejected": counted["rejected"], "merged": merged,
+    }
+
+
+def _in_key_order(visits: DataFrame) -> DataFrame:
+    """Ranges of the key, sorted inside, so that a lookup skips files and row groups."""
+    return visits.repartitionByRange("rowkey").sortWithinPartitions("rowkey")
 
 
 def visit_cells(stored: DataFrame, ts: int = 0) -> DataFrame:
@@ -70,17 +100,27 @@ def visit_cells(stored: DataFrame, ts: int = 0) -> DataFrame:
     return to_cells(stored, {FAMILY: VISIT_COLUMNS}, ts)
 
 
-def bulk_load_day(cells: DataFrame, table: str, day: str, partitions: int | None = None) -> None:
-    """Replace one day of a cell table by files that are in total key order."""
-    write_day(sort_for_bulk_load(cells, partitions), table, day)
+def bulk_load_day(cells: DataFrame, table: str, day: str, partitions: int | None = None) -> str:
+    """Replace one day of a cell table by files that are in total key order; returns their folder."""
+    return write_day(sort_for_bulk_load(cells, partitions), table, day)
+
+
+def bulk_load_visits(stored: DataFrame, table: str, day: str, ts: int = 0, partitions: int | None = None) -> str:
+    """``bulk_load_day`` for stored visits: they are sorted as wide rows, a fifteenth of the rows, and then cut."""
+    return write_day(sort_rows_for_bulk_load(stored, {FAMILY: VISIT_COLUMNS}, ts, partitions), table, day)
 
 
-def report_day(spark: SparkSession, table: str, reports: str, day: str) -> None:
-    """Replace the day in both report tables; the visits are scanned once, three columns wide."""
-    stored = read_days(spark, table, VISIT_SCHEMA).where(F.col("day") == day)
+def report_day(spark: SparkSession, table: str, reports: str, day: str) -> int:
+    """Replace the day in both report tables; the visits are scanned once, three columns wide.
+
+    Visits with a null report key go to a table of their own, ``unreported``; their number is returned.
+    """
+    stored = read_days(spark, table, VISIT_SCHEMA, day)
     cube = visit_cube(stored).persist()
     try:
         write_report(browser_stat(cube), f"{reports}/browser_stat", day)
         write_report(region_stat(cube), f"{reports}/region_stat", day)
+        write_report(unreported(cube), f"{reports}/unreported", day)
+        return unreported(cube).agg(F.coalesce(F.sum("cnt"), F.lit(0))).first()[0]
     finally:
         cube.unpersist()

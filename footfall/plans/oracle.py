@@ -30,10 +30,10 @@ requests AS (
          CASE WHEN event_type = 'error' THEN '404' ELSE '200' END AS status,
          CAST(event_id % 5000 AS VARCHAR) AS bytessent,
          CASE WHEN user_id % 3 = 0 THEN '-' ELSE 'https://www.example.com/' || event_type END AS referer,
-         (['Sogou Explorer', 'Chrome', 'swcd', 'Sogou web spider', 'Go-http-client'])[user_id % 5 + 1] AS browsername,
-         (['2.X', '73.0.3642.0', 'unknown', '4.0', '1.1'])[user_id % 5 + 1] AS browserversion,
-         (['Windows', 'Windows', 'Darwin', 'unknown', 'unknown'])[user_id % 5 + 1] AS osname,
-         (['10.0', '10.0', '18.0.0', 'unknown', 'unknown'])[user_id % 5 + 1] AS osversion,
+         (['Sogou Explorer', 'Chrome', 'swcd', 'Crawler', 'Go-http-client'])[user_id % 5 + 1] AS browsername,
+         (['2.X', '120.0.6099.71', 'unknown', '2.1', '2.0'])[user_id % 5 + 1] AS browserversion,
+         (['Windows', 'Mac OS X', 'Darwin', 'unknown', 'unknown'])[user_id % 5 + 1] AS osname,
+         (['10.0', '10_15_7', '21.4.0', 'unknown', 'unknown'])[user_id % 5 + 1] AS osversion,
          ([{_AGENTS}])[user_id % 5 + 1] AS ua,
          strftime(ts, '[%d/%b/%Y:%H:%M:%S +0000]') AS time,
          'www.example.com' AS host,
@@ -91,6 +91,11 @@ _STORED = (
     "referer, browsername, browserversion, osname, osversion"
 )
 
+_VISIT_CELLS = (
+    "SELECT rowkey, 'info' AS family, qualifier, CAST(1 AS BIGINT) AS ts, value "
+    f"FROM (UNPIVOT (SELECT rowkey, {_STORED} FROM visits) ON {_STORED} INTO NAME qualifier VALUE value)"
+)
+
 _ORDERS = """
 orders_in AS (
   SELECT strftime(ts, '%Y%m%d%H%M%S') AS time, CAST(user_id AS VARCHAR) AS userid,
@@ -141,11 +146,11 @@ wide AS (
 
 
 def _cells(source: str, ts: int) -> str:
-    columns = {"segment": "info", "acctbal": "info", "nationkey": "address"}
+    columns = [("segment", "info"), ("acctbal", "info"), ("nationkey", "address"), ("acctbal", "address")]
     return " UNION ALL ".join(
         f"SELECT rowkey, '{f}' AS family, '{q}' AS qualifier, CAST({ts} AS BIGINT) AS ts, {q} AS value "
         f"FROM {source} WHERE {q} IS NOT NULL"
-        for q, f in columns.items()
+        for q, f in columns
     )
 
 
@@ -153,6 +158,15 @@ def _on_wide(select: str) -> str:
     return f"WITH {_WIDE}\n{select}"
 
 
+# Cells that a change names come out once, as changed here; all others with all their versions.
+_UPSERTED = f"""
+SELECT rowkey, family, qualifier, ts, value FROM ({_cells("(SELECT * FROM wide WHERE kind = 'customer')", 1)}
+  UNION ALL SELECT rowkey, 'info', 'segment', 0, 'PROSPECT' FROM wide
+  WHERE kind = 'customer' AND CAST(nationkey AS INTEGER) % 3 = 0)
+WHERE qualifier <> 'segment' OR rowkey NOT IN (SELECT rowkey FROM wide WHERE kind = 'customer' AND balance < 0)
+UNION ALL {_cells("(SELECT * FROM wide WHERE kind = 'supplier')", 2)}
+UNION ALL SELECT rowkey, 'info', 'segment', 2, 'ON_HOLD' FROM wide WHERE kind = 'customer' AND balance < 0"""
+
 _PRODUCTS = """
 SELECT p_partkey, replace(p_name, ' ', '_') AS name, CAST(floor(p_retailprice) AS INTEGER) AS price, p_size AS store
 FROM part"""
@@ -177,10 +191,7 @@ ORACLE: dict[str, str] = {
     "visit_dedup": _on_visits(f"SELECT {_BARE} FROM visits"),
     "visit_table": _on_visits(f"SELECT rowkey, {_STORED}, day FROM visits"),
     "visit_scan_projected": _on_visits("SELECT country, province, browsername FROM visits"),
-    "visit_cells": _on_visits(
-        f"SELECT rowkey, 'info' AS family, qualifier, CAST(1 AS BIGINT) AS ts, value "
-        f"FROM (UNPIVOT (SELECT rowkey, {_STORED} FROM visits) ON {_STORED} INTO NAME qualifier VALUE value)"
-    ),
+    "visit_cells": _on_visits(_VISIT_CELLS),
     "visits_by_region": _on_visits(
         "SELECT country, province, count(*) AS cnt FROM visits GROUP BY country, province"
     ),
@@ -212,19 +223,14 @@ ORACLE: dict[str, str] = {
         """SELECT '{"time":"' || time || '","userid":"' || userid || '","courseid":"' || courseid || '","fee":"' || fee
         || '","flag":"' || flag || '","orderid":"' || orderid || '"}' AS value FROM orders_in"""
     ),
+    "order_stream_rejects": "SELECT text AS value, 'json' AS reject_reason FROM conversations",
     "order_stream_totals": _on_orders(_ALL_GRAINS),
     "order_stream_counters": _on_orders(_COUNTERS),
     "order_stream_hash_fields": _on_orders(_HASH_FIELDS),
     "row_to_cells": _on_wide(_cells("wide", 1)),
-    "cells_to_row": _on_wide("SELECT rowkey, segment, acctbal, nationkey FROM wide"),
-    "cell_upsert": _on_wide(
-        "SELECT rowkey, family, qualifier, max(ts) AS ts, arg_max(value, ts) AS value FROM ("
-        + _cells("(SELECT * FROM wide WHERE kind = 'customer')", 1)
-        + " UNION ALL "
-        + _cells("(SELECT * FROM wide WHERE kind = 'supplier')", 2)
-        + " UNION ALL SELECT rowkey, 'info', 'segment', 2, 'ON_HOLD' FROM wide WHERE kind = 'customer' AND balance < 0"
-        ") GROUP BY rowkey, family, qualifier"
-    ),
+    "cells_to_row": _on_wide("SELECT rowkey, segment, acctbal, nationkey, acctbal AS address_acctbal FROM wide"),
+    "cell_upsert": _on_wide(_UPSERTED),
+    "cell_put_stored": _on_wide(_UPSERTED),
     "rowkey_get": _on_wide(
         "SELECT rowkey, segment, acctbal, nationkey FROM wide WHERE rowkey = 'Customer#000000042'"
     ),
@@ -235,6 +241,7 @@ ORACLE: dict[str, str] = {
     ),
     "family_scan": _on_wide(f"SELECT * FROM ({_cells('wide', 1)}) WHERE family = 'info'"),
     "bulk_cells": _on_wide(_cells("wide", 1)),
+    "bulk_visit_cells": _on_visits(_VISIT_CELLS),
     "product_sort": (
         "SELECT *, row_number() OVER (ORDER BY price DESC, store DESC, p_partkey) AS position "
         f"FROM ({_PRODUCTS})"

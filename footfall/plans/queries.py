@@ -26,13 +26,11 @@ from footfall.schemas import (
 )
 from footfall.session import scratch_path
 from footfall.sinks.messages import write_messages
-from footfall.sinks.tables import read_days, read_family, write_cells, write_days
+from footfall.sinks.tables import put_cells, read_cells, read_days, read_family, write_cells, write_days
 from footfall.sources.access_log import accepted, parse_lines, rejected, typed_view, with_key
 from footfall.sources.orders import accepted_orders, parse_orders, rejected_orders, to_messages
 from footfall.sources.products import parse_products
-from footfall.streaming.order_stream import read_totals, start_order_stream
-
-STATE_PARTITIONS = 8
+from footfall.streaming.order_stream import read_rejects, read_totals, start_order_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -57,7 +55,7 @@ def _visits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stored_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "visits")
-    write_days(_visits(spark, sf_dir), root)
+    write_days(_visits(spark, sf_dir), root, "rowkey")
     return read_days(spark, root, VISIT_SCHEMA)
 
 
@@ -149,12 +147,12 @@ def top10_regions(spark, sf_dir):
 
 @query
 def visits_by_browser(spark, sf_dir):
-    return visit_ops.visits_by_browser(visit_ops.dedup_visits(_requests(spark, sf_dir)))
+    return visit_ops.visits_by_browser(_stored_visits(spark, sf_dir))
 
 
 @query
 def visits_by_browser_sql(spark, sf_dir):
-    return visit_ops.visits_by_browser_sql(visit_ops.dedup_visits(_requests(spark, sf_dir)))
+    return visit_ops.visits_by_browser_sql(_stored_visits(spark, sf_dir))
 
 
 @query
@@ -166,7 +164,9 @@ def requests_by_browser(spark, sf_dir):
 @query
 def browser_stat(spark, sf_dir):
     root = scratch_path(spark, "browser_stat")
-    write_days(visit_ops.browser_stat(visit_ops.visit_cube(_visits(spark, sf_dir))), root)
+    # The report needs no place, so the visits are not located.
+    visits = visit_ops.dedup_visits(_requests(spark, sf_dir))
+    write_days(visit_ops.browser_stat(visit_ops.visits_by(visits, "day", "browsername")), root)
     return read_days(spark, root, BROWSER_STAT_SCHEMA)
 
 
@@ -244,20 +244,31 @@ def order_to_json(spark, sf_dir):
     return spark.read.text(path)
 
 
+def _stream(spark: SparkSession, messages: DataFrame) -> str:
+    """Work off a stream of messages; returns the folder of totals, with the rejects beside it."""
+    root = scratch_path(spark, "totals")
+    start_order_stream(messages, root, scratch_path(spark, "checkpoint"), every=None).awaitTermination()
+    return root
+
+
+def _arriving(spark: SparkSession, sf_dir: str, table: str, pattern: str) -> DataFrame:
+    schema = derived.table(spark, sf_dir, table).schema
+    # A file stream takes a folder or a pattern; this pattern also fits a single file.
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 64).parquet(f"{sf_dir}/{pattern}")
+
+
 def _stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals that a streaming run over the events leaves behind."""
-    # The state has 1,440 rows a day, so a few state partitions do at any input size.
-    session = spark.newSession()
-    session.conf.set("spark.sql.shuffle.partitions", str(STATE_PARTITIONS))
-    schema = derived.table(spark, sf_dir, "events").schema
-    # A file stream takes a folder or a pattern; this pattern also fits a single file.
-    arriving = session.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet")
-    root = scratch_path(spark, "totals")
-    run = start_order_stream(
-        to_messages(derived.order_rows(arriving)), root, scratch_path(spark, "checkpoint"), every=None
-    )
-    run.awaitTermination()
-    return read_totals(spark, root)
+    arriving = _arriving(spark, sf_dir, "events", "event[s].parquet")
+    return read_totals(spark, _stream(spark, to_messages(derived.order_rows(arriving))))
+
+
+@query
+def order_stream_rejects(spark, sf_dir):
+    """Order messages and chat text in one stream: the chat text must be kept, whole, with its reason."""
+    orders = to_messages(derived.order_rows(_arriving(spark, sf_dir, "events", "event[s].parquet")))
+    chat = _arriving(spark, sf_dir, "conversations", "conversation[s].parquet").select(F.col("text").alias("value"))
+    return read_rejects(spark, f"{_stream(spark, orders.unionByName(chat))}_rejects")
 
 
 @query
@@ -285,7 +296,7 @@ def row_to_cells(spark, sf_dir):
 
 @query
 def cells_to_row(spark, sf_dir):
-    return cell_ops.from_cells(derived.cells(spark, sf_dir), derived.CELL_COLUMNS)
+    return cell_ops.from_cells(derived.cells(spark, sf_dir), derived.CELL_COLUMNS, derived.CELL_NAMES)
 
 
 @query
@@ -293,6 +304,15 @@ def cell_upsert(spark, sf_dir):
     return cell_ops.upsert_cells(derived.customer_cells(spark, sf_dir), derived.cell_changes(spark, sf_dir))
 
 
+@query
+def cell_put_stored(spark, sf_dir):
+    """Put into a stored cell table, then read it."""
+    root = scratch_path(spark, "cell_table")
+    write_cells(derived.customer_cells(spark, sf_dir), root)
+    put_cells(spark, root, derived.cell_changes(spark, sf_dir))
+    return read_cells(spark, root)
+
+
 @query
 def rowkey_get(spark, sf_dir):
     return cell_ops.get_row(derived.wide_rows(spark, sf_dir), "Customer#000000042")
@@ -318,8 +338,15 @@ def family_scan(spark, sf_dir):
 @query
 def bulk_cells(spark, sf_dir):
     root = scratch_path(spark, "bulk_cells")
-    daily.bulk_load_day(derived.cells(spark, sf_dir), root, "20240101")
-    return spark.read.schema(CELL_SCHEMA).parquet(f"{root}/day=20240101")
+    folder = daily.bulk_load_day(derived.cells(spark, sf_dir), root, "20240101")
+    return spark.read.schema(CELL_SCHEMA).parquet(folder)
+
+
+@query
+def bulk_visit_cells(spark, sf_dir):
+    root = scratch_path(spark, "bulk_visit_cells")
+    folder = daily.bulk_load_visits(_stored_visits(spark, sf_dir), root, "20240101", ts=1)
+    return spark.read.schema(CELL_SCHEMA).parquet(folder)
 
 
 # --- products -------------------------------------------------------------------------

@@ -1,4 +1,4 @@
-"""Day-partitioned Parquet tables."""
+"""Day-partitioned Parquet tables and cell tables, in versions."""
 
 from __future__ import annotations
 
@@ -8,63 +8,75 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from footfall.operators.cells import upsert_cells
 from footfall.schemas import CELL_SCHEMA
 
 
+# Current versions are named by empty files: <day>~<number>~<version>.
+POINTERS = "_current"
+CELLS = "all"  # stands for the day of a table without days
+
+
 def _path(spark: SparkSession, text: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(text)
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def publish(spark: SparkSession, staged: str, target: str) -> None:
-    """Move a finished folder into place, replacing what was there.
+def _pointers(spark: SparkSession, root: str) -> dict[str, list[tuple[int, str]]]:
+    """(number, version) of each day's pointers, newest first. One listing, whatever the number of days."""
+    path, fs = _path(spark, f"{root.rstrip('/')}/{POINTERS}")
+    found: dict[str, list[tuple[int, str]]] = {}
+    for status in fs.listStatus(path) if fs.exists(path) else []:
+        day, number, version = status.getPath().getName().split("~")
+        found.setdefault(day, []).append((int(number), version))
+    return {day: sorted(versions, reverse=True) for day, versions in found.items()}
 
-    The old folder is moved aside first and deleted last, so a failure in between
-    leaves either state complete on disk.
-    """
-    new, fs = _path(spark, staged)
-    final, _ = _path(spark, target)
-    aside, _ = _path(spark, f"{staged}-replaced")
-    fs.mkdirs(final.getParent())
-    replaced = fs.exists(final)
-    if replaced:
-        fs.mkdirs(aside.getParent())
-        if not fs.rename(final, aside):
-            raise OSError(f"cannot move {target} aside")
-    moved = False
-    try:
-        moved = fs.rename(new, final)
-    finally:
-        if replaced and not moved:
-            fs.rename(aside, final)
-    if not moved:
-        raise OSError(f"cannot move {staged} to {target}")
-    if replaced:
-        fs.delete(aside, True)
 
+def _folder(root: str, day: str, version: str) -> str:
+    return f"{root.rstrip('/')}/day={day}/version={version}"
 
-def write_day(rows: DataFrame, root: str, day: str) -> str:
-    """Replace one day of a table, also when the rerun has no rows for it.
 
-    Rows are written beside the table, under a name that readers skip, and moved in
-    once the job is done, so readers never see half a day.
+def publish(spark: SparkSession, root: str, day: str, version: str) -> None:
+    """Make a finished version of a day the current one.
+
+    Creating one empty file is the switch, so a reader finds the old day or the new one whenever it looks and wherever
+    a writer dies; nothing is renamed. The version before stays until the next publish, for readers that began with
+    it; older ones are deleted, with whatever dead writers left between.
     """
-    spark = rows.sparkSession
-    staged = f"{root.rstrip('/')}/_staging/{day}-{uuid.uuid4().hex}"
-    target = f"{root.rstrip('/')}/day={day}"
-    rows.drop("day").write.parquet(staged)
-    publish(spark, staged, target)
+    root = root.rstrip("/")
+    before = _pointers(spark, root).get(day, [])
+    number = before[0][0] + 1 if before else 0
+    pointer, fs = _path(spark, f"{root}/{POINTERS}/{day}~{number:012d}~{version}")
+    fs.create(pointer, False).close()
+    for old_number, old in before[1:]:
+        fs.delete(_path(spark, _folder(root, day, old))[0], True)
+        fs.delete(_path(spark, f"{root}/{POINTERS}/{day}~{old_number:012d}~{old}")[0], False)
+
+
+def write_day(rows: DataFrame, root: str, day: str) -> str:
+    """Replace one day of a table, also when the rerun has no rows for it; returns the new version's folder."""
+    version = uuid.uuid4().hex
+    target = _folder(root, day, version)
+    rows.drop("day").write.parquet(target)
+    publish(rows.sparkSession, root, day, version)
     return target
 
 
-def write_days(rows: DataFrame, root: str) -> None:
+def write_days(rows: DataFrame, root: str, *order: str) -> None:
     """Replace every day that ``rows`` holds and keep the others: for backfills.
 
-    The rebalance hint groups a day's rows for few files and lets adaptive execution
-    split a day that is too big for one task.
+    Rows are ranged by day and the columns of ``order`` and sorted, so a heavy day spans several files, each of a
+    narrow range of the order: a point lookup then skips most files and row groups.
     """
-    writer = rows.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("day").parquet(root)
+    spark, root, version = rows.sparkSession, root.rstrip("/"), uuid.uuid4().hex
+    ranged = rows.withColumn("version", F.lit(version)).repartitionByRange("day", *order)
+    writer = ranged.sortWithinPartitions("day", *order).write.mode("append").partitionBy("day", "version")
+    writer.parquet(root)
+    top, fs = _path(spark, root)
+    days = [s.getPath().getName().removeprefix("day=") for s in fs.listStatus(top) if s.getPath().getName().startswith("day=")]
+    for day in days:
+        if fs.exists(_path(spark, _folder(root, day, version))[0]):
+            publish(spark, root, day, version)
 
 
 def write_report(rows: DataFrame, root: str, day: str) -> str:
@@ -72,19 +84,43 @@ def write_report(rows: DataFrame, root: str, day: str) -> str:
     return write_day(rows.coalesce(1), root, day)
 
 
-def read_days(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """The table with ``day`` as text; a filter on it prunes folders."""
-    return spark.read.schema(schema).parquet(root)
+def read_days(spark: SparkSession, root: str, schema: T.StructType | str, day: str | None = None) -> DataFrame:
+    """The table's current days, or one of them, with ``day`` as text; a filter on it prunes folders."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    current = _pointers(spark, root)
+    days = [d for d in current if day in (None, d)]
+    if not days:
+        return spark.createDataFrame([], schema)
+    full = T.StructType([*schema.fields, T.StructField("version", T.StringType())])
+    reader = spark.read.schema(full).option("basePath", root)
+    return reader.parquet(*[_folder(root, d, current[d][0][1]) for d in days]).select(*schema.names)
 
 
 def write_cells(cells: DataFrame, root: str) -> None:
-    """Store cells with one folder per family, so that a scan of a family opens only its own."""
-    cells.write.mode("overwrite").partitionBy("family").parquet(root)
+    """Replace a cell table, with one folder per family, so that a scan of a family opens only its own.
+
+    Versions of the table are kept like a day's.
+    """
+    version = uuid.uuid4().hex
+    cells.write.partitionBy("family").parquet(_folder(root, CELLS, version))
+    publish(cells.sparkSession, root, CELLS, version)
+
+
+def read_cells(spark: SparkSession, root: str) -> DataFrame:
+    """The current version of a cell table."""
+    current = _pointers(spark, root).get(CELLS)
+    if not current:
+        return spark.createDataFrame([], CELL_SCHEMA)
+    return spark.read.schema(CELL_SCHEMA).parquet(_folder(root, CELLS, current[0][1])).select(*CELL_SCHEMA.names)
+
+
+def put_cells(spark: SparkSession, root: str, changes: DataFrame) -> None:
+    """Put changes into a stored cell table: read, upsert, publish. Readers see the table before or after."""
+    write_cells(upsert_cells(read_cells(spark, root), changes), root)
 
 
 def read_family(spark: SparkSession, root: str, family: str) -> DataFrame:
-    stored = spark.read.schema(CELL_SCHEMA).parquet(root).where(F.col("family") == family)
-    return stored.select(*CELL_SCHEMA.names)
+    return read_cells(spark, root).where(F.col("family") == family)
 
 
 def create_cell_table(spark: SparkSession, name: str, root: str, families: list[str]) -> None:
@@ -100,7 +136,7 @@ def create_cell_table(spark: SparkSession, name: str, root: str, families: list[
 
 def list_families(spark: SparkSession) -> DataFrame:
     """Every partitioned table of the current database with its families."""
-    found = []
+    found = []  # metadata: a row per table and family
     for table in spark.catalog.listTables():
         if table.tableType not in ("MANAGED", "EXTERNAL"):
             continue

@@ -47,10 +47,11 @@ def test_ip_number(spark, text, number):
 WIN = "Mozilla/5.0 (Windows NT 10.0; Win64; x64)"
 AGENTS = {
     USER_AGENTS[0]: ("Sogou Explorer", "2.X", "Windows", "10.0"),
-    USER_AGENTS[1]: ("Chrome", "73.0.3642.0", "Windows", "10.0"),
-    USER_AGENTS[2]: ("swcd", "unknown", "Darwin", "18.0.0"),
-    USER_AGENTS[3]: ("Sogou web spider", "4.0", "unknown", "unknown"),
-    USER_AGENTS[4]: ("Go-http-client", "1.1", "unknown", "unknown"),
+    USER_AGENTS[1]: ("Chrome", "120.0.6099.71", "Mac OS X", "10_15_7"),
+    USER_AGENTS[2]: ("swcd", "unknown", "Darwin", "21.4.0"),
+    USER_AGENTS[3]: ("Crawler", "2.1", "unknown", "unknown"),
+    USER_AGENTS[4]: ("Go-http-client", "2.0", "unknown", "unknown"),
+    "Sogou web spider/4.0(+http://www.example.com)": ("Sogou web spider", "4.0", "unknown", "unknown"),
     f"{WIN} AppleWebKit/537.36 (KHTML, like Gecko) Chrome/120.0.0.0 Safari/537.36 Edg/120.0.2210.91":
         ("Edge", "120.0.2210.91", "Windows", "10.0"),
     f"{WIN} AppleWebKit/537.36 (KHTML, like Gecko) Chrome/120.0.0.0 Safari/537.36 OPR/106.0.0.0":
@@ -59,14 +60,14 @@ AGENTS = {
     "Mozilla/5.0 (Windows NT 6.1; WOW64; Trident/7.0; rv:11.0) like Gecko":
         ("Internet Explorer", "11.0", "Windows", "6.1"),
     "Mozilla/4.0 (compatible; MSIE 8.0; Windows NT 5.1)": ("Internet Explorer", "8.0", "Windows", "5.1"),
-    "Mozilla/5.0 (iPhone; CPU iPhone OS 12_1_4 like Mac OS X) AppleWebKit/605.1.15 Version/12.0 Mobile/15E148 Safari/604.1":
-        ("Safari", "12.0", "iOS", "12_1_4"),
+    "Mozilla/5.0 (iPhone; CPU iPhone OS 16_5 like Mac OS X) AppleWebKit/605.1.15 Version/12.0 Mobile/15E148 Safari/604.1":
+        ("Safari", "12.0", "iOS", "16_5"),
     "Mozilla/5.0 (iPad; CPU OS 13_3 like Mac OS X) AppleWebKit/605.1.15 Version/13.0 Mobile/15E148 Safari/604.1":
         ("Safari", "13.0", "iOS", "13_3"),
     "Mozilla/5.0 (Macintosh; Intel Mac OS X 10_14_3) AppleWebKit/605.1.15 Version/12.0.3 Safari/605.1.15":
         ("Safari", "12.0.3", "Mac OS X", "10_14_3"),
-    "Mozilla/5.0 (Linux; Android 8.1.0; V1) AppleWebKit/537.36 Chrome/66.0.3359.126 Mobile Safari/537.36 MicroMessenger/7.0.3":
-        ("WeChat", "7.0.3", "Android", "8.1.0"),
+    "Mozilla/5.0 (Linux; Android 11; V1) AppleWebKit/537.36 Chrome/66.0.3359.126 Mobile Safari/537.36 MicroMessenger/7.0.3":
+        ("WeChat", "7.0.3", "Android", "11"),
     "Mozilla/5.0 (compatible; Googlebot/2.1; +http://www.google.com/bot.html)": ("Googlebot", "2.1", "unknown", "unknown"),
     "Mozilla/5.0 (X11; Linux x86_64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/72.0.3626.81 Safari/537.36":
         ("Chrome", "72.0.3626.81", "Linux", "x86_64"),

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import types as T
 
 from footfall import session
 from footfall.jobs import load_day, order_stream, report_day, sort_products
@@ -43,14 +44,16 @@ def test_daily_jobs_end_to_end_and_again(spark, tmp_path, capsys):
     assert {r.ip: r.city for r in stored} == {"10.0.0.1": "SH", "10.0.0.2": "SH", "99.0.0.2": "unknown"}
     requests = read_days(spark, str(tmp_path / "requests"), VISIT_SCHEMA)
     assert requests.count() == 4 and requests.select("rowkey").distinct().count() == 3
-    bad = spark.read.parquet(rejects).collect()
+    bad = read_days(spark, rejects, T.StructType.fromDDL("value string, reject_reason string, day string")).collect()
     assert [(r.value, r.reject_reason) for r in bad] == [("damaged", "layout")]
-    assert spark.read.schema(CELL_SCHEMA).parquet(f"{cells}/day=20190130").count() == 3 * 15
+    cell_days = read_days(spark, cells, T.StructType([*CELL_SCHEMA.fields, T.StructField("day", T.StringType())]))
+    assert cell_days.count() == 3 * 15
     browsers = read_days(spark, f"{reports}/browser_stat", BROWSER_STAT_SCHEMA).collect()
     assert sorted(tuple(r) for r in browsers) == [("Go-http-client", 1, "20190130"), ("curl", 2, "20190130")]
     regions = read_days(spark, f"{reports}/region_stat", REGION_STAT_SCHEMA).collect()
     assert sorted(tuple(r) for r in regions) == [("CN", "SH", 2, "20190130"), ("unknown", "unknown", 1, "20190130")]
-    assert "SH" in capsys.readouterr().out
+    shown = capsys.readouterr().out
+    assert "SH" in shown and "lines=5 accepted=4 rejected=1 merged=0" in shown and "unreported=0" in shown
 
 
 def test_day_is_required():
@@ -75,7 +78,7 @@ def test_sort_products_job(spark, tmp_path, capsys):
     (tmp_path / "p.txt").write_text("a 1 2\nb 5 1\nc 5 3\n")
     sort_products.main(["--lines", str(tmp_path / "p.txt")])
     text = capsys.readouterr().out
-    assert text.index("|c ") < text.index("|b ") < text.index("|a ")
+    assert text.index("c 5") < text.index("b 5") < text.index("a 1")
     sort_products.main(["--lines", str(tmp_path / "p.txt"), "--by", "price", "--out", str(tmp_path / "o")])
     assert spark.read.parquet(str(tmp_path / "o")).count() == 3
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from footfall.schemas import BROWSER_STAT_SCHEMA, CELL_SCHEMA
 from footfall.sinks import jdbc, tables
@@ -23,8 +24,10 @@ def test_rerun_replaces_only_its_day(spark, tmp_path):
     tables.write_report(stat(spark, ("20240102", "Chrome", 3)), root, "20240102")
     tables.write_report(stat(spark, ("20240101", "Chrome", 9)), root, "20240101")
     assert content(spark, root) == [("20240101", "Chrome", 9), ("20240102", "Chrome", 3)]
-    assert len(list(Path(root, "day=20240101").glob("*.parquet"))) == 1
-    assert list(Path(root, "_staging").iterdir()) == []
+    current = tables.read_days(spark, root, BROWSER_STAT_SCHEMA, "20240101").inputFiles()
+    assert len(current) == 1
+    # The version before stays for readers that began with it.
+    assert len(list(Path(root, "day=20240101").iterdir())) == 2
 
 
 def test_rerun_without_rows_empties_the_day(spark, tmp_path):
@@ -43,13 +46,52 @@ def test_a_failing_rerun_keeps_the_old_day(spark, tmp_path):
     assert content(spark, root) == [("20240101", "Chrome", 1)]
 
 
-def test_publish_puts_the_old_folder_back_when_the_move_fails(spark, tmp_path):
-    target = tmp_path / "day=1"
-    target.mkdir()
-    (target / "old").write_text("kept")
-    with pytest.raises(Exception):
-        tables.publish(spark, str(tmp_path / "_staging" / "missing"), str(target))
-    assert (target / "old").read_text() == "kept"
+def test_a_writer_that_dies_before_the_switch_leaves_the_old_day(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "t")
+    tables.write_day(stat(spark, ("20240101", "Chrome", 1)), root, "20240101")
+    before = tables.read_days(spark, root, BROWSER_STAT_SCHEMA)
+
+    def dies(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, "publish", dies)
+        with pytest.raises(KeyboardInterrupt):
+            tables.write_day(stat(spark, ("20240101", "Edge", 2)), root, "20240101")
+    assert content(spark, root) == [("20240101", "Chrome", 1)]
+    tables.write_day(stat(spark, ("20240101", "Edge", 3)), root, "20240101")
+    assert content(spark, root) == [("20240101", "Edge", 3)]
+    # A reader that was opened before still finds its files.
+    assert [r.cnt for r in before.collect()] == [1]
+
+
+def test_an_unwritten_table_is_empty(spark, tmp_path):
+    assert content(spark, str(tmp_path / "none")) == []
+    assert tables.read_cells(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_put_then_get(spark, tmp_path):
+    root = str(tmp_path / "cells")
+    put = lambda *rows: tables.put_cells(spark, root, spark.createDataFrame(list(rows), CELL_SCHEMA))
+    put(("anna", "info", "age", 1, "31"), ("boris", "info", "age", 1, "19"))
+    put(("boris", "info", "age", 2, "20"), ("boris", "address", "age", 2, "x"))
+    found = sorted(tuple(r) for r in tables.read_cells(spark, root).collect())
+    assert found == [
+        ("anna", "info", "age", 1, "31"), ("boris", "address", "age", 2, "x"), ("boris", "info", "age", 2, "20"),
+    ]
+
+
+def test_a_lookup_skips_most_files(spark, tmp_path):
+    root = str(tmp_path / "t")
+    rows = spark.range(4000).selectExpr("concat('k', lpad(id * 7919 % 4000, 5, '0')) AS browser", "id AS cnt", "'d' AS day")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tables.write_days(rows, root, "browser")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = tables.read_days(spark, root, BROWSER_STAT_SCHEMA).selectExpr("browser", "_metadata.file_name AS f")
+    spans = files.groupBy("f").agg(F.min("browser").alias("a"), F.max("browser").alias("b")).orderBy("a").collect()
+    assert len(spans) == 8 and all(x.b < y.a for x, y in zip(spans, spans[1:]))
 
 
 def test_backfill_replaces_the_days_it_holds(spark, tmp_path):
@@ -105,6 +147,9 @@ class Statement:
             raise RuntimeError("refused")
         self.log.append((self.sql, self.bound))
 
+    def close(self):
+        pass
+
 
 class Connection:
     """Stands in for a JDBC connection: no database may run beside the tests."""
@@ -134,7 +179,8 @@ def test_day_swap_is_one_transaction():
     jdbc.swap_day(connection, "browser_stat", "browser_stat_staging", ["day", "browser", "cnt"], "20240101")
     assert connection.log == [
         ("DELETE FROM browser_stat WHERE day = ?", [(1, "20240101")]),
-        ("INSERT INTO browser_stat (day, browser, cnt) SELECT day, browser, cnt FROM browser_stat_staging", []),
+        ("INSERT INTO browser_stat (day, browser, cnt) SELECT day, browser, cnt FROM browser_stat_staging WHERE day = ?",
+         [(1, "20240101")]),
         "commit",
     ]
     assert connection.auto
@@ -145,3 +191,16 @@ def test_failed_swap_rolls_back():
     with pytest.raises(RuntimeError):
         jdbc.swap_day(connection, "t", "s", ["day"], "d")
     assert connection.log[-1] == "rollback" and connection.auto
+
+
+def test_two_runs_do_not_share_a_staging_table(spark, monkeypatch):
+    staged, connection = [], Connection()
+    connection.close = lambda: None
+    monkeypatch.setattr("pyspark.sql.DataFrameWriter.jdbc", lambda self, url, table, **_: staged.append(table))
+    for day in ("20240101", "20240102"):
+        jdbc.replace_day(stat(spark, (day, "Chrome", 1)), "u", "browser_stat", day, {}, lambda *_: connection)
+    assert len(set(staged)) == 2
+    statements = [x[0] for x in connection.log if x != "commit"]
+    for name in staged:
+        mine = [x for x in statements if name in x]
+        assert [x.split()[0] for x in mine] == ["INSERT", "DROP"]
