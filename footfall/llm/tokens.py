@@ -10,7 +10,7 @@ from array import array
 import numpy as np
 from tokenizers import Tokenizer
 
-KNOWN_WORDS = 600_000  # encoded words that a Python worker remembers
+KNOWN_WORDS = 1_500_000  # encoded words that a Python worker remembers
 
 _BLANKS = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
@@ -39,15 +39,21 @@ class Encoder:
         self.code = "H" if self.width == 2 else "I"
         self.known: dict[str, bytes] = {}
 
-    def learn(self, docs: list[list[str]]) -> dict[str, bytes]:
-        """Ids of every piece of the documents; remembered as long as there is room."""
-        new = list(set().union(*docs).difference(self.known)) if docs else []
+    def learn(self, docs: list[list[str]]) -> list[list[bytes]]:
+        """Ids of every piece of the documents, in place; pieces are remembered as long as there is room."""
+        look = self.known.get
+        found = [list(map(look, d)) for d in docs]
+        gaps = [None in f for f in found]
+        new = {w for d, f, gap in zip(docs, found, gaps) if gap for w, c in zip(d, f) if c is None}
+        new = list(new)
         coded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
         self.fresh = {word: array(self.code, c.ids).tobytes() for word, c in zip(new, coded)}
+        for d, f, gap in zip(docs, found, gaps):
+            if gap:
+                f[:] = [self.fresh[w] if c is None else c for w, c in zip(d, f)]
         if len(self.known) + len(self.fresh) <= KNOWN_WORDS:
             self.known.update(self.fresh)
-            return self.known
-        return {w: self.known[w] for d in docs for w in d if w in self.known} | self.fresh
+        return found
 
     def known_or_coded(self, piece: str) -> bytes:
         """Ids of a piece of the documents that were learned last."""
@@ -58,9 +64,7 @@ class Encoder:
         return self.tokenizer.encode(piece, add_special_tokens=False).offsets
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        docs = [pieces_of(t) for t in texts]
-        found = self.learn(docs)
-        return [b"".join(map(found.__getitem__, d)) for d in docs]
+        return list(map(b"".join, self.learn([pieces_of(t) for t in texts])))
 
     def ids(self, coded: bytes) -> np.ndarray:
         return np.frombuffer(coded, f"<u{self.width}").astype("<u4")
