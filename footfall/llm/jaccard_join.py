@@ -28,10 +28,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import slices
+from footfall.llm.common import Tables, slices
 from footfall.llm.components import components
 from footfall.llm.shingles import digest, lists, shingle_sets
-from footfall.session import materialize
 
 HOT = 32
 HOT_LIMIT = 1 << 20
@@ -56,14 +55,17 @@ def _over_texts(docs: DataFrame, schema: str, rows: Callable[..., dict]) -> Data
 
 
 def document_sets(docs: DataFrame, width: int) -> DataFrame:
-    """One row per document: id, n (set size), set (digest of the set, null if empty)."""
+    """One row per document: its columns but for text, n (set size), set (digest of the set, null if empty)."""
+    carried = [f for f in docs.schema.fields if f.name != "text"]
 
     def rows(batch):
         values, at = shingle_sets(batch.column("text"), width)
         keys = [digest(values[a:b]) if b > a else None for a, b in zip(at[:-1], at[1:])]
-        return {"id": batch.column("id"), "n": pa.array(np.diff(at), pa.int64()), "set": pa.array(keys, pa.binary())}
+        own = {f.name: batch.column(f.name) for f in carried}
+        return own | {"n": pa.array(np.diff(at), pa.int64()), "set": pa.array(keys, pa.binary())}
 
-    return _over_texts(docs, "id long, n long, set binary", rows)
+    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in carried] + ["n long", "set binary"])
+    return _over_texts(docs, schema, rows)
 
 
 def _is_in(values: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -82,7 +84,8 @@ def _counted(docs: DataFrame, width: int, pick: Callable[[np.ndarray, np.ndarray
         return {"token": pa.array(token.view(np.int64)), "n": pa.array(n, pa.int64())}
 
     counts = _over_texts(docs, "token long, n long", rows).groupBy("token").agg(F.sum("n").alias("n"))
-    hot = materialize(counts.where(F.col("n") >= HOT).withColumn("level", F.length(F.bin("n"))), "hot")
+    tables = Tables(docs.sparkSession)
+    hot = tables.store(counts.where(F.col("n") >= HOT).withColumn("level", F.length(F.bin("n"))), "hot")
     levels = sorted(((r["level"], r["count"]) for r in hot.groupBy("level").count().collect()), reverse=True)
     kept, bar = 0, 64
     for level, count in levels:  # at most 64 of them
@@ -90,6 +93,7 @@ def _counted(docs: DataFrame, width: int, pick: Callable[[np.ndarray, np.ndarray
             break
         kept, bar = kept + count, level
     chosen = hot.where(F.col("level") >= bar).select("token").toArrow().column("token").to_numpy()
+    tables.drop("hot")
     return np.sort(chosen.view(np.uint64))
 
 
@@ -103,7 +107,7 @@ def _prefixes(values: np.ndarray, at: np.ndarray, percent: int, low: np.ndarray,
 
 
 def class_prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """One row per class: set, n, key (of size and prefix), prefix (its first tokens, in the order of the join)."""
+    """One row per class: set, n, sketch, key (of size and prefix), prefix (its first tokens, in the join's order)."""
     spark = docs.sparkSession
     low = spark.sparkContext.broadcast(_counted(docs, width, lambda values, at: values < QUARTER))
 
@@ -164,7 +168,7 @@ def _group_pairs(left: DataFrame, right: DataFrame, percent: int, *more: Column)
     return seen.where(F.col("common") + F.expr("least(na - pa, nb - pb)") >= _needed(percent)).select("a", "b")
 
 
-def _candidate_sets(docs: DataFrame, width: int, wanted: DataFrame) -> DataFrame:
+def _candidate_sets(docs: DataFrame, width: int, wanted: DataFrame, tables: Tables) -> DataFrame:
     """(set, tokens) of the wanted classes. A bit map of fixed size, 2**FILTER_BITS bits, spares the others the shuffle."""
     spark = docs.sparkSession
     place = F.conv(F.hex(F.substring("set", 1, 3)), 16, 10).cast("long")
@@ -192,36 +196,38 @@ def _candidate_sets(docs: DataFrame, width: int, wanted: DataFrame) -> DataFrame
 
     found = _over_texts(docs, "set binary, tokens array<long>", rows)
     once = found.groupBy("set").agg(F.first("tokens").alias("tokens"))
-    return materialize(once.join(wanted, "set", "left_semi"), "candidates")
+    return tables.store(once.join(wanted, "set", "left_semi"), "candidates")
 
 
-def _verified(docs: DataFrame, width: int, percent: int, pairs: DataFrame) -> DataFrame:
+def _verified(docs: DataFrame, width: int, percent: int, pairs: DataFrame, tables: Tables, label: str) -> DataFrame:
     """Those of the class pairs (a, b) whose whole sets are similar enough."""
     wanted = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct()
-    sets = _candidate_sets(docs, width, wanted)
+    sets = _candidate_sets(docs, width, wanted, tables)
     a, b = (sets.select(F.col("set").alias(x), F.col("tokens").alias(f"tokens_{x}")) for x in "ab")
     met = pairs.join(a, "a").join(b, "b").withColumn("i", F.size(F.array_intersect("tokens_a", "tokens_b")))
     good = F.expr(f"100 * i >= {percent} * (size(tokens_a) + size(tokens_b) - i)")
-    return materialize(met.where(good).select("a", "b"), "links")
+    found = tables.store(met.where(good).select("a", "b"), label)
+    tables.drop("candidates")
+    return found
 
 
-def links(docs: DataFrame, width: int, percent: int) -> DataFrame:
+def links(docs: DataFrame, width: int, percent: int, tables: Tables) -> DataFrame:
     """Links (a, b) between classes that connect every component of the similarity graph of classes.
 
     ``docs`` has columns id, text. Links inside a component that other links already imply may be missing.
     """
-    classes = materialize(class_prefixes(docs, width, percent), "classes")
+    classes = tables.store(class_prefixes(docs, width, percent), "classes")
     grouped = classes.groupBy("key").agg(F.min("set").alias("first"))
-    members = materialize(classes.select("set", "key").join(grouped, "key").select("set", "first"), "members")
+    members = tables.store(classes.select("set", "key").join(grouped, "key").select("set", "first"), "members")
     reps = classes.join(members.where("set = first"), "set", "left_semi")
     posted = reps.select(F.col("set").alias("group"), "n", F.posexplode("prefix").alias("pos", "token"))
     posted = posted.withColumn("pos", F.col("pos") + 1)
     shared = reps.select(F.explode("prefix").alias("token")).groupBy("token").count().where("count > 1")
-    postings = materialize(posted.join(shared.drop("count"), "token"), "postings")
+    postings = tables.store(posted.join(shared.drop("count"), "token"), "postings")
 
     # Hub round: each list with its earliest group, each group's members with its first.
     hubs = postings.groupBy("token").agg(F.min(F.struct("pos", "group", "n")).alias("h"))
-    hubs = materialize(hubs.select("token", "h.group", "h.n", "h.pos"), "hubs")
+    hubs = tables.store(hubs.select("token", "h.group", "h.n", "h.pos"), "hubs")
     stars = _group_pairs(hubs, postings.select(*hubs.columns), percent)
     a_members = members.select(F.col("first").alias("b"), F.col("set").alias("other"))
     spread = stars.join(a_members, "b").select("a", F.col("other").alias("b"))
@@ -230,21 +236,23 @@ def links(docs: DataFrame, width: int, percent: int) -> DataFrame:
         members.where("set != first").select("first", "set")
     )
     ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
-    pairs = materialize(spread.toDF("a", "b").select(*ordered).distinct(), "pairs")
-    found = _verified(docs, width, percent, pairs)
+    pairs = tables.store(spread.toDF("a", "b").select(*ordered).distinct(), "hub_pairs")
+    found = _verified(docs, width, percent, pairs, tables, "hub_links")
+    tables.drop("hub_pairs")
 
     # Exact round: what may link two components.
     roots = components(found)
     placed = members.join(roots.select(F.col("node").alias("set"), "root"), "set", "left").select(
         "set", "first", F.coalesce("root", "set").alias("root")
     )
-    placed = materialize(placed, "placed")
+    placed = tables.store(placed, "placed")
     of_group = placed.groupBy("first").agg(F.min("root").alias("root"), F.max("root").alias("top"))
     one = F.when(F.col("root") == F.col("top"), F.col("root")).alias("root")
     of_group = of_group.select(F.col("first").alias("group"), one)  # null: members of several components
     post = postings.join(of_group, "group")
     of_hub = hubs.join(of_group, "group").select("token", F.col("root").alias("hub_root"))
-    post = materialize(post.join(of_hub, "token"), "postings")
+    post = tables.store(post.join(of_hub, "token"), "placed_postings")
+    tables.drop("postings", "hubs")
     minority = post.where("root IS NULL OR hub_root IS NULL OR root != hub_root").drop("hub_root")
     apart = F.expr("roota IS NULL OR rootb IS NULL OR roota != rootb")
     met = _group_pairs(minority, post.drop("hub_root"), percent, apart)
@@ -253,21 +261,44 @@ def links(docs: DataFrame, width: int, percent: int) -> DataFrame:
     x = placed.select(F.col("first").alias("a"), F.col("set").alias("sa"), F.col("root").alias("ra"))
     y = placed.select(F.col("first").alias("b"), F.col("set").alias("sb"), F.col("root").alias("rb"))
     rest = met.join(x, "a").join(y, "b").where("ra != rb").select(F.col("sa").alias("a"), F.col("sb").alias("b"))
-    more = _verified(docs, width, percent, materialize(rest.select(*ordered).distinct(), "pairs").join(found, ["a", "b"], "left_anti"))
-    return found.union(more)
+    rest = rest.select(*ordered).distinct().join(found, ["a", "b"], "left_anti")
+    pairs = tables.store(rest, "pairs")
+    tables.drop("placed_postings")
+    found = found.union(_verified(docs, width, percent, pairs, tables, "links"))
+    tables.drop("classes", "pairs")
+    return found
+
+
+def _rooted(docs: DataFrame, width: int, percent: int, tables: Tables) -> tuple[DataFrame, DataFrame]:
+    """(sets of ``docs``, (set, root) of every class): classes of one component share a root."""
+    sets = tables.store(document_sets(docs, width), "sets")
+    roots = components(links(docs.select("id", "text"), width, percent, tables)).withColumnRenamed("node", "set")
+    classes = sets.where("n > 0").select("set").distinct().join(roots, "set", "left")
+    return sets, tables.store(classes.select("set", F.coalesce("root", "set").alias("root")), "roots")
 
 
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: key, n_shingles, component_id (smallest key of its component), set."""
-    docs = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    sets = materialize(document_sets(docs, width), "sets")
-    roots = components(links(docs, width, percent))
-    classes = sets.where("n > 0").groupBy("set").agg(F.min("id").alias("least"))
-    rooted = classes.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn(
-        "root", F.coalesce("root", "set")
-    )
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_set = materialize(rooted.join(named, "root").select("set", "component_id"), "class_components")
+    tables = Tables(docs.sparkSession)
+    sets, roots = _rooted(docs.select(F.col(key).alias("id"), F.col(text).alias("text")), width, percent, tables)
+    least = sets.where("n > 0").groupBy("set").agg(F.min("id").alias("least")).join(roots, "set")
+    named = least.groupBy("root").agg(F.min("least").alias("component_id"))
+    by_set = tables.store(roots.join(named, "root").select("set", "component_id"), "class_components")
     joined = sets.join(by_set, "set", "left")
     mine = F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id"))
     return joined.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), mine.alias("component_id"), "set")
+
+
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents with one kept of each component: that with the smallest key (null last), then the first stored.
+
+    Documents without a word stay. ``docs`` must be a stored table: rows are known by their place in it.
+    """
+    tables = Tables(docs.sparkSession)
+    place = F.monotonically_increasing_id().alias("id")
+    sets, roots = _rooted(docs.select(place, F.col(key).alias("key"), F.col(text).alias("text")), width, percent, tables)
+    first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "id")).alias("first")
+    by_set = sets.where("n > 0").groupBy("set").agg(first).join(roots, "set")
+    kept = by_set.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.id").alias("id"))
+    kept = tables.store(kept.union(sets.where("n = 0").select("id")), "kept")
+    return docs.select(F.struct("*").alias("row"), place).join(kept, "id", "left_semi").select("row.*")
