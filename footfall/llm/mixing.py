@@ -5,9 +5,9 @@ is shared again. Inside a source a document's expected copies grow with the bit
 whole copies are certain, and the remaining fraction p is the inclusion probability of one more copy. Documents are
 ranked by random odds over inclusion odds, (u / (1 - u)) / (p / (1 - p)), and taken in that order.
 
-The order is cut where the words come nearest to what is due, first among the documents that hold at least a hundredth
-of their source's words each (at most a hundred), then among the others, which make up for the difference; so a source
-ends within half of one small document of its target unless its documents do not suffice. The second cut is found on
+First the documents that hold at least a hundredth of their source's words each (at most a hundred) are taken in that
+order as far as they fit, then the order of the others is cut where the words come nearest to what is left, so a source
+ends within half of one small document of its target unless its small documents do not suffice. The second cut is found on
 counts of 65,536 classes of the rank and then among the documents of one class, so no source is sorted in one task.
 What decides on a document is its own values and one row per source, so documents are not joined to documents.
 
@@ -81,7 +81,7 @@ def _rank(expected: Column, u: Column) -> Column:
 
 
 def plan(docs: DataFrame, key: str, text: str, source: str, weights: tuple[int, ...], share: int, seed: int) -> DataFrame:
-    """One row per source: of (its name), source_size, target, rate, large_cut, class_cut, rank_cut."""
+    """One row per source: of (its name), source_size, target, rate, large_ranks, class_cut, rank_cut."""
     narrow = docs.select(
         F.col(source).alias("source"), n_words(F.col(text)).alias("size"),
         random_number(F.col(key), F.col(text), seed).alias("u"),
@@ -110,22 +110,34 @@ def plan(docs: DataFrame, key: str, text: str, source: str, weights: tuple[int,
     )
     whole = drawn.groupBy("of").agg(F.sum("whole").alias("whole"))
 
-    large = drawn.where("large AND rank IS NOT NULL").join(expected.withColumnRenamed("of", "of_"), F.expr("of <=> of_"))
-    in_order = Window.partitionBy("of").orderBy("rank", "size", "u").rowsBetween(*_BEFORE)
-    reached = F.coalesce(F.sum("size").over(in_order), F.lit(0)) + F.col("size") / 2
-    cuts = large.withColumn("in", reached <= F.col("large_due")).where("in").groupBy("of").agg(F.max("rank").alias("large_cut"))
-    cuts = materialize(cuts, "large_cuts").withColumnRenamed("of", "of_")
-    large_words = (
-        drawn.where("large").join(cuts, F.expr("of <=> of_")).where("rank <= large_cut")
-        .groupBy("of").agg(F.sum("size").alias("large_words"))
-    )
     one = lambda frame, name: frame.withColumnRenamed("of", name)
+    room = drawn.where("NOT large AND rank IS NOT NULL").groupBy("of").agg(F.sum("size").alias("small_words"))
     sources = (
         known.join(one(whole, "w"), F.expr("of <=> w"), "left").drop("w")
-        .join(cuts, F.expr("of <=> of_"), "left").drop("of_")
-        .join(one(large_words, "l"), F.expr("of <=> l"), "left").drop("l")
-        .withColumn("due", F.expr("target - coalesce(whole, 0) - coalesce(large_words, 0)"))
+        .join(one(expected, "x"), F.expr("of <=> x"), "left").drop("x")
+        .join(one(room, "y"), F.expr("of <=> y"), "left").drop("y")
+        .withColumn("due", F.expr("target - coalesce(whole, 0)"))
     )
+    # At most LARGE documents of a source. Those of a tenth of it or more come first, each by its own chance (a rank of
+    # up to 1 has probability p); the others are taken in order while that comes nearer to what is due from large
+    # documents. None may go beyond what is due in all, but one is taken where leaving it would miss by more.
+    giant = F.col("size") * 10 < F.col("source_size")
+    large = drawn.where("large AND rank IS NOT NULL").groupBy("of").agg(
+        F.array_sort(F.collect_list(F.struct(giant.alias("plain"), "rank", "size"))).alias("large_docs"),
+        F.sum("size").alias("large_words"),
+    )
+    sources = sources.join(one(large, "l"), F.expr("of <=> l"), "left").drop("l")
+    over, short = "a.words + x.size - due", "due - a.words - (a.left - x.size)"
+    fold = f"""aggregate(large_docs, named_struct('words', 0L, 'left', large_words + coalesce(small_words, 0L),
+          'ranks', CAST(array() AS array<double>)),
+        (a, x) -> CASE WHEN {short} > 0 AND {over} < {short}
+            OR {over} <= 0 AND CASE WHEN x.plain THEN a.words + x.size / 2 <= large_due ELSE x.rank <= 1 END
+          THEN named_struct('words', a.words + x.size, 'left', a.left - x.size, 'ranks', array_append(a.ranks, x.rank))
+          ELSE named_struct('words', a.words, 'left', a.left - x.size, 'ranks', a.ranks) END)"""
+    sources = sources.withColumn("large", F.expr(fold)).withColumn("due", F.expr("due - coalesce(large.words, 0)"))
+    sources = sources.withColumn("large_ranks", F.col("large.ranks")).drop(
+        "large", "large_docs", "large_words", "whole", "large_due", "small_words"
+    )
     sources = materialize(sources, "source_plan")
 
     small = drawn.where("NOT large AND rank IS NOT NULL").select("of", "size", "u", "rank", "class")
@@ -140,6 +152,7 @@ def plan(docs: DataFrame, key: str, text: str, source: str, weights: tuple[int,
     edge = small.join(cut_class.withColumnRenamed("of", "c"), F.expr("of <=> c AND class = class_cut")).join(
         dues, F.expr("of <=> s")
     )
+    in_order = Window.partitionBy("of").orderBy("rank", "size", "u").rowsBetween(*_BEFORE)
     at = F.col("before") + F.coalesce(F.sum("size").over(in_order), F.lit(0)) + F.col("size") / 2
     rank_cut = edge.withColumn("at", at).where("at <= due").groupBy("of").agg(F.max("rank").alias("rank_cut"))
     sources = sources.join(one(cut_class.drop("before"), "c"), F.expr("of <=> c"), "left").drop("c")
@@ -161,7 +174,7 @@ def with_copies(
     rows = rows.withColumn("rank", _rank(F.col("e"), F.col("u")))
     one_more = F.expr(
         f"""CASE WHEN rank IS NULL THEN FALSE
-        WHEN size * {LARGE} >= source_size THEN coalesce(rank <= large_cut, FALSE)
+        WHEN size * {LARGE} >= source_size THEN coalesce(array_contains(large_ranks, rank), FALSE)
         ELSE class_cut IS NULL OR floor({CLASSES} * (rank / (1 + rank))) < class_cut
           OR floor({CLASSES} * (rank / (1 + rank))) = class_cut AND coalesce(rank <= rank_cut, FALSE) END"""
     )
