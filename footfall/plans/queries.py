@@ -67,7 +67,7 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accepted_orders(parse_orders(_messages(spark, sf_dir)))
 
 
-# --- access log -----------------------------------------------------------------------
+# access log
 
 
 @query
@@ -132,7 +132,7 @@ def visit_cells(spark, sf_dir):
     return daily.visit_cells(_visits(spark, sf_dir), ts=1)
 
 
-# --- visit reports --------------------------------------------------------------------
+# visit reports
 
 
 @query
@@ -177,7 +177,7 @@ def region_stat(spark, sf_dir):
     return read_days(spark, root, REGION_STAT_SCHEMA)
 
 
-# --- orders ---------------------------------------------------------------------------
+# orders
 
 
 @query
@@ -286,7 +286,7 @@ def order_stream_hash_fields(spark, sf_dir):
     return stats.to_hash_fields(_stream_totals(spark, sf_dir))
 
 
-# --- cells ----------------------------------------------------------------------------
+# cells
 
 
 @query
@@ -349,7 +349,7 @@ def bulk_visit_cells(spark, sf_dir):
     return spark.read.schema(CELL_SCHEMA).parquet(folder)
 
 
-# --- products -------------------------------------------------------------------------
+# products
 
 
 def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
