@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -40,7 +42,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 @cache
 def _local_dir(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix="footfall-")
+    folder = tempfile.mkdtemp(prefix="footfall-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
