@@ -4,7 +4,8 @@ Documents with equal sets form a class. Two sets of at least ``percent`` per cen
 first ``n - ceil(percent * n / 100) + 1`` tokens of each under any one order of all tokens. The order used here puts
 frequent tokens last, so that passages which many documents share stay out of the prefixes. Classes with the same
 prefix and the same size form a group; prefixes are joined between groups, pairs of groups are filtered by size and by
-the best overlap their prefixes still allow, and only then expanded to their members and verified on whole sets.
+the best overlap their prefixes still allow, and only then expanded to their members. Member pairs are filtered once
+more by the overlap that sketches of 256 bytes allow, and what is left is verified on whole sets.
 
 A token is frequent if it is in at least ``HOT`` documents. Frequencies cover all documents, but in two steps: tokens
 with a hash in the lowest quarter for all documents, the others only for documents whose lowest quarter has too few
@@ -24,9 +25,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from footfall.llm.common import Tables, slices
 from footfall.llm.components import components
@@ -36,6 +39,7 @@ HOT = 32
 HOT_LIMIT = 1 << 20
 QUARTER = np.uint64(1 << 62)
 FILTER_BITS = 24
+SKETCH = 256
 
 
 def prefix_size(n: np.ndarray | int, percent: int):
@@ -106,6 +110,25 @@ def _prefixes(values: np.ndarray, at: np.ndarray, percent: int, low: np.ndarray,
     return order, np.where(n > 0, prefix_size(n, percent), 0)
 
 
+def _sketches(values: np.ndarray, at: np.ndarray, some: np.ndarray) -> list[bytes | None]:
+    """Numbers of tokens by their highest eight bits; none where a number passes a byte."""
+    n = len(at) - 1
+    place = np.repeat(np.arange(n), np.diff(at)) * SKETCH + (values >> np.uint64(56)).astype(np.int64)
+    counts = np.bincount(place, minlength=n * SKETCH).reshape(n, SKETCH)
+    return [counts[i].astype(np.uint8).tobytes() if counts[i].max() < 256 else None for i in some]
+
+
+@F.pandas_udf(T.LongType())
+def _overlap_bound(a: pd.Series, b: pd.Series) -> pd.Series:
+    """The most tokens that two sets can share, from their sketches; null if one has none."""
+    out = pd.Series([None] * len(a), dtype="Int64")
+    both = (a.notna() & b.notna()).to_numpy()
+    if both.any():
+        x, y = (np.frombuffer(b"".join(c[both]), np.uint8).reshape(-1, SKETCH) for c in (a, b))
+        out[both] = np.minimum(x, y).sum(axis=1, dtype=np.int64)
+    return out
+
+
 def class_prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """One row per class: set, n, sketch, key (of size and prefix), prefix (its first tokens, in the join's order)."""
     spark = docs.sparkSession
@@ -130,12 +153,13 @@ def class_prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
         return {
             "set": pa.array([digest(values[at[i] : at[i + 1]]) for i in some], pa.binary()),
             "n": pa.array(np.diff(at)[some], pa.int64()),
+            "sketch": pa.array(_sketches(values, at, some), pa.binary()),
             "key": pa.array([digest(np.append(p, np.uint64(n_))) for p, n_ in zip(keep, np.diff(at)[some])], pa.binary()),
             "prefix": lists(joined, np.concatenate(([0], np.cumsum(sizes[some])))),
         }
 
-    every = _over_texts(docs, "set binary, n long, key binary, prefix array<long>", rows)
-    return every.groupBy("set").agg(*[F.first(c).alias(c) for c in ("n", "key", "prefix")])
+    every = _over_texts(docs, "set binary, n long, sketch binary, key binary, prefix array<long>", rows)
+    return every.groupBy("set").agg(*[F.first(c).alias(c) for c in ("n", "sketch", "key", "prefix")])
 
 
 def _needed(percent: int) -> Column:
@@ -199,15 +223,28 @@ def _candidate_sets(docs: DataFrame, width: int, wanted: DataFrame, tables: Tabl
     return tables.store(once.join(wanted, "set", "left_semi"), "candidates")
 
 
-def _verified(docs: DataFrame, width: int, percent: int, pairs: DataFrame, tables: Tables, label: str) -> DataFrame:
+def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Those of the class pairs (a, b) whose sketches leave room for enough overlap."""
+    a, b = (
+        classes.select(F.col("set").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"sketch_{x}")) for x in "ab"
+    )
+    bound = _overlap_bound("sketch_a", "sketch_b")
+    met = pairs.join(a, "a").join(b, "b").withColumn("most", bound)
+    return met.where(F.col("most").isNull() | (F.col("most") >= _needed(percent))).select("a", "b")
+
+
+def _verified(
+    docs: DataFrame, width: int, percent: int, pairs: DataFrame, classes: DataFrame, tables: Tables, label: str
+) -> DataFrame:
     """Those of the class pairs (a, b) whose whole sets are similar enough."""
+    pairs = tables.store(_plausible(pairs, classes, percent), f"plausible_{label}")
     wanted = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct()
     sets = _candidate_sets(docs, width, wanted, tables)
     a, b = (sets.select(F.col("set").alias(x), F.col("tokens").alias(f"tokens_{x}")) for x in "ab")
     met = pairs.join(a, "a").join(b, "b").withColumn("i", F.size(F.array_intersect("tokens_a", "tokens_b")))
     good = F.expr(f"100 * i >= {percent} * (size(tokens_a) + size(tokens_b) - i)")
     found = tables.store(met.where(good).select("a", "b"), label)
-    tables.drop("candidates")
+    tables.drop("candidates", f"plausible_{label}")
     return found
 
 
@@ -237,7 +274,7 @@ def links(docs: DataFrame, width: int, percent: int, tables: Tables) -> DataFram
     )
     ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
     pairs = tables.store(spread.toDF("a", "b").select(*ordered).distinct(), "hub_pairs")
-    found = _verified(docs, width, percent, pairs, tables, "hub_links")
+    found = _verified(docs, width, percent, pairs, classes, tables, "hub_links")
     tables.drop("hub_pairs")
 
     # Exact round: what may link two components.
@@ -264,7 +301,7 @@ def links(docs: DataFrame, width: int, percent: int, tables: Tables) -> DataFram
     rest = rest.select(*ordered).distinct().join(found, ["a", "b"], "left_anti")
     pairs = tables.store(rest, "pairs")
     tables.drop("placed_postings")
-    found = found.union(_verified(docs, width, percent, pairs, tables, "links"))
+    found = found.union(_verified(docs, width, percent, pairs, classes, tables, "links"))
     tables.drop("classes", "pairs")
     return found
 
