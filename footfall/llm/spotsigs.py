@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.llm.common import partitions
+from footfall.session import materialize
 
 # Frequent function words of English, German, French and Spanish.
 ANCHORS = (
@@ -134,3 +135,44 @@ def report(docs: DataFrame, key: str = "doc_id") -> DataFrame:
         F.col("id").alias(key), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         near("edited").alias("near_edited"), near("next").alias("near_next"),
     )
+
+
+def matches(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80) -> tuple[DataFrame, DataFrame]:
+    """Near duplicates: (membership, pairs).
+
+    ``membership`` has each document's key and fingerprint; equal fingerprints are one class. ``pairs`` has the pairs
+    (a, b, likeness) of fingerprints, a < b, whose sets have a Jaccard similarity of at least ``percent`` per cent.
+
+    Sets are partitioned by length so that a set's matches are in its own partition or the next longer one. Inside a
+    partition sets meet on their rarest signatures, as many as the threshold leaves open; a pair is dropped when its
+    lengths, or what follows the places where they met, cannot reach the threshold, and compared wholly otherwise.
+    Classes that are all alike are all matches: their pairs are the result, not a by-product.
+    """
+    sets = docs.select(F.col(key).alias(key), signatures(F.col(text)).alias("sigs"))
+    sets = sets.withColumn("fingerprint", fingerprint(F.col("sigs")))
+    classes = materialize(sets.groupBy("fingerprint").agg(F.first("sigs").alias("sigs")), "spot_classes")
+    each = classes.select("fingerprint", F.size("sigs").alias("n"), F.explode("sigs").alias("sig"))
+    often = each.groupBy("sig").agg(F.count(F.lit(1)).alias("often"))
+    ranked = each.join(often, "sig").withColumn(
+        "pos", F.row_number().over(Window.partitionBy("fingerprint").orderBy("often", "sig"))
+    )
+    open_ = F.expr(f"n - ({percent} * n + 99) DIV 100 + 1")
+    log = F.log(F.col("n")) / math.log(100 / percent)
+    # The margin keeps lengths on a bound in both partitions' reach, whatever the rounding of the logarithm.
+    index = ranked.where(F.col("pos") <= open_).select("fingerprint", "n", "pos", "sig", F.floor(log + 1e-9).alias("part"))
+    index = materialize(index, "spot_index")
+    reach = index.withColumn("part", F.explode(F.array(F.col("part"), F.col("part") + 1)))
+    a = reach.select("sig", "part", *[F.col(c).alias(f"{c}_a") for c in ("fingerprint", "n", "pos")])
+    b = index.select("sig", "part", *[F.col(c).alias(f"{c}_b") for c in ("fingerprint", "n", "pos")])
+    met = a.join(b, ["sig", "part"]).where(
+        f"fingerprint_a != fingerprint_b AND n_a <= n_b AND 100 * n_a >= {percent} * n_b AND {100 + percent} * "
+        f"(least(pos_a, pos_b) + least(n_a - pos_a, n_b - pos_b)) >= {percent} * (n_a + n_b)"
+    )
+    low, high = F.least("fingerprint_a", "fingerprint_b").alias("a"), F.greatest("fingerprint_a", "fingerprint_b").alias("b")
+    pairs = met.select(low, high).distinct()
+    one, other = (classes.select(F.col("fingerprint").alias(x), F.col("sigs").alias(f"sigs_{x}")) for x in "ab")
+    near = likeness(F.col("sigs_a"), F.col("sigs_b"), F.lit(False))
+    common = F.size(F.array_intersect("sigs_a", "sigs_b"))
+    enough = 100 * common >= percent * (F.size("sigs_a") + F.size("sigs_b") - common)
+    found = pairs.join(one, "a").join(other, "b").where(enough).select("a", "b", near.alias("likeness"))
+    return sets.select(key, "fingerprint"), found

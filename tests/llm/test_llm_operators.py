@@ -267,6 +267,27 @@ def test_spot_signatures_equal_brute_force(spark):
         assert rows[i].near_edited == pytest.approx(like(text, new)) and rows[i].near_next == pytest.approx(like(text, after))
 
 
+def test_spot_matches_equal_brute_force(spark):
+    r = random.Random(9)
+    words = ["the", "of", "and"] * 6 + [f"w{i}" for i in range(40)]
+    texts = []
+    for _ in range(12):
+        base = r.choices(words, k=r.randint(5, 80))
+        texts += [" ".join(base), " ".join(base[: len(base) - r.randint(0, 6)]), " ".join(base + r.choices(words, k=2))]
+    members, pairs = spotsigs.matches(documents(spark, texts + texts[:3]), percent=80)
+    of = {x.doc_id: x.fingerprint for x in members.collect()}
+    found = {(x.a, x.b): x.likeness for x in pairs.collect()}
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        a, b = spots(texts[i]), spots(texts[j])
+        near = len(a & b) / len(a | b)
+        if near == 1:
+            assert of[i] == of[j]
+        else:
+            pair = tuple(sorted((of[i], of[j])))
+            assert (pair in found) == (5 * len(a & b) >= 4 * len(a | b))
+            assert pair not in found or found[pair] == pytest.approx(near)
+
+
 def test_spotsigs_stay_in_the_jvm(spark, plan, sf_dir):
     text = plan(spotsigs.report(spark.read.parquet(f"{sf_dir}/documents.parquet")))
     assert "Python" not in text and "Arrow" not in text and "SinglePartition" not in text
