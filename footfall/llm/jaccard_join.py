@@ -27,7 +27,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -168,12 +168,15 @@ def _needed(percent: int) -> Column:
 
 
 def _group_pairs(left: DataFrame, right: DataFrame, percent: int, *more: Column) -> DataFrame:
-    """Pairs (a, b) of groups, a < b, from postings (token, group, n, pos, ...), that may still reach the similarity."""
+    """Pairs (a, b) of groups, a < b, from postings (token, group, n, pos, spos, ...), that may still be similar enough.
+
+    ``pos`` is a token's place in the prefix, ``spos`` its place among the prefix's tokens that other groups share.
+    """
     a = left.select("token", *[F.col(c).alias(f"{c}a") for c in left.columns if c != "token"])
     b = right.select("token", *[F.col(c).alias(f"{c}b") for c in right.columns if c != "token"])
     fits = F.expr(
         f"groupa != groupb AND 100 * least(na, nb) >= {percent} * greatest(na, nb)"
-        f" AND least(posa, posb) + least(na - posa, nb - posb) >= ({percent} * (na + nb) + {99 + percent}) DIV {100 + percent}"
+        f" AND least(sposa, sposb) + least(na - posa, nb - posb) >= ({percent} * (na + nb) + {99 + percent}) DIV {100 + percent}"
     )
     met = a.join(b, "token").where(fits)
     for condition in more:
@@ -260,11 +263,14 @@ def links(docs: DataFrame, width: int, percent: int, tables: Tables) -> DataFram
     posted = reps.select(F.col("set").alias("group"), "n", F.posexplode("prefix").alias("pos", "token"))
     posted = posted.withColumn("pos", F.col("pos") + 1)
     shared = reps.select(F.explode("prefix").alias("token")).groupBy("token").count().where("count > 1")
-    postings = tables.store(posted.join(shared.drop("count"), "token"), "postings")
+    # Tokens that no other prefix has cannot be common; only the others before a place count there.
+    in_group = Window.partitionBy("group").orderBy("pos")
+    postings = posted.join(shared.drop("count"), "token").withColumn("spos", F.row_number().over(in_group))
+    postings = tables.store(postings, "postings")
 
     # Hub round: each list with its earliest group, each group's members with its first.
-    hubs = postings.groupBy("token").agg(F.min(F.struct("pos", "group", "n")).alias("h"))
-    hubs = tables.store(hubs.select("token", "h.group", "h.n", "h.pos"), "hubs")
+    hubs = postings.groupBy("token").agg(F.min(F.struct("pos", "group", "n", "spos")).alias("h"))
+    hubs = tables.store(hubs.select("token", "h.group", "h.n", "h.pos", "h.spos"), "hubs")
     stars = _group_pairs(hubs, postings.select(*hubs.columns), percent)
     a_members = members.select(F.col("first").alias("b"), F.col("set").alias("other"))
     spread = stars.join(a_members, "b").select("a", F.col("other").alias("b"))
