@@ -67,9 +67,15 @@ def counts(text: str, starts: list[int], coder: Encoder, parts: list[str]) -> tu
     tokens, crossing = np.zeros(len(begin), np.int64), np.zeros(len(begin), np.int64)
     inside = first == last
     np.add.at(tokens, first[inside], numbers[inside])
-    for i in np.flatnonzero(~inside):
-        for a, b in coder.spans(parts[i]):
-            section, crosses = owner(int(at[i]) + a, int(at[i]) + b, begin, end)
+    several = np.flatnonzero(~inside)
+    spans = coder.spans([parts[i] for i in several])
+    if spans:
+        a, b = (np.array([int(at[i]) + s[k] for i, own in zip(several, spans) for s in own]) for k in (0, 1))
+        head = np.maximum(np.searchsorted(begin, a, side="right") - 1, 0)
+        tail = np.maximum(np.searchsorted(begin, np.maximum(b - 1, a), side="right") - 1, head)
+        np.add.at(tokens, head[head == tail], 1)
+        for i in np.flatnonzero(head < tail):
+            section, crosses = owner(int(a[i]), int(b[i]), begin, end)
             tokens[section] += 1
             crossing[section] += crosses
     return tokens, crossing

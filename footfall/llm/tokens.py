@@ -59,9 +59,9 @@ class Encoder:
         """Ids of a piece of the documents that were learned last."""
         return self.known[piece] if piece in self.known else self.fresh[piece]
 
-    def spans(self, piece: str) -> list[tuple[int, int]]:
-        """Start and end of each token of a piece, in code points."""
-        return self.tokenizer.encode(piece, add_special_tokens=False).offsets
+    def spans(self, pieces: list[str]) -> list[list[tuple[int, int]]]:
+        """Start and end of each token of the pieces, in code points."""
+        return [c.offsets for c in self.tokenizer.encode_batch(pieces, add_special_tokens=False)] if pieces else []
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return list(map(b"".join, self.learn([pieces_of(t) for t in texts])))
