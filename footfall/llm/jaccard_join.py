@@ -335,13 +335,15 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, key:
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with one kept of each component: that with the smallest key (null last), then the first stored.
 
-    Documents without a word stay. ``docs`` must be a stored table: rows are known by their place in it.
+    Documents without a word stay. Rows are known by their place, which a second scan need not give again, so they are
+    stored once together with it, and both the sets and the kept rows come from there.
     """
     tables = Tables(docs.sparkSession)
-    place = F.monotonically_increasing_id().alias("id")
-    sets, roots = _rooted(docs.select(place, F.col(key).alias("key"), F.col(text).alias("text")), width, percent, tables)
+    rows = tables.store(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("id")), "rows")
+    texts = rows.select("id", F.col("row")[key].alias("key"), F.col("row")[text].alias("text"))
+    sets, roots = _rooted(texts, width, percent, tables)
     first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "id")).alias("first")
     by_set = sets.where("n > 0").groupBy("set").agg(first).join(roots, "set")
     kept = by_set.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.id").alias("id"))
     kept = tables.store(kept.union(sets.where("n = 0").select("id")), "kept")
-    return docs.select(F.struct("*").alias("row"), place).join(kept, "id", "left_semi").select("row.*")
+    return rows.join(kept, "id", "left_semi").select("row.*")

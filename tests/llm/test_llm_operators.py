@@ -92,6 +92,20 @@ def test_components_equal_brute_force(spark, monkeypatch, hot, width, percent):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(texts, width, percent)
 
 
+def test_one_of_each_whatever_the_splits(spark):
+    texts = [t for t in near_copies(3) if t]
+    path = scratch_path(spark, "docs")
+    documents(spark, texts).repartition(7).write.parquet(path)
+    docs = spark.read.parquet(path)
+    found = jaccard_join.one_of_each(docs, 5, 80)
+    try:
+        spark.conf.set("spark.sql.files.minPartitionNum", "1")  # as if cores were lost before the last scan
+        kept = sorted(r.doc_id for r in found.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert kept == sorted({root for _, root in brute_components(texts, 5, 80).values()})
+
+
 def test_components_of_long_paths(spark):
     links = [(i, i + 1) for i in range(0, 60)] + [(100 + i, 100 + (i * 7 + 3) % 40) for i in range(40)] + [(5, 5)]
     found = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
