@@ -8,6 +8,12 @@ relative error under 1 / 2**(SKETCH_BITS - 1). Thresholds are fences read off th
 A group with fewer than ``min_group`` documents is judged by the merged sketch of its language, and a language with
 fewer by that of all documents, so a fence always rests on enough documents.
 
+Where more than a quarter of a group is junk, its third quartile is a junk value. So a group's fence is at most the
+greater of two others: the fence of its language, and that which the group's lower half gives when mirrored at the
+median. A language's fence is bound to that of all documents in the same way. The mirrored fence reads no junk up to
+half of the group, and leaves its own place to a group whose good documents differ from all others. Only the fence of
+all documents is unbound: it needs junk in at most a quarter of them.
+
 Defined results: a null text is empty (no words; it fails the base rule); null languages and sources are groups of
 their own; repeated rows are judged one by one and alike; other columns are carried along untouched, whatever their
 names; an empty table gives an empty table.
@@ -37,7 +43,8 @@ BASE = MEASURES[:5]
 SKETCH_BITS = 7
 
 # Adaptive rules: (name, value as a SQL expression over the measures in whole numbers, least distance of the fence
-# from the third quartile). A value beyond third quartile + FENCE * interquartile range + distance is rejected.
+# from the third quartile). A value beyond third quartile + FENCE * interquartile range + distance, bounded as said
+# above, is rejected.
 RULES = (
     ("symbols", "1000 * n_symbols DIV greatest(word_chars, 1)", 60),
     ("marks", "1000 * n_marks DIV greatest(word_chars, 1)", 120),
@@ -114,13 +121,14 @@ def merged(cells: DataFrame, *keys: str) -> DataFrame:
 
 
 def quartiles(cells: DataFrame, *keys: str) -> DataFrame:
-    """Rows (keys, rule, n, q1, q3): the least cell that a quarter, three quarters, of the values do not pass."""
+    """Rows (keys, rule, n, q1, q2, q3): the least cell that a quarter, a half, three quarters, of the values do not pass."""
     group = Window.partitionBy(*keys, "rule")
     up = group.orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = cells.withColumns({"reached": F.sum("n").over(up), "total": F.sum("n").over(group)})
     return ranked.groupBy(*keys, "rule").agg(
         F.max("total").alias("n"),
         F.min(F.expr("CASE WHEN 4 * reached >= total THEN cell END")).alias("q1"),
+        F.min(F.expr("CASE WHEN 4 * reached >= 2 * total THEN cell END")).alias("q2"),
         F.min(F.expr("CASE WHEN 4 * reached >= 3 * total THEN cell END")).alias("q3"),
     )
 
@@ -131,15 +139,15 @@ def fences(cells: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     by_lang = quartiles(merged(cells, "lang"), "lang").alias("l")
     by_all = quartiles(merged(cells)).alias("a")
     joined = by_group.join(by_lang, F.expr("g.rule = l.rule AND g.lang <=> l.lang")).join(by_all, F.expr("g.rule = a.rule"))
-    pick = lambda q: F.expr(
-        f"CASE WHEN g.n >= {min_group} THEN g.{q} WHEN l.n >= {min_group} THEN l.{q} ELSE a.{q} END"
-    )
-    picked = joined.select(F.col("g.lang"), F.col("g.source"), F.col("g.rule"), pick("q1").alias("q1"), pick("q3").alias("q3"))
-    fence = [
-        F.max(F.expr(f"CASE WHEN rule = '{name}' THEN q3 + {FENCE} * (q3 - q1) + {least} END")).alias(f"fence_{name}")
-        for name, _, least in RULES
-    ]
-    return picked.groupBy("lang", "source").agg(*fence)
+    least = "CASE g.rule " + " ".join(f"WHEN '{name}' THEN {distance}" for name, _, distance in RULES) + " END"
+    fence = f"a.q3 + {FENCE} * (a.q3 - a.q1) + {least}"
+    for x in "lg":  # each bound by the coarser one
+        own = f"{x}.q3 + {FENCE} * ({x}.q3 - {x}.q1) + {least}"
+        mirrored = f"{x}.q2 + ({x}.q2 - {x}.q1) + {FENCE} * 2 * ({x}.q2 - {x}.q1) + {least}"
+        fence = f"CASE WHEN {x}.n >= {min_group} THEN least({own}, greatest({mirrored}, {fence})) ELSE {fence} END"
+    picked = joined.select(F.col("g.lang"), F.col("g.source"), F.col("g.rule"), F.expr(fence).alias("fence"))
+    each = [F.max(F.expr(f"CASE WHEN rule = '{name}' THEN fence END")).alias(f"fence_{name}") for name, _, _ in RULES]
+    return picked.groupBy("lang", "source").agg(*each)
 
 
 def judged(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:

@@ -378,6 +378,20 @@ def test_fences_adapt_to_their_group(spark):
     assert not kept[5000] and kept[5001] and sum(kept.values()) == 601
 
 
+@pytest.mark.parametrize("percent", [30, 50])
+def test_a_source_full_of_junk_does_not_lift_its_fence(spark, percent):
+    def text(i, mark=""):
+        return " ".join(f"w{i}x{k}{mark}" for k in range(30))
+
+    rows = [(i, text(i), "en", f"s{i % 4}") for i in range(1600)]
+    rows += [(10000 + i, text(i, "####" if i % 100 < percent else ""), "en", "junk") for i in range(400)]
+    rows += [(20000 + i, text(i, "#"), "en", "code") for i in range(300)]  # unlike all others, but not junk
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = {r.doc_id: r.kept for r in quality_rules.report(docs).collect()}
+    junk = {i for i, t, _, source in rows if source == "junk" and "#" in t}
+    assert len(junk) == 4 * percent and {i for i, k in kept.items() if not k} == junk
+
+
 def test_repeated_words_equal_brute_force():
     r = random.Random(8)
     for _ in range(200):
