@@ -6,10 +6,11 @@ candidate segments of up to ``MOST_TOKENS`` tokens are scored as wholes (shape,
 range, what stands beside them), and a dynamic program over segment ends and kinds chooses boundaries and kinds
 together. A segment found there that overlaps no base span is added.
 
-The weights are learned by conditional likelihood on the driver from the base spans of at most ``SAMPLE`` documents of
-up to ``SAMPLE_CHARS`` characters, those with a digit or at sign and the least hash; regions in which a match failed
-its check are left out as undecided, and pairs of regions are joined by a blank as further examples. With no examples
-nothing is added. Every candidate holds a digit or an at sign and does not split a run of letters and digits; regions
+The weights are learned by conditional likelihood on the driver from the base spans of at most ``SAMPLE`` distinct
+texts of up to ``SAMPLE_CHARS`` characters with a digit or at sign: a fifth of them for each kind, those of the least
+hash that give an example of it, a fifth without an example of any, and the rest of the least hash whatever they hold.
+Regions in which a match failed its check are left out as undecided, and pairs of regions are joined by a blank as
+further examples. With no examples nothing is added. Every candidate holds a digit or an at sign and does not split a run of letters and digits; regions
 end at white space between words without either.
 
 Defined results: null and empty texts have no spans; repeated rows are tagged alike; null keys stay null; an empty
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from footfall.llm.common import whole
+from footfall.session import discard, materialize
 
 KINDS = ("email", "ip", "card", "phone")
 PATTERNS = {
@@ -261,14 +263,30 @@ def _example(text: str, start: int, end: int, spans: list[Span]):
     return len(ends) - 1, segments, set(inside)
 
 
+def decided(text: str, spans: list[Span], failed: list[tuple[int, int]]) -> Iterator[tuple[int, int, list[Span]]]:
+    """Regions to learn from, with the base spans inside."""
+    for start, end in regions(text):
+        if end - start <= 200 and not any(a < end and b > start for a, b in failed):
+            yield start, end, [(k, a, b) for k, a, b in spans if start <= a and b <= end]
+
+
+def example_kinds(text: str) -> int:
+    """The kinds that ``text`` has an example of, as bits in the order of KINDS."""
+    spans, failed = base_spans(text)
+    found, every = set(), {k for k, _, _ in spans}
+    for start, end, own in decided(text, spans, failed) if spans else ():
+        new = {k for k, _, _ in own} - found
+        if new and _example(text, start, end, own):
+            found |= new
+            if found == every:
+                break
+    return sum(1 << i for i, k in enumerate(KINDS) if k in found)
+
+
 def trained(texts: list[str]) -> SemiMarkov:
     examples, clean = [], []
     for text in texts:
-        spans, failed = base_spans(text)
-        for start, end in regions(text):
-            if end - start > 200 or any(a < end and b > start for a, b in failed):
-                continue
-            own = [(k, a, b) for k, a, b in spans if start <= a and b <= end]
+        for start, end, own in decided(text, *base_spans(text)):
             if example := _example(text, start, end, own):
                 examples.append(example)
                 if own:
@@ -313,14 +331,27 @@ def learn(docs: DataFrame, text: str = "text") -> SemiMarkov:
     """Fit the model on a bounded sample of ``docs``."""
     some = docs.select(F.col(text).alias("t")).where(F.col("t").rlike("[0-9@]") & (F.length("t") <= SAMPLE_CHARS))
     some = some.withColumn("h", F.xxhash64("t"))
-    last = some.select("h").orderBy("h").limit(SAMPLE).agg(F.max("h")).first()[0]
-    if last is None:
+    # Copies share a hash, so distinct hashes stand for distinct texts.
+    marked = materialize(some.select("h", _example_kinds("t").alias("kinds")).distinct(), "kinds")
+    part = SAMPLE // (len(KINDS) + 1)
+    chosen: set[int] = set()
+    for wanted in [*(f"kinds & {1 << i} != 0" for i in range(len(KINDS))), "kinds = 0"]:
+        chosen |= {r["h"] for r in marked.where(wanted).select("h").orderBy("h").limit(part).collect()}
+    for r in marked.select("h").orderBy("h").limit(SAMPLE).collect():
+        if len(chosen) < SAMPLE:
+            chosen.add(r["h"])
+    discard(marked)
+    if not chosen:
         return SemiMarkov()
-    # Copies share a hash; the limit keeps the sample at its bound.
-    rows = some.where(F.col("h") <= last).select("t").distinct().limit(SAMPLE).toLocalIterator()
+    rows = some.where(F.col("h").isin(sorted(chosen))).select("t").distinct().limit(SAMPLE).toLocalIterator()
     return trained(sorted(r["t"] for r in rows))
 
 
+@F.pandas_udf(T.IntegerType())
+def _example_kinds(texts: pd.Series) -> pd.Series:
+    return pd.Series([example_kinds(t) for t in texts], dtype="int32")
+
+
 _FOUND = T.StructType(
     [T.StructField(f"n_{k}", T.LongType()) for k in KINDS]
     + [T.StructField(c, T.StringType()) for c in ("base_sha256", "spans", "redacted")]

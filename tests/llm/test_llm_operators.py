@@ -221,6 +221,16 @@ def test_the_random_field_adds_what_the_patterns_miss():
     assert pii.find("", model) == ([], []) and pii.find("mail a@b", pii.SemiMarkov())[1] == []
 
 
+def test_every_kind_in_the_corpus_has_examples(spark, monkeypatch):
+    texts, _ = pii_texts(12)
+    plain = [f"item {i * 7919 % 1000} of lot {i}" for i in range(6000)]
+    docs = spark.createDataFrame([(t,) for t in plain + plain[:1] * 3000 + texts], "text string").repartition(8)
+    monkeypatch.setattr(pii, "trained", list)
+    sample = pii.learn(docs)
+    assert {kind for t in sample for kind, *_ in pii.base_spans(t)[0]} == set(pii.KINDS)
+    assert len(sample) == len(set(sample)) == pii.SAMPLE
+
+
 def test_the_best_segmentation_equals_brute_force():
     r = random.Random(4)
     for _ in range(40):
