@@ -89,7 +89,7 @@ def pieces(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
     kind = docs.schema[key].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(words.value)
+        coder = encoder(words.value, plain=True)  # an end id inside a document would end it
         for batch in slices(batches, "text"):
             rows, source = [], []
             for i, coded in enumerate(coder.encode([whole(t) for t in batch.column("text").to_pylist()])):

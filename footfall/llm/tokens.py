@@ -27,14 +27,15 @@ class Encoder:
     """Encodes texts; ids come as little-endian bytes of ``width`` bytes each.
 
     Texts are cut before every blank between two other characters, where the vocabularies used here never join
-    anything (their patterns begin a match there), so each distinct piece needs encoding once. Strings of special
-    tokens in a text are ordinary text.
+    anything (their patterns begin a match there, and no special token holds a blank or takes one in), so each distinct
+    piece needs encoding once. Strings of special tokens in a text are those tokens, as by the library's default, or
+    with ``plain`` ordinary text.
     """
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabulary: str, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.code = "H" if self.width == 2 else "I"
         self.known: dict[str, bytes] = {}
@@ -70,14 +71,14 @@ class Encoder:
         return np.frombuffer(coded, f"<u{self.width}").astype("<u4")
 
 
-_ENCODERS: dict[int, Encoder] = {}
+_ENCODERS: dict[tuple[int, bool], Encoder] = {}
 
 
-def encoder(vocabulary: str) -> Encoder:
+def encoder(vocabulary: str, plain: bool = False) -> Encoder:
     """The worker's encoder for a vocabulary, given as the text of its file."""
-    key = zlib.crc32(vocabulary.encode())
+    key = zlib.crc32(vocabulary.encode()), plain
     if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(vocabulary)
+        _ENCODERS[key] = Encoder(vocabulary, plain)
     return _ENCODERS[key]
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from footfall.llm import attribution, fixity, hilbert, jaccard_join, mixing, packing, pii, quality_rules, spotsigs
-from footfall.llm import token_files
+from footfall.llm import token_files, tokens
 from footfall.llm.common import WORDS, with_running_total
 from footfall.llm.components import components
 from footfall.llm.shingles import shingle_sets
@@ -187,6 +187,31 @@ def test_token_files_round_trip_and_lookup(spark):
         token_files.documents(spark, f"{folder}_x").collect()
 
 
+@pytest.mark.parametrize("path", [BYTES, WORD_PARTS])
+def test_special_tokens_in_texts_are_the_tokenizers(path):
+    coder = Tokenizer.from_file(path)
+    parts = [*coder.get_vocab(with_added_tokens=True).keys() - coder.get_vocab(with_added_tokens=False).keys()]
+    parts = sorted({*parts, "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>"}) + [" ", " ", " ", "a", "Bc", "1", "!", "\n", "é", "\0"]
+    r = random.Random(2)
+    texts = ["".join(r.choices(parts, k=r.randint(0, 12))) for _ in range(3000)]
+    mine = tokens.encoder(tokens.vocabulary(path))
+    for text, coded in zip(texts, mine.encode(texts)):
+        assert mine.ids(coded).tolist() == coder.encode(text, add_special_tokens=False).ids, text
+
+
+def test_token_files_and_sections_with_special_tokens(spark):
+    texts = ["one <|endoftext|> two", "<|endoftext|>", "x"]
+    coder = Tokenizer.from_file(BYTES)
+    folder = scratch_path(spark, "files")
+    token_files.write(documents(spark, texts), folder, BYTES)
+    found = {r.key: r for r in token_files.documents(spark, folder).collect()}
+    rows = attribution.attributed(documents(spark, texts), BYTES, ("text",)).collect()
+    for i, text in enumerate(texts):
+        ids = coder.encode(text, add_special_tokens=False).ids
+        assert found[i].ids_crc32 == zlib.crc32(np.array([*ids, 0], "<u4").tobytes())
+        assert [r.n_tokens for r in rows if r.doc_id == i] == [len(ids)]
+
+
 def pii_texts(n):
     r = random.Random(5)
 
