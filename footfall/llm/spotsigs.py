@@ -3,8 +3,8 @@
 An anchor is one of the common words in ``ANCHORS``; its signature is the anchor with the next ``CHAIN`` words that are
 no anchors. A text's fingerprint is the set of its distinct signatures, as 64-bit hashes; a text without any has the
 one signature of its whole word sequence, or of the text itself where it has no word, so a set is never empty.
-Words are runs of letters and digits in lower case. Likeness is the Jaccard similarity of two sets, pruned where the
-sets are known to be equal or where set lengths alone rule a threshold out.
+Words are runs of letters and digits in lower case. Likeness is the Jaccard similarity of two sets, spared
+where they are known to be equal. Only ``matches`` prunes by set lengths; the registered query does not call it.
 
 ``edited`` walks all documents in descending key order with each document's successor. Documents are dealt to ranges
 of keys in one shuffle of the texts; the first document of a range goes to the range before as well, so no range waits
