@@ -112,3 +112,23 @@ added AS (
   FROM (SELECT -page_id AS page_id, url, html FROM pages_ WHERE page_id % 503 = 7))
 SELECT page_id, record_id, position, offset_ AS "offset", length, sha256, status FROM placed
 UNION ALL SELECT page_id, rid, NULL, NULL, strlen({_RECORD})::BIGINT, sha256({_RECORD}), 'extra' FROM added"""
+
+_TERMS = """regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"""
+ORACLE["op13_lexical_search"] = f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS w FROM documents WHERE text IS NOT NULL),
+items AS (
+  SELECT row_number() OVER () AS iid, item_id, {_TERMS} AS w
+  FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL)),
+totals AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM docs WHERE len(w) > 0),
+tf AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(w) AS term FROM docs) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY ALL),
+asked AS (SELECT iid, term, count(*) AS times FROM (SELECT iid, unnest(w) AS term FROM items) GROUP BY ALL),
+lengths AS (SELECT rid, doc_id, 25 + (75 * len(w) * n_docs) // n_terms AS m FROM docs, totals WHERE len(w) > 0),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM df, totals),
+scores AS (
+  SELECT iid, rid, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM asked JOIN tf USING (term) JOIN weights USING (term) JOIN lengths USING (rid) GROUP BY ALL)
+SELECT item_id, (row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST))::INTEGER AS rank, doc_id, score
+FROM scores JOIN items USING (iid) WHERE score > 0 QUALIFY rank <= 10"""

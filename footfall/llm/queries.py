@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import attribution, fixity, hilbert, jaccard_join, mixing, packing, pii, quality_rules, spotsigs, token_files
+from footfall.llm import attribution, fixity, hilbert, jaccard_join, lexical_search, mixing, packing, pii, quality_rules, spotsigs
+from footfall.llm import token_files
 from footfall.llm.common import documents
 from footfall.llm.oracle import ORACLE
 
@@ -77,3 +78,8 @@ def op10_merkle_fixity(spark, sf_dir):
     added = pages.where("page_id % 503 = 7").withColumn("page_id", -F.col("page_id"))
     found = fixity.audit(fixity.leaves(pages), fixity.leaves(copy.unionByName(added)))
     return found.withColumnRenamed("key", "page_id").withColumnRenamed("id", "record_id")
+
+
+@query
+def op13_lexical_search(spark, sf_dir):
+    return lexical_search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
