@@ -113,6 +113,39 @@ added AS (
 SELECT page_id, record_id, position, offset_ AS "offset", length, sha256, status FROM placed
 UNION ALL SELECT page_id, rid, NULL, NULL, strlen({_RECORD})::BIGINT, sha256({_RECORD}), 'extra' FROM added"""
 
+# CRC-32 (the reflected polynomial 3988292384) of the decimal digits of an id.
+_CRC_TABLE = """SELECT list(v ORDER BY i) AS crc FROM (
+  SELECT i, list_reduce(list_prepend(i, range(8)), lambda v, k: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END) AS v
+  FROM (SELECT unnest(range(256)) AS i))"""
+_CRC = """xor(list_reduce(list_prepend(4294967295, [ascii(x)::BIGINT FOR x IN string_split(conv_id::VARCHAR, '')]),
+  lambda v, x: xor(v >> 8, crc[(xor(v, x) & 255) + 1])), 4294967295)"""
+ORACLE["op12_prefix_trie"] = f"""
+WITH own AS (
+  SELECT conv_id, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}}
+    ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS w
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+crcs AS ({_CRC_TABLE}),
+heads AS (SELECT conv_id, w, {_CRC} % 6 AS h FROM own, crcs),
+built AS (
+  SELECT c.conv_id, list_concat(coalesce(b.w, [])[1 : c.h], c.w[c.h + 1 :]) AS w
+  FROM heads c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 100),
+firsts AS (SELECT conv_id, w[1 : d] AS k, d = len(w) AS whole FROM (SELECT *, unnest(range(len(w) + 1)) AS d FROM built)),
+nodes AS (
+  SELECT k, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE whole), '')) AS ends_sha256
+  FROM firsts GROUP BY k),
+above AS (SELECT k, conv_id, n_convs, k[1 : len(k) - 1] AS up FROM nodes WHERE len(k) > 0),
+kids AS (SELECT up, count(*) AS n_children FROM above GROUP BY up),
+worth AS (
+  SELECT n.k, (kids.up IS NULL)::BIGINT AS leaf, CASE WHEN len(n.k) > 0 THEN (n_convs - 1) * length(n.k[-1].t) ELSE 0 END AS saved
+  FROM nodes n LEFT JOIN kids ON kids.up = n.k),
+totals AS (
+  SELECT k[1 : d] AS k, sum(leaf)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM (SELECT *, unnest(range(len(k) + 1)) AS d FROM worth) GROUP BY ALL)
+SELECT n.conv_id, len(n.k)::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0)::BIGINT AS n_children,
+       n_leaves, saved_tokens, n.ends_sha256
+FROM nodes n JOIN totals USING (k) LEFT JOIN kids ON kids.up = n.k LEFT JOIN nodes p ON len(n.k) > 0 AND p.k = n.k[1 : len(n.k) - 1]"""
+
 _TERMS = """regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
   '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"""
 ORACLE["op13_lexical_search"] = f"""

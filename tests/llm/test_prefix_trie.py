@@ -1,0 +1,114 @@
+"""The prefix trie of conversations and tree contraction against brute force."""
+
+from __future__ import annotations
+
+import random
+import zlib
+from collections import defaultdict
+from hashlib import sha256
+
+import pytest
+from pyspark.sql import functions as F
+
+from footfall.llm import prefix_trie
+from footfall.llm.common import Tables
+
+
+def brute(rows):
+    own = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            own[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [t[2:] for t in sorted(turns)] for c, turns in own.items()}
+    built = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        base = c - (c % 100 if c >= 0 else -(-c % 100))
+        built[c] = tuple(own.get(base, [])[:h] + turns[h:])
+    members = defaultdict(list)
+    for c, turns in built.items():
+        for d in range(len(turns) + 1):
+            members[turns[:d]].append(c)
+    children = defaultdict(list)
+    for node in members:
+        if node:
+            children[node[:-1]].append(node)
+    totals = {}
+    for node in sorted(members, key=len, reverse=True):
+        leaves, saved = int(not children[node]), (len(members[node]) - 1) * (len(node[-1][1]) if node else 0)
+        for child in children[node]:
+            leaves, saved = leaves + totals[child][0], saved + totals[child][1]
+        totals[node] = leaves, saved
+    found = []
+    for node, held in members.items():
+        ends = ",".join(str(c) for c in sorted(held) if built[c] == node)
+        above = min(members[node[:-1]]) if node else None
+        found.append((min(held), len(node), above, len(held), len(children[node]), *totals[node], sha256(ends.encode()).hexdigest()))
+    return sorted(found, key=str)
+
+
+def of_spark(spark, rows, parts=4):
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(parts)
+    return sorted(map(tuple, prefix_trie.trie(table).collect()), key=str)
+
+
+def drawn(seed):
+    r = random.Random(seed)
+    rows = []
+    for c in r.sample(range(-250, 700), 160) + [0, 100, 200]:
+        for turn in range(r.choice([1, 2, 3, 5, 9])):
+            rows.append((c, turn, r.choice(["user", "assistant", None]), r.choice(["", None, "a", "é漢", "long " * 30])))
+    rows += [(None, 0, "user", "nobody's"), (333, None, "user", "first"), (333, 1, "b", "x"), (333, 1, "a", "x"), (333, 1, "a", "x")]
+    return rows + [(c, 0, "user", "the same") for c in range(1000, 1060)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_trie_equals_brute_force(spark, seed):
+    rows = drawn(seed)
+    assert of_spark(spark, rows) == brute(rows)
+
+
+def test_one_conversation_over_many_tasks(spark, monkeypatch):
+    """A third of all turns belong to one conversation, and a third of the conversations are alike."""
+    monkeypatch.setattr(prefix_trie, "PIECE", 7)
+    rows = [(100, t, "user", f"turn {t % 3}") for t in range(400)] + [(100, 7, "user", "turn 1")] * 30
+    rows += [(c, 0, "user", "hello") for c in range(1000, 1400, 2)] + drawn(3)
+    assert of_spark(spark, rows) == brute(rows)
+
+
+def test_texts_with_one_beginning_are_told_apart(spark):
+    rows = [(c, 0, "user", "x" * 100_000 + str(c % 3)) for c in range(1, 30)] + [(5, 0, "user", "x" * 64)]
+    rows += [(600 + c, 0, role, text) for c, (role, text) in enumerate([("a", "bc"), ("ab", "c"), ("", "abc"), ("1|a", "b")])]
+    assert of_spark(spark, rows) == brute(rows)
+
+
+def test_empty_tables_and_clashing_columns(spark):
+    assert of_spark(spark, []) == [] == of_spark(spark, [(None, 1, "a", "b")])
+    rows = drawn(4)
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for name in ("id", "part", "depth", "a", "n", "parent", "row", "chars", "digest"):
+        table = table.withColumn(name, F.lit("x"))
+    assert sorted(map(tuple, prefix_trie.trie(table).collect()), key=str) == brute(rows)
+
+
+@pytest.mark.parametrize("shape", ["chain", "star", "comb", "random"])
+def test_contraction_of_any_forest(spark, shape):
+    r = random.Random(5)
+    above = {
+        "chain": [None, *range(299)],
+        "star": [None] + [0] * 299,
+        "comb": [None if i == 0 else i - 2 if i % 2 == 0 else i - 1 for i in range(300)],
+        "random": [None if i % 90 == 0 else r.randrange(max(0, i - 4), i) for i in range(300)],
+    }[shape]
+    total = [(1, i) for i in range(300)]
+    for i in reversed(range(300)):
+        if above[i] is not None:
+            a = total[above[i]]
+            total[above[i]] = a[0] + total[i][0], a[1] + total[i][1]
+    forest = spark.createDataFrame([(i, p, 1, i) for i, p in enumerate(above)], "id long, parent long, x long, y long")
+    # Names that do not follow the order along a chain.
+    name = lambda c: F.xxhash64(F.col(c))
+    hashed = forest.select("*", name("id").alias("h"), F.when(F.col("parent").isNotNull(), name("parent")).alias("hp"))
+    found = prefix_trie.subtree_totals(hashed.select(F.col("h").alias("id"), F.col("hp").alias("parent"), "x", "y"), ["x", "y"], Tables(spark))
+    found = found.join(hashed.select(F.col("h").alias("id"), F.col("id").alias("i")), "id").collect()
+    assert {row.i: (row.x, row.y) for row in found} == dict(enumerate(total))
