@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import attribution, fixity, hilbert, jaccard_join, lexical_search, mixing, packing, pii, prefix_trie
-from footfall.llm import quality_rules, spotsigs, token_files
+from footfall.llm import attribution, fixity, hilbert, html_text, jaccard_join, lexical_search, mixing, packing, pii
+from footfall.llm import prefix_trie, quality_rules, spotsigs, token_files
 from footfall.llm.common import documents
 from footfall.llm.oracle import ORACLE
 
@@ -80,6 +80,11 @@ def op10_merkle_fixity(spark, sf_dir):
     return found.withColumnRenamed("key", "page_id").withColumnRenamed("id", "record_id")
 
 
+@query
+def op11_html_text(spark, sf_dir):
+    return html_text.extracted(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 @query
 def op12_prefix_trie(spark, sf_dir):
     return prefix_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
