@@ -10,7 +10,7 @@ import pyarrow as pa
 
 BASE = np.uint64(0xD6E8FEB86659FD93)
 STEP = np.uint64(0x9E3779B97F4A7C15)
-SPAN = 1 << 22
+BLOCK = 1 << 20
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -21,12 +21,24 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 @cache
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+def _block() -> tuple[np.ndarray, np.ndarray]:
+    """Powers 1 to BLOCK of BASE and of its inverse; the only ones that are kept."""
     inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
     with np.errstate(over="ignore"):
-        up = np.cumprod(np.full(size, BASE))
-        down = np.cumprod(np.full(size, inverse))
-    return up, down
+        return np.cumprod(np.full(BLOCK, BASE)), np.cumprod(np.full(BLOCK, inverse))
+
+
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 1 to ``size`` of BASE and of its inverse."""
+    if size <= BLOCK:
+        up, down = _block()
+        return up[:size], down[:size]
+    found = []
+    for block in _block():
+        with np.errstate(over="ignore"):
+            shifts = np.cumprod(np.concatenate(([np.uint64(1)], np.full(-(-size // BLOCK) - 1, block[-1]))))
+            found.append((shifts[:, None] * block).ravel()[:size])
+    return found[0], found[1]
 
 
 def word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -44,8 +56,7 @@ def word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndar
     starts = np.flatnonzero(solid & ~before)
     after = np.concatenate((solid[1:], [False])) & ~first[1:]
     stops = np.flatnonzero(solid & ~after) + 1
-    size = 1 << max(16, int(len(data) + 1).bit_length())
-    up, down = _powers(size)
+    up, down = _powers(len(data) + 1)
     with np.errstate(over="ignore"):
         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((low.astype(np.uint64) + np.uint64(1)) * up[: len(low)])))
         hashes = _mixed((sums[stops] - sums[starts]) * down[starts] + (stops - starts).astype(np.uint64) * STEP)

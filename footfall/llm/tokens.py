@@ -6,11 +6,15 @@ import os
 import re
 import zlib
 from array import array
+from sys import getsizeof
 
 import numpy as np
 from tokenizers import Tokenizer
 
-KNOWN_WORDS = 1_500_000  # encoded words that a Python worker remembers
+# Memory for the encoded pieces that a Python worker remembers, and what one takes besides its texts.
+KNOWN_BYTES = 96 << 20
+ENTRY_BYTES = 60
+SEEN = 1 << 20
 
 _BLANKS = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
@@ -28,37 +32,58 @@ class Encoder:
 
     Texts are cut before every blank between two other characters, where the vocabularies used here never join
     anything (their patterns begin a match there, and no special token holds a blank or takes one in), so each distinct
-    piece needs encoding once. Strings of special tokens in a text are those tokens, as by the library's default, or
-    with ``plain`` ordinary text.
+    piece needs encoding once. Strings of special tokens in a text are those tokens, as by the library's default.
+    Pieces are remembered from their second batch on, in at most ``KNOWN_BYTES`` of memory; others are encoded again.
     """
 
-    def __init__(self, vocabulary: str, plain: bool = False):
+    def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.tokenizer.encode_special_tokens = plain
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.code = "H" if self.width == 2 else "I"
         self.known: dict[str, bytes] = {}
+        self.fresh: dict[str, bytes] = {}
+        self.room = KNOWN_BYTES
+        self.seen = bytearray(SEEN)
 
     def learn(self, docs: list[list[str]]) -> list[list[bytes]]:
-        """Ids of every piece of the documents, in place; pieces are remembered as long as there is room."""
+        """Ids of every piece of the documents, in place; see the class for what is remembered."""
         look = self.known.get
-        found = [list(map(look, d)) for d in docs]
-        gaps = [None in f for f in found]
-        new = {w for d, f, gap in zip(docs, found, gaps) if gap for w, c in zip(d, f) if c is None}
-        new = list(new)
+        found, gaps = [], []
+        for d in docs:
+            f = list(map(look, d))
+            found.append(f)
+            at = -1
+            try:
+                while True:
+                    at = f.index(None, at + 1)
+                    gaps.append((f, at, d[at]))
+            except ValueError:
+                continue
+        new = list({piece for _, _, piece in gaps})
         coded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.fresh = {word: array(self.code, c.ids).tobytes() for word, c in zip(new, coded)}
-        for d, f, gap in zip(docs, found, gaps):
-            if gap:
-                f[:] = [self.fresh[w] if c is None else c for w, c in zip(d, f)]
-        if len(self.known) + len(self.fresh) <= KNOWN_WORDS:
-            self.known.update(self.fresh)
+        self.fresh = {piece: array(self.code, c.ids).tobytes() for piece, c in zip(new, coded)}
+        for f, at, piece in gaps:
+            f[at] = self.fresh[piece]
+        self._remember()
         return found
 
+    def _remember(self) -> None:
+        """Keep what was learned last and was new once before, while there is room."""
+        seen, mask = self.seen, SEEN - 1
+        for piece, coded in self.fresh.items():
+            if self.room <= 0:
+                break
+            place = hash(piece) & mask
+            if seen[place]:
+                self.known[piece] = coded
+                self.room -= getsizeof(piece) + getsizeof(coded) + ENTRY_BYTES
+            else:
+                seen[place] = 1
+
     def known_or_coded(self, piece: str) -> bytes:
         """Ids of a piece of the documents that were learned last."""
-        return self.known[piece] if piece in self.known else self.fresh[piece]
+        return self.fresh[piece] if piece in self.fresh else self.known[piece]
 
     def spans(self, pieces: list[str]) -> list[list[tuple[int, int]]]:
         """Start and end of each token of the pieces, in code points."""
@@ -71,15 +96,16 @@ class Encoder:
         return np.frombuffer(coded, f"<u{self.width}").astype("<u4")
 
 
-_ENCODERS: dict[tuple[int, bool], Encoder] = {}
+_ENCODER: dict[int, Encoder] = {}
 
 
-def encoder(vocabulary: str, plain: bool = False) -> Encoder:
-    """The worker's encoder for a vocabulary, given as the text of its file."""
-    key = zlib.crc32(vocabulary.encode()), plain
-    if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(vocabulary, plain)
-    return _ENCODERS[key]
+def encoder(vocabulary: str) -> Encoder:
+    """The worker's encoder for a vocabulary, given as the text of its file; the one before is let go."""
+    key = zlib.crc32(vocabulary.encode())
+    if key not in _ENCODER:
+        _ENCODER.clear()
+        _ENCODER[key] = Encoder(vocabulary)
+    return _ENCODER[key]
 
 
 def vocabulary(path: str) -> str:

@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import random
 import re
+import sys
 import zlib
 
 import numpy as np
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from footfall.llm import attribution, fixity, hilbert, jaccard_join, mixing, packing, pii, quality_rules, spotsigs
+from footfall.llm import shingles as shingles_module
 from footfall.llm import token_files, tokens
 from footfall.llm.common import WORDS, with_running_total
 from footfall.llm.components import components
@@ -156,9 +158,8 @@ def test_packing_is_gapless_and_near_the_bound():
 
 
 def test_packed_ids_are_the_tokenizers(spark):
-    texts = ["Hello  world", "", None, "tabs\tand\n\nlines ", " x" * 9000, "<|endoftext|> naïve É"]
+    texts = ["Hello  world", "", None, "tabs\tand\n\nlines ", " x" * 9000, "<|endoftext|> naïve É", "a<|startoftext|>b <|endoftext|>"]
     coder = Tokenizer.from_file(WORD_PARTS)
-    coder.encode_special_tokens = True
     rows = packing.packed(documents(spark, texts), WORD_PARTS).collect()
     for i, text in enumerate(texts):
         ids = np.array([*coder.encode(text or "", add_special_tokens=False).ids, 1], "<u4")
@@ -434,3 +435,31 @@ def test_repeated_words_equal_brute_force():
         windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
         covered = {i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(8)}
         assert quality_rules.repeated_words(words) == len(covered)
+
+
+def test_powers_of_long_texts_and_their_memory(monkeypatch):
+    texts = [" ".join(f"w{i}" for i in range(k)) for k in (3, 40, 900)]
+    whole, at = shingle_sets(pa.array(texts), 3)
+    monkeypatch.setattr(shingles_module, "BLOCK", 16)
+    shingles_module._block.cache_clear()
+    try:
+        again, places = shingle_sets(pa.array(texts), 3)
+        assert (again == whole).all() and (places == at).all()
+        assert sum(x.nbytes for x in shingles_module._block()) == 2 * 8 * 16
+    finally:
+        shingles_module._block.cache_clear()
+
+
+def test_an_encoder_remembers_in_bounded_memory(monkeypatch):
+    monkeypatch.setattr(tokens, "KNOWN_BYTES", 20_000)
+    coder = tokens.Encoder(tokens.vocabulary(BYTES))
+    theirs = Tokenizer.from_file(BYTES)
+    for k in range(6):
+        texts = [" ".join(f"word{i % 900}" for i in range(s, s + 60)) for s in range(0, 900, 50)]
+        coded = coder.encode(texts)
+        assert [coder.ids(c).tolist() for c in coded] == [theirs.encode(t, add_special_tokens=False).ids for t in texts]
+    held = sum(map(sys.getsizeof, coder.known)) + sum(map(sys.getsizeof, coder.known.values()))
+    assert 10_000 < held < 21_000
+    tokens.encoder(tokens.vocabulary(BYTES))
+    tokens.encoder(tokens.vocabulary(WORD_PARTS))
+    assert len(tokens._ENCODER) == 1
