@@ -36,7 +36,21 @@ ANCHORS = (
 CHAIN = 3
 RANGES = 8
 
-_ANY = "|".join(sorted(ANCHORS, key=lambda w: (-len(w), w)))
+
+
+def factored(words: list[str]) -> str:
+    """A pattern for these words that looks at each character once: common beginnings are taken out."""
+    after: dict[str, list[str]] = {}
+    for word in sorted(set(words)):
+        if word:
+            after.setdefault(word[0], []).append(word[1:])
+    parts = [first + factored(rest) for first, rest in after.items()]
+    if "" in words:
+        return f"(?:{'|'.join(parts)})?" if parts else ""
+    return parts[0] if len(parts) == 1 else f"(?:{'|'.join(parts)})"
+
+
+_ANY = factored(ANCHORS)
 _NEXT = rf" (?:(?:{_ANY}) )*+([^ ]+)"
 SPOT = rf"(?<= )({_ANY})(?={_NEXT * CHAIN} )"
 
