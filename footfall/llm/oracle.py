@@ -6,25 +6,23 @@ from footfall.llm import quality_rules as q
 
 ORACLE: dict[str, str] = {}
 
-_REACHED = "sum(n) OVER (PARTITION BY {0} ORDER BY cell)"
-_TOTAL = "sum(n) OVER (PARTITION BY {0})"
+def _value(value: str) -> str:
+    return "(" + value.replace("DIV", "//") + ")"
+
+
+def _blend(value: str, n: str, coarser: str) -> str:
+    return f"({n} * {value} + {q.PRIOR} * {coarser}) // ({n} + {q.PRIOR})"
 
 
-def _quartiles(keys: str, source: str) -> str:
+def _median(keys: str) -> str:
     comma = f"{keys}, " if keys else ""
-    part = f"{comma}rule"
     return f"""
-SELECT {comma}rule, max(total) AS n, min(cell) FILTER (WHERE 4 * reached >= total) AS q1,
-       min(cell) FILTER (WHERE 4 * reached >= 3 * total) AS q3
-FROM (SELECT *, {_REACHED.format(part)} AS reached, {_TOTAL.format(part)} AS total
-      FROM (SELECT {comma}rule, cell, sum(n) AS n FROM {source} GROUP BY ALL))
+SELECT {comma}rule, sum(n)::BIGINT AS n, min(own) FILTER (WHERE 2 * reached > total) AS fence
+FROM (SELECT *, sum(length(bin(n))) OVER (PARTITION BY {comma}rule ORDER BY own, n ROWS UNBOUNDED PRECEDING) AS reached,
+             sum(length(bin(n))) OVER (PARTITION BY {comma}rule) AS total FROM spans)
 GROUP BY ALL"""
 
 
-def _value(value: str) -> str:
-    return "(" + value.replace("DIV", "//") + ")"
-
-
 _VALUES = "\nUNION ALL ".join(
     f"SELECT lang, source, '{name}' AS rule, {_value(value)} AS value FROM good" for name, value, _ in q.RULES
 )
@@ -60,16 +58,26 @@ vals AS ({_VALUES}),
 cells AS (
   SELECT lang, source, rule, (value >> s) << s AS cell, count(*) AS n
   FROM (SELECT *, greatest(length(bin(value)) - {q.SKETCH_BITS}, 0) AS s FROM vals) GROUP BY ALL),
-g AS ({_quartiles("lang, source", "cells")}),
-l AS ({_quartiles("lang", "cells")}),
-a AS ({_quartiles("", "cells")}),
+ranked AS (
+  SELECT *, sum(n) OVER (PARTITION BY lang, source, rule ORDER BY cell) AS reached,
+         sum(n) OVER (PARTITION BY lang, source, rule) AS total FROM cells),
+quantile AS (
+  SELECT lang, source, rule, max(total)::BIGINT AS n, min(cell) FILTER (WHERE 100 * reached >= 10 * total) AS q10,
+         min(cell) FILTER (WHERE 100 * reached >= 50 * total) AS q50, min(cell) FILTER (WHERE 100 * reached >= 90 * total) AS q90
+  FROM ranked GROUP BY lang, source, rule),
+spans AS (
+  SELECT lang, source, rule, n, q90 + {q.FENCE} * (q90 - q50) + least_ AS own, q50 + {q.FENCE} * (q50 - q10) + least_ AS mirrored
+  FROM (SELECT *, CASE rule {_LEAST} END AS least_ FROM quantile)),
+l AS ({_median("lang")}),
+a AS ({_median("")}),
+coarse AS (
+  SELECT spans.*, {_blend("l.fence", "l.n", "a.fence")} AS coarse
+  FROM spans JOIN l ON spans.rule = l.rule AND spans.lang IS NOT DISTINCT FROM l.lang JOIN a ON spans.rule = a.rule),
 picked AS (
-  SELECT g.lang, g.source, g.rule,
-         CASE WHEN g.n >= {q.MIN_GROUP} THEN g.q1 WHEN l.n >= {q.MIN_GROUP} THEN l.q1 ELSE a.q1 END AS q1,
-         CASE WHEN g.n >= {q.MIN_GROUP} THEN g.q3 WHEN l.n >= {q.MIN_GROUP} THEN l.q3 ELSE a.q3 END AS q3
-  FROM g JOIN l ON g.rule = l.rule AND g.lang IS NOT DISTINCT FROM l.lang JOIN a ON g.rule = a.rule),
+  SELECT lang, source, rule, least({_blend("own", "n", "coarse")}, greatest({_blend("mirrored", "n", "coarse")}, coarse)) AS fence
+  FROM coarse),
 judged AS (
-  SELECT rid, bool_and(value <= q3 + {q.FENCE} * (q3 - q1) + CASE v.rule {_LEAST} END) AS fine
+  SELECT rid, bool_and(value <= fence) AS fine
   FROM ({_JUDGE}) v JOIN picked p
     ON v.rule = p.rule AND v.lang IS NOT DISTINCT FROM p.lang AND v.source IS NOT DISTINCT FROM p.source GROUP BY rid)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

@@ -5,18 +5,19 @@ of values rounded down to ``SKETCH_BITS`` leading bits. Such sketches are added
 and with one result, have at most a few thousand cells however many rows they cover, and give quantiles with a
 relative error under 1 / 2**(SKETCH_BITS - 1). Thresholds are fences read off the sketches and joined back.
 
-A group with fewer than ``min_group`` documents is judged by the merged sketch of its language, and a language with
-fewer by that of all documents, so a fence always rests on enough documents.
-
-Where more than a quarter of a group is junk, its third quartile is a junk value. So a group's fence is at most the
-greater of two others: the fence of its language, and that which the group's lower half gives when mirrored at the
-median. A language's fence is bound to that of all documents in the same way. The mirrored fence reads no junk up to
-half of the group, and leaves its own place to a group whose good documents differ from all others. Only the fence of
-all documents is unbound: it needs junk in at most a quarter of them.
+A group's own fence lies ``FENCE`` times the way from its median to its 90% quantile beyond the latter, and a small
+distance more. Where more than a tenth of a group is junk, that quantile is a junk value. So the fence is at most the
+greater of two others: what the lower half gives when mirrored at the median, which reads no junk up to half of the
+group and leaves a group its place whose good documents differ from all others; and the language's fence, the median of
+the own fences of its groups, each with the bit length of its size as weight, which half of a language's sources may not
+move. A group's fences are blended with its language's, and a language's with that of all groups, as if ``PRIOR``
+documents more had the coarser one, so a verdict does not jump as a group grows. Junk in over a tenth of the documents of
+most sources moves the fences of all.
 
 Defined results: a null text is empty (no words; it fails the base rule); null languages and sources are groups of
 their own; repeated rows are judged one by one and alike; other columns are carried along untouched, whatever their
-names; an empty table gives an empty table.
+names; very long texts are measured whole, a slice of a
+batch at a time; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -25,12 +26,12 @@ from itertools import islice
 from operator import eq
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from footfall.llm.common import WORDS, whole
+from footfall.llm.common import WORDS, slices, whole
 from footfall.session import materialize
 
 SYMBOLS = "#*$%&|<>"
@@ -43,17 +44,18 @@ BASE = MEASURES[:5]
 SKETCH_BITS = 7
 
 # Adaptive rules: (name, value as a SQL expression over the measures in whole numbers, least distance of the fence
-# from the third quartile). A value beyond third quartile + FENCE * interquartile range + distance, bounded as said
-# above, is rejected.
+# from the quantile). A value beyond its fence is rejected.
 RULES = (
     ("symbols", "1000 * n_symbols DIV greatest(word_chars, 1)", 60),
-    ("marks", "1000 * n_marks DIV greatest(word_chars, 1)", 120),
-    ("dup_lines", "1000 * n_dup_lines DIV greatest(n_lines, 1)", 400),
-    ("echoes", "1000 * n_echoes DIV greatest(n_words, 1)", 250),
-    ("word_length", "100 * word_chars DIV greatest(n_words, 1)", 400),
+    ("marks", "1000 * n_marks DIV greatest(word_chars, 1)", 60),
+    ("dup_lines", "1000 * n_dup_lines DIV greatest(n_lines, 1)", 350),
+    ("echoes", "1000 * n_echoes DIV greatest(n_words, 1)", 40),
+    ("long_words", "100 * word_chars DIV greatest(n_words, 1)", 60),
+    ("short_words", "1000 * n_words DIV greatest(word_chars, 1)", 20),
 )
 FENCE = 6
-MIN_GROUP = 200
+PRIOR = 30
+SLICE = 1 << 20  # bytes of text measured at a time
 
 
 def repeated_words(words: list[str], width: int = WINDOW) -> int:
@@ -89,9 +91,13 @@ def measure(text: str) -> tuple[int, ...]:
     return (len(words), chars, symbols, len(lines) - len(set(lines)), repeated_words(words), len(lines), marks, echoes)
 
 
-@F.pandas_udf(SCHEMA)
-def _measures(texts: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([measure(whole(t)) for t in texts], columns=list(MEASURES), dtype="int64")
+@F.arrow_udf(SCHEMA)
+def _measures(texts: pa.Array) -> pa.Array:
+    batch, found = pa.record_batch({"t": texts}), []
+    for part in slices([batch], "t", SLICE):
+        found += [measure(whole(t)) for t in part.column("t").to_pylist()]
+    columns = zip(*found) if found else [[]] * len(MEASURES)
+    return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], list(MEASURES))
 
 
 def with_measures(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -115,47 +121,48 @@ def sketches(measured: DataFrame, lang: str = "lang", source: str = "source") ->
     return cells.groupBy("lang", "source", "rule", "cell").agg(F.count(F.lit(1)).alias("n"))
 
 
-def merged(cells: DataFrame, *keys: str) -> DataFrame:
-    """Sketches of coarser groups, from those of finer ones."""
-    return cells.groupBy(*keys, "rule", "cell").agg(F.sum("n").alias("n"))
-
-
-def quartiles(cells: DataFrame, *keys: str) -> DataFrame:
-    """Rows (keys, rule, n, q1, q2, q3): the least cell that a quarter, a half, three quarters, of the values do not pass."""
-    group = Window.partitionBy(*keys, "rule")
+def quantiles(cells: DataFrame) -> DataFrame:
+    """Rows (lang, source, rule, n, q10, q50, q90): the least cell that so many per cent of the values do not pass."""
+    group = Window.partitionBy("lang", "source", "rule")
     up = group.orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = cells.withColumns({"reached": F.sum("n").over(up), "total": F.sum("n").over(group)})
-    return ranked.groupBy(*keys, "rule").agg(
+    return ranked.groupBy("lang", "source", "rule").agg(
         F.max("total").alias("n"),
-        F.min(F.expr("CASE WHEN 4 * reached >= total THEN cell END")).alias("q1"),
-        F.min(F.expr("CASE WHEN 4 * reached >= 2 * total THEN cell END")).alias("q2"),
-        F.min(F.expr("CASE WHEN 4 * reached >= 3 * total THEN cell END")).alias("q3"),
+        *[F.min(F.expr(f"CASE WHEN 100 * reached >= {p} * total THEN cell END")).alias(f"q{p}") for p in (10, 50, 90)],
     )
 
 
-def fences(cells: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
+def medians(groups: DataFrame, *keys: str) -> DataFrame:
+    """Rows (keys, rule, n, fence): documents, and the median of the groups' own fences; one row per group is read."""
+    part = Window.partitionBy(*keys, "rule")
+    up = part.orderBy("own", "n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    weight = F.length(F.bin("n"))
+    ranked = groups.withColumns({"reached": F.sum(weight).over(up), "total": F.sum(weight).over(part)})
+    middle = F.min(F.expr("CASE WHEN 2 * reached > total THEN own END"))
+    return ranked.groupBy(*keys, "rule").agg(F.sum("n").alias("n"), middle.alias("fence"))
+
+
+def fences(cells: DataFrame) -> DataFrame:
     """One row (lang, source, fence_<rule>...) for each group that has a document passing the base rule."""
-    by_group = quartiles(cells, "lang", "source").alias("g")
-    by_lang = quartiles(merged(cells, "lang"), "lang").alias("l")
-    by_all = quartiles(merged(cells)).alias("a")
-    joined = by_group.join(by_lang, F.expr("g.rule = l.rule AND g.lang <=> l.lang")).join(by_all, F.expr("g.rule = a.rule"))
-    least = "CASE g.rule " + " ".join(f"WHEN '{name}' THEN {distance}" for name, _, distance in RULES) + " END"
-    fence = f"a.q3 + {FENCE} * (a.q3 - a.q1) + {least}"
-    for x in "lg":  # each bound by the coarser one
-        own = f"{x}.q3 + {FENCE} * ({x}.q3 - {x}.q1) + {least}"
-        mirrored = f"{x}.q2 + ({x}.q2 - {x}.q1) + {FENCE} * 2 * ({x}.q2 - {x}.q1) + {least}"
-        fence = f"CASE WHEN {x}.n >= {min_group} THEN least({own}, greatest({mirrored}, {fence})) ELSE {fence} END"
-    picked = joined.select(F.col("g.lang"), F.col("g.source"), F.col("g.rule"), F.expr(fence).alias("fence"))
-    each = [F.max(F.expr(f"CASE WHEN rule = '{name}' THEN fence END")).alias(f"fence_{name}") for name, _, _ in RULES]
-    return picked.groupBy("lang", "source").agg(*each)
-
-
-def judged(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """Columns row (the document), m (its measures), base_failed, kept.
-
-    The texts are measured twice, once for the sketches and once for the verdict, rather than stored.
-    """
-    measured = with_measures(docs, text)
+    least = "CASE rule " + " ".join(f"WHEN '{name}' THEN {distance}" for name, _, distance in RULES) + " END"
+    groups = quantiles(cells).withColumns(
+        {
+            "own": F.expr(f"q90 + {FENCE} * (q90 - q50) + {least}"),
+            "mirrored": F.expr(f"q50 + {FENCE} * (q50 - q10) + {least}"),
+        }
+    )
+    groups = materialize(groups.select("lang", "source", "rule", "n", "own", "mirrored"), "quantiles")
+    by_lang, by_all = medians(groups, "lang").alias("l"), medians(groups).alias("a")
+    blend = lambda value, n, coarser: f"(({n}) * ({value}) + {PRIOR} * ({coarser})) DIV (({n}) + {PRIOR})"
+    joined = groups.alias("g").join(by_lang, F.expr("g.rule = l.rule AND g.lang <=> l.lang")).join(by_all, F.expr("g.rule = a.rule"))
+    joined = joined.select("g.*", F.expr(blend("l.fence", "l.n", "a.fence")).alias("coarse"))
+    fence = f"least({blend('own', 'n', 'coarse')}, greatest({blend('mirrored', 'n', 'coarse')}, coarse))"
+    each = [F.max(F.expr(f"CASE WHEN rule = '{name}' THEN {fence} END")).alias(f"fence_{name}") for name, _, _ in RULES]
+    return joined.groupBy("lang", "source").agg(*each)
+
+
+def judged(measured: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
+    """``measured`` (row, m), which is read twice and should be stored, with base_failed and kept."""
     limits = materialize(fences(sketches(measured, lang, source)), "fences").alias("f")
     rows = measured.withColumns(
         {"lang_": F.col("row")[lang], "source_": F.col("row")[source], "base_failed": _failed_base()}
@@ -172,12 +179,15 @@ def _of_struct(value: str) -> str:
 
 
 def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """The documents that are kept, with the columns of ``docs``."""
-    return judged(docs, text, lang, source).where("kept").select("row.*")
+    """The documents that are kept, with the columns of ``docs``; they are stored once beside their measures."""
+    measured = materialize(with_measures(docs, text), "measured")
+    return judged(measured, lang, source).where("kept").select("row.*")
 
 
-def report(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """One row per document: key, the base measures, base_failed, kept."""
-    return judged(docs).select(
-        F.col("row")[key].alias(key), *[F.col(f"m.{name}").alias(name) for name in BASE], "base_failed", "kept"
+def report(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
+    """One row per document: key, the base measures, base_failed, kept. Measures are stored without the texts."""
+    slim = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(source).alias("source"))
+    measured = with_measures(slim).withColumn("row", F.col("row").dropFields("text"))
+    return judged(materialize(measured, "measured")).select(
+        F.col("row.key").alias(key), *[F.col(f"m.{name}").alias(name) for name in BASE], "base_failed", "kept"
     )

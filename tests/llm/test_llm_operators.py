@@ -7,6 +7,8 @@ import itertools
 import random
 import re
 import sys
+import time
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -247,6 +249,75 @@ def test_the_random_field_adds_what_the_patterns_miss():
     assert pii.find("", model) == ([], []) and pii.find("mail a@b", pii.SemiMarkov())[1] == []
 
 
+CONTRACT = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def contract_spans(text):
+    """Base spans straight from the four patterns and their checks."""
+    out = []
+    for kind, pattern in CONTRACT.items():
+        for m in re.finditer(pattern, text):
+            digits = [int(c) for c in m.group() if c in "0123456789"]
+            doubled = [d * 2 - 9 * (d > 4) if i % 2 else d for i, d in enumerate(reversed(digits))]
+            if (
+                kind == "email" or kind == "ip" and all(int(p) <= 255 for p in m.group().split("."))
+                or kind == "card" and 13 <= len(digits) <= 19 and sum(doubled) % 10 == 0
+                or kind == "phone" and 9 <= len(digits) <= 15
+            ):
+                out.append((kind, *m.span()))
+    return out
+
+
+def test_base_spans_equal_the_contract():
+    r = random.Random(12)
+    parts = ["1.2.3.4", "300.1.1.1", "+1 ", "(555) ", "4111 1111 1111 1111", "4111111111111111", "a.b", "@", "x-y.org", ".", "..", " ", "-", "é", "٣", "12", "7", "+", "%", "\n"]
+    for _ in range(20000):
+        text = "".join(r.choices(parts, k=r.randint(1, 12)))
+        assert pii.base_spans(text)[0] == contract_spans(text), text
+
+
+def test_numbers_that_fail_their_check_stay():
+    texts, make = pii_texts(300)
+    r = random.Random(13)
+
+    def wrong():
+        number = make["card"]()
+        return number[:-1] + str((int(number[-1]) + r.randint(1, 9)) % 10)
+
+    model = pii.trained(texts + [f"order {wrong()} of 2019" for _ in range(100)])
+    for _ in range(300):
+        assert pii.find(f"order {wrong()} and {r.randint(256, 999)}.1.2.3", model) == ([], [])
+    found = 0
+    for _ in range(200):
+        a, b = make["card"](), make["card"]()
+        base, every = pii.find(f"cards {a} {b} here", model)
+        found += base == [] and [x[0] for x in every] == ["card", "card"]
+    assert found >= 190
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        " ".join(str(i * 7919 % 100_003) for i in range(170_000)), "4111111111111111 " * 60_000, "+1 555 1234567 " * 60_000,
+        "1.2.3.4 5" * 100_000, "9" * 1_000_000, "a" * 500_000 + "@" + "b" * 500_000, "@." * 400_000, "1 2 " * 250_000,
+    ],
+)
+def test_a_million_characters_of_numbers(text):
+    model = pii.trained(pii_texts(60)[0])
+    tracemalloc.start()
+    start = time.process_time()
+    base, every = pii.find(text, model)
+    assert time.process_time() - start < 120
+    assert tracemalloc.get_traced_memory()[1] < 400 << 20
+    tracemalloc.stop()
+    assert set(base) <= set(every)
+
+
 def test_every_kind_in_the_corpus_has_examples(spark, monkeypatch):
     texts, _ = pii_texts(12)
     plain = [f"item {i * 7919 % 1000} of lot {i}" for i in range(6000)]
@@ -463,3 +534,12 @@ def test_an_encoder_remembers_in_bounded_memory(monkeypatch):
     tokens.encoder(tokens.vocabulary(BYTES))
     tokens.encoder(tokens.vocabulary(WORD_PARTS))
     assert len(tokens._ENCODER) == 1
+
+
+def test_factored_patterns_match_the_same_words():
+    r = random.Random(21)
+    for _ in range(200):
+        words = ["".join(r.choices("abü", k=r.randint(1, 4))) for _ in range(r.randint(1, 12))]
+        pattern = re.compile(spotsigs.factored(words))
+        for word in {*words, *("".join(w) for k in range(4) for w in itertools.product("abü", repeat=k))}:
+            assert bool(pattern.fullmatch(word)) == (word in words)
