@@ -51,7 +51,6 @@ RULES = (
     ("dup_lines", "1000 * n_dup_lines DIV greatest(n_lines, 1)", 350),
     ("echoes", "1000 * n_echoes DIV greatest(n_words, 1)", 40),
     ("long_words", "100 * word_chars DIV greatest(n_words, 1)", 60),
-    ("short_words", "1000 * n_words DIV greatest(word_chars, 1)", 20),
 )
 FENCE = 6
 PRIOR = 30
