@@ -4,13 +4,16 @@ The patterns give the base spans of each kind; these stay. Where a text has digi
 covers, for instance two numbers run together so that neither passes its check, the random field segments the region:
 candidate segments of up to ``MOST_TOKENS`` tokens are scored as wholes (shape, number of digits, checksum, number
 range, what stands beside them), and a dynamic program over segment ends and kinds chooses boundaries and kinds
-together. A segment found there that overlaps no base span is added.
+together. A segment is a candidate only for kinds whose pattern and check it passes as a whole. A segment found there that overlaps no base span
+is added. Candidates are made and decoded a stretch at a time, where no candidate reaches over the gap between two
+stretches, so a region of any length takes time in proportion to it and little memory.
 
 The weights are learned by conditional likelihood on the driver from the base spans of at most ``SAMPLE`` distinct
 texts of up to ``SAMPLE_CHARS`` characters with a digit or at sign: a fifth of them for each kind, those of the least
 hash that give an example of it, a fifth without an example of any, and the rest of the least hash whatever they hold.
-Regions in which a match failed its check are left out as undecided, and pairs of regions are joined by a blank as
-further examples. With no examples nothing is added. Every candidate holds a digit or an at sign and does not split a run of letters and digits; regions
+Regions in which a match has more digits than one entity can have are left out as undecided; one that fails its check
+otherwise is an example of what is no entity. Pairs of regions are joined by a blank as further examples. With no
+examples nothing is added. Every candidate holds a digit or an at sign and does not split a run of letters and digits; regions
 end at white space between words without either.
 
 Defined results: null and empty texts have no spans; repeated rows are tagged alike; null keys stay null; an empty
@@ -22,6 +25,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
 from hashlib import sha256
@@ -35,12 +39,16 @@ from footfall.llm.common import whole
 from footfall.session import discard, materialize
 
 KINDS = ("email", "ip", "card", "phone")
+# None of them looks at a run of characters again from each of its places.
+LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 PATTERNS = {
-    "email": re.compile(r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
-    "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
-    "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
+    "ip": re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"),
+    "card": re.compile(r"[0-9]++(?:[\x20-][0-9]++)*+"),  # a single digit fails its check anyway
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
+MOST_DIGITS = {"card": 19, "phone": 15}
+ADDRESS = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 MARK = re.compile(r"[0-9@]+")
 TOKEN = re.compile(r"[0-9]+|[^\W\d_]+|\s+|.", re.S)
 MOST_TOKENS = 16
@@ -75,19 +83,36 @@ def valid(kind: str, found: str) -> bool:
     return True
 
 
+def emails(text: str) -> Iterator[tuple[int, int]]:
+    """Matches of the address pattern, leftmost first: around each at sign, the run before it and the domain after."""
+    done, at = 0, text.find("@")
+    while at >= 0:
+        start = at
+        while start > done and text[start - 1] in LOCAL:
+            start -= 1
+        if start < at and (domain := DOMAIN.match(text, at + 1)):
+            done = domain.end()
+            yield start, done
+        at = text.find("@", max(at + 1, done))
+
+
+def matches(kind: str, text: str) -> Iterator[tuple[int, int]]:
+    return emails(text) if kind == "email" else (m.span() for m in PATTERNS[kind].finditer(text))
+
+
 def base_spans(text: str) -> tuple[list[Span], list[tuple[int, int]]]:
-    """Base spans by kind as listed, then start; and the places of matches that failed their check."""
+    """Base spans by kind as listed, then start; and the places of matches too long to be one entity."""
     spans, failed = [], []
     if not MARK.search(text):
         return spans, failed
     for kind in KINDS:
         if kind == "email" and "@" not in text or kind == "phone" and "+" not in text:
             continue
-        for m in PATTERNS[kind].finditer(text):
-            if valid(kind, m.group()):
-                spans.append((kind, m.start(), m.end()))
-            elif kind != "ip" and len(_digits(m.group())) >= 9:
-                failed.append(m.span())
+        for a, b in matches(kind, text):
+            if valid(kind, text[a:b]):
+                spans.append((kind, a, b))
+            elif len(_digits(text[a:b])) > MOST_DIGITS.get(kind, b - a):
+                failed.append((a, b))
     return spans, failed
 
 
@@ -138,22 +163,74 @@ def features(text: str, start: int, end: int) -> list[str]:
     return out
 
 
-def lattice(text: str, start: int, end: int) -> tuple[list[int], list[tuple[int, int, list[str]]]]:
-    """Token boundaries of a region, and candidate segments (first token, token after, features)."""
-    ends = [start, *(start + m.end() for m in TOKEN.finditer(text[start:end]))]
-    marked = [bool(MARK.search(text, a, b)) for a, b in zip(ends, ends[1:])]
+def kinds_of(found: str, digits: int, dots: int, ats: int) -> list[str]:
+    """The kinds whose pattern and check a segment passes as a whole, given how many digits, dots and at signs it has."""
     out = []
+    if ats == 1 and dots and ADDRESS.fullmatch(found):
+        out.append("email")
+    if ats:
+        return out
+    if dots == 3 and digits <= 12 and PATTERNS["ip"].fullmatch(found) and valid("ip", found):
+        out.append("ip")
+    if 13 <= digits <= 19 and not dots and PATTERNS["card"].fullmatch(found) and valid("card", found):
+        out.append("card")
+    if 9 <= digits <= 15 and PATTERNS["phone"].fullmatch(found):
+        out.append("phone")
+    return out
+
+
+def token_ends(text: str, start: int, end: int) -> list[int]:
+    return [start, *(m.end() for m in TOKEN.finditer(text, start, end))]
+
+
+def candidates(text: str, ends: list[int]) -> Iterator[tuple[int, int, list[str]]]:
+    """Segments (first token, token after, features) that may be an entity, by first token."""
     for i in range(len(ends) - 1):
         a = ends[i]
         if text[a].isspace() or a and text[a - 1].isalnum() and text[a].isalnum():
             continue
-        some = False
+        digits = dots = ats = 0
         for j in range(i + 1, min(i + MOST_TOKENS, len(ends) - 1) + 1):
             b = ends[j]
-            some = some or marked[j - 1]
-            if some and not text[b - 1].isspace() and not (b < len(text) and text[b - 1].isalnum() and text[b].isalnum()):
-                out.append((i, j, features(text, a, b)))
-    return ends, out
+            token = text[ends[j - 1] : b]
+            if "0" <= token[0] <= "9":
+                digits += len(token)
+            dots += token == "."
+            ats += token == "@"
+            if ats > 1:
+                break
+            if not ats and (digits < 4 or digits > 19 or digits < 9 and dots != 3):
+                continue
+            if text[b - 1].isspace() or b < len(text) and text[b - 1].isalnum() and text[b].isalnum():
+                continue
+            if kinds := kinds_of(text[a:b], digits, dots, ats):
+                yield i, j, features(text, a, b) + [f"not={k}" for k in KINDS if k not in kinds]
+
+
+def lattice(text: str, start: int, end: int) -> tuple[list[int], list[tuple[int, int, list[str]]]]:
+    """Token boundaries of a region, and its candidate segments."""
+    ends = token_ends(text, start, end)
+    return ends, list(candidates(text, ends))
+
+
+def stretches(text: str, start: int, end: int) -> Iterator[tuple[list[int], list[tuple[int, int, list[str]]]]]:
+    """The lattice of a region in parts: before and after each, a token lies outside every candidate."""
+    ends = token_ends(text, start, end)
+    first, reach, held = 0, -1, []
+
+    def part():
+        return ends[first : reach + 2], [(i - first, j - first, f) for i, j, f in held]
+
+    for i, j, found in candidates(text, ends):
+        if held and i > reach:
+            yield part()
+            held = []
+        if not held:
+            first, reach = i, j
+        reach = max(reach, j)
+        held.append((i, j, found))
+    if held:
+        yield part()
 
 
 def _added(x: float, y: float) -> float:
@@ -173,7 +250,8 @@ class SemiMarkov:
         out = defaultdict(list)
         for i, j, found in segments:
             for kind in KINDS:
-                out[i].append((j, kind, sum(self.weights.get((kind, f), 0.0) for f in found), found))
+                if f"not={kind}" not in found:
+                    out[i].append((j, kind, sum(self.weights.get((kind, f), 0.0) for f in found), found))
         return out
 
     def best(self, n: int, segments) -> list[tuple[int, int, str]]:
@@ -308,17 +386,30 @@ def find(text: str, model: SemiMarkov) -> tuple[list[Span], list[Span]]:
     base, _ = base_spans(text)
     if not model.weights or not MARK.search(text):
         return base, base
-    held = sorted((a, b) for _, a, b in base)
+    held: list[list[int]] = []  # what base spans cover, apart and in order
+    for a, b in sorted((a, b) for _, a, b in base):
+        if held and a <= held[-1][1]:
+            held[-1][1] = max(held[-1][1], b)
+        else:
+            held.append([a, b])
+    starts = [a for a, _ in held]
+
+    def touched(a: int, b: int) -> bool:
+        place = bisect_left(starts, b) - 1
+        return place >= 0 and held[place][1] > a
+
+    def covered(a: int, b: int) -> bool:
+        place = bisect_right(starts, a) - 1
+        return place >= 0 and held[place][1] >= b
+
     extra = []
     for start, end in regions(text):
-        near = [(a, b) for a, b in held if a < end and b > start]
-        if all(any(a <= m.start() and m.end() <= b for a, b in near) for m in MARK.finditer(text, start, end)):
+        if all(covered(*m.span()) for m in MARK.finditer(text, start, end)):
             continue
-        ends, segments = lattice(text, start, end)
-        for i, j, kind in model.best(len(ends) - 1, segments):
-            a, b = ends[i], ends[j]
-            if not any(x < b and y > a for x, y in near):
-                extra.append((kind, a, b))
+        for ends, segments in stretches(text, start, end):
+            for i, j, kind in model.best(len(ends) - 1, segments):
+                if not touched(ends[i], ends[j]):
+                    extra.append((kind, ends[i], ends[j]))
     every = sorted(base + extra, key=lambda s: (KINDS.index(s[0]), s[1]))
     return base, every
 
