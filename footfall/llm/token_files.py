@@ -45,7 +45,8 @@ def train(docs: DataFrame, coder: Encoder) -> bytes:
     last = short.select("h").orderBy("h").limit(SAMPLE).agg(F.max("h")).first()[0]
     if last is None:
         return b""
-    texts = [r["text"] for r in short.where(F.col("h") <= last).select("text").limit(SAMPLE).toLocalIterator()]
+    rows = short.where(F.col("h") <= last).select("text").orderBy("h", F.xxhash64("text")).limit(SAMPLE)
+    texts = [r["text"] for r in rows.toLocalIterator()]
     samples = [s for s in coder.encode(sorted(texts)) if s]
     try:
         return zstandard.train_dictionary(DICTIONARY, samples).as_bytes()
@@ -179,8 +180,11 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def lookup(spark: SparkSession, folder: str, key) -> DataFrame:
-    """(key, ids) of the documents with a key: only their blocks are read, only their frames expanded."""
-    blocks = spark.read.parquet(f"{folder}/blocks").where((F.col("first_key") <= key) & (F.col("last_key") >= key))
+    """(key, ids) of the documents with a key, which may be null: only their blocks are read, only their frames expanded."""
+    # Null keys come first, so a block that begins with one may go on with any.
+    begins = F.col("first_key").isNull()
+    holds = begins if key is None else (begins | (F.col("first_key") <= key)) & (F.col("last_key") >= key)
+    blocks = spark.read.parquet(f"{folder}/blocks").where(holds)
     schema = T.StructType(
         [T.StructField("key", blocks.schema["first_key"].dataType), T.StructField("ids", T.ArrayType(T.LongType()))]
     )

@@ -190,6 +190,16 @@ def test_token_files_round_trip_and_lookup(spark):
         token_files.documents(spark, f"{folder}_x").collect()
 
 
+def test_lookup_beside_null_keys(spark):
+    texts, ids = ["nobody's", "also nobody's", "one", "two", "two again"], [None, None, 1, 2, 2]
+    coder = Tokenizer.from_file(BYTES)
+    folder = scratch_path(spark, "files")
+    token_files.write(documents(spark, texts, ids).coalesce(1), folder, BYTES)
+    for key in (None, 1, 2, 3):
+        found = sorted(coder.decode(r.ids[:-1]) for r in token_files.lookup(spark, folder, key).collect())
+        assert found == sorted(t for i, t in zip(ids, texts) if i == key)
+
+
 @pytest.mark.parametrize("path", [BYTES, WORD_PARTS])
 def test_special_tokens_in_texts_are_the_tokenizers(path):
     coder = Tokenizer.from_file(path)
