@@ -25,3 +25,21 @@ def row_key(day: Column, *parts: Column, digest: str = "crc32") -> Column:
 def visit_key(day: Column, digest: str = "crc32") -> Column:
     """Key of a parsed log row: same client, page and referer on one day share a key."""
     return row_key(day, F.col("referer"), F.col("url"), F.col("ip"), F.col("ua"), digest=digest)
+
+
+def region_of(key: str, bounds: list[str]) -> Column:
+    """How many of the ascending bounds are at most the key, by binary search: 0 to their number; 0 for a null key."""
+    if not bounds:
+        return F.lit(0)
+    listed = F.lit(bounds)
+
+    def step(at: Column, _: Column) -> Column:
+        middle = F.floor((at["lo"] + at["hi"]) / 2).cast("int")
+        below = F.coalesce(F.element_at(listed, F.least(middle, F.lit(len(bounds) - 1)) + 1) <= F.col(key), F.lit(False))
+        return F.struct(
+            F.when((at["lo"] < at["hi"]) & below, middle + 1).otherwise(at["lo"]).alias("lo"),
+            F.when((at["lo"] < at["hi"]) & ~below, middle).otherwise(at["hi"]).alias("hi"),
+        )
+
+    start = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(len(bounds).bit_length() + 1)), start, step, lambda at: at["lo"])

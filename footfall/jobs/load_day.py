@@ -27,12 +27,13 @@ def main(argv: list[str] | None = None) -> None:
     options.add_argument("--partitions", type=int, help="number of cell files; the shuffle partitions when left out")
     options.add_argument("--tz", default="UTC", help="zone of the stored minute")
     options.add_argument("--key", default="crc32", choices=["crc32", "sha2"])
+    options.add_argument("--add", action="store_true", help="late files of a loaded day: merge them into it")
     args = options.parse_args(argv)
 
     spark = build_session(f"load_day {args.day}")
     lines = read_lines(spark, args.logs, args.day)
     ranges = spark.read.parquet(args.ranges)
-    counted = load_day(lines, ranges, args.table, args.day, args.rejects, args.requests, args.tz, args.key)
+    counted = load_day(lines, ranges, args.table, args.day, args.rejects, args.requests, args.tz, args.key, args.add)
     print(" ".join(f"{name}={n}" for name, n in counted.items()))
     if args.cells:
         # From the stored table: placing the sort ranges reads the input twice.

@@ -53,6 +53,23 @@ def latest_cells(cells: DataFrame) -> DataFrame:
     return cells.groupBy(*CELL_KEY).agg(newest).select(*CELL_KEY, "v.ts", "v.value")
 
 
+def _same(names: Iterable[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(CELL_KEY, names)])
+
+
+def merged_cells(base: DataFrame, runs: DataFrame) -> DataFrame:
+    """``base`` with all puts of ``runs`` on top, as ``upsert_cells`` would leave it after the last of them.
+
+    Nothing is stored, so that a filter on the row key reaches the files of both.
+    """
+    columns, names = CELL_SCHEMA.names, [f"_{c}" for c in CELL_KEY]
+    news = latest_cells(runs)
+    keys = news.select(*[F.col(c).alias(n) for c, n in zip(CELL_KEY, names)])
+    untouched = base.join(keys, _same(names), "left_anti").select(*columns)
+    touched = base.join(keys, _same(names), "left_semi").select(*columns)
+    return untouched.unionByName(latest_cells(touched.unionByName(news.select(*columns))).select(*columns))
+
+
 def upsert_cells(base: DataFrame, changes: DataFrame, broadcast_bytes: int = 128 << 20) -> DataFrame:
     """``base`` with ``changes`` put on top.
 
@@ -66,9 +83,8 @@ def upsert_cells(base: DataFrame, changes: DataFrame, broadcast_bytes: int = 128
     keys = news.select(*[F.col(c).alias(n) for c, n in zip(CELL_KEY, names)])
     if measured_bytes(news, *CELL_KEY) <= broadcast_bytes:
         keys = F.broadcast(keys)
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(CELL_KEY, names)])
-    untouched = base.join(keys, same, "left_anti").select(*columns)
-    touched = base.join(keys, same, "left_semi").select(*columns)
+    untouched = base.join(keys, _same(names), "left_anti").select(*columns)
+    touched = base.join(keys, _same(names), "left_semi").select(*columns)
     return untouched.unionByName(latest_cells(touched.unionByName(news)).select(*columns))
 
 

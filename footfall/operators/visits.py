@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,14 +11,14 @@ from pyspark.sql import functions as F
 from footfall.schemas import VISIT_COLUMNS
 
 
-def dedup_visits(rows: DataFrame) -> DataFrame:
+def dedup_visits(rows: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """One row per (day, rowkey): the one with the latest ``formattime``.
 
-    Ties go to the larger row, column by column, so a rerun keeps the same rows. Spark
-    turns the rank filter into a group limit that also runs before the shuffle: a key
+    Ties go to the larger row, column by column (of ``columns``, if given), so a rerun keeps the same rows, and
+    deduplicating stored rows with new ones gives what one load of both gives. Spark turns the rank filter into a group limit that also runs before the shuffle: a key
     that holds a third of the log leaves each task as one row.
     """
-    rest = [c for c in rows.columns if c not in ("day", "rowkey", "formattime")]
+    rest = [c for c in columns or rows.columns if c not in ("day", "rowkey", "formattime")]
     latest = Window.partitionBy("day", "rowkey").orderBy(*[F.desc(c) for c in ("formattime", *rest)])
     return rows.withColumn("_rank", F.row_number().over(latest)).where(F.col("_rank") == 1).drop("_rank")
 

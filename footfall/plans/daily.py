@@ -14,7 +14,7 @@ from footfall.operators.geo import with_geo
 from footfall.operators.visits import browser_stat, dedup_visits, merged_keys, region_stat, storable, unreported, visit_cube
 from footfall.schemas import GEO_COLUMNS, LOG_COLUMNS, VISIT_COLUMNS, VISIT_SCHEMA
 from footfall.session import discard, materialize
-from footfall.sinks.tables import read_days, write_day, write_report
+from footfall.sinks.tables import append_day, read_days, upsert_days, write_day, write_report
 from footfall.sources.access_log import accepted, parse_lines, with_key
 
 BARE_COLUMNS = tuple(c for c in VISIT_COLUMNS if c not in GEO_COLUMNS)
@@ -53,6 +53,11 @@ def staged_day(lines: DataFrame, tz: str = "UTC", day: str | None = None, digest
     return materialize(rows.select("rowkey", *BARE_COLUMNS, "day", "sha2_key", "reject_reason", text), "staged_day")
 
 
+def merged_visits(stored: DataFrame) -> DataFrame:
+    """Located visits of several loads as one load of all their lines has them."""
+    return dedup_visits(stored, BARE_COLUMNS)
+
+
 def load_day(
     lines: DataFrame,
     ranges: DataFrame,
@@ -62,9 +67,14 @@ def load_day(
     every_request: str | None = None,
     tz: str = "UTC",
     digest: str = "crc32",
+    add: bool = False,
 ) -> dict[str, int]:
     """Replace one day of the visit table; lines that cannot be taken go to ``rejects``, if given.
 
+    With ``add``, the lines are late files of a loaded day: its visits are merged with theirs, so that the table is as
+    one load of all files leaves it, and only the files of the table that they touch are written anew. Requests and
+    rejects are appended, so the same files must not be added twice where these are kept.
+
     ``every_request`` names a second table of the same shape that keeps repeated
     requests. Reports count visits or requests by the table they read. Returns what was
     counted: lines, accepted, rejected, and merged (visits that the short key hides).
@@ -75,12 +85,17 @@ def load_day(
         counted = staged.agg(F.count(F.lit(1)).alias("lines"), F.count_if(bad).alias("rejected")).first()
         good = staged.where(~bad).select("rowkey", *BARE_COLUMNS, "day")
         if every_request:
-            write_day(_in_key_order(storable(with_geo(good, ranges))), every_request, day)
+            every = _in_key_order(storable(with_geo(good, ranges)))
+            append_day(every, every_request, day) if add else write_day(every, every_request, day)
         visits_ = storable(with_geo(dedup_visits(good), ranges))
-        write_day(_in_key_order(visits_), table, day)
+        if add:
+            upsert_days(visits_.withColumn("day", F.lit(day)), table, merged_visits)
+        else:
+            write_day(_in_key_order(visits_), table, day, "rowkey")
         if rejects:
             # Few rows from very many tasks: rebalance them into few files.
-            write_day(staged.where(bad).select("value", "reject_reason").hint("rebalance"), rejects, day)
+            wrong = staged.where(bad).select("value", "reject_reason").hint("rebalance")
+            append_day(wrong, rejects, day) if add else write_day(wrong, rejects, day)
         merged = merged_keys(staged.where(~bad)) if digest == "crc32" else 0
     finally:
         discard(staged)

@@ -43,10 +43,10 @@ def _pick(values: tuple[str, ...], index: str) -> str:
     return f"get(array({listed}), CAST({index} AS INT))"
 
 
-def access_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One access-log line per event, in column ``value``."""
+def access_lines(spark: SparkSession, sf_dir: str, which: str = "TRUE") -> DataFrame:
+    """One access-log line per event (or per event of which ``which`` holds), in column ``value``."""
     # d reads yyyyMMddHHmmss
-    rows = events(spark, sf_dir).withColumns({"d": second_digits(F.col("ts")), "k": _k()})
+    rows = events(spark, sf_dir).where(which).withColumns({"d": second_digits(F.col("ts")), "k": _k()})
     month = _pick(MONTHS, "substr(d, 5, 2) - 1")
     time = f"substr(d, 7, 2), '/', {month}, '/', substr(d, 1, 4), ':'"
     clock = "substr(d, 9, 2), ':', substr(d, 11, 2), ':', substr(d, 13, 2)"
@@ -143,6 +143,15 @@ def cell_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return updates.unionByName(added).select(*CELL_SCHEMA.names)
 
 
+def later_changes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two more puts: a newer one renames the segment of all customers of nation 3, a late one brings old values."""
+    wide = _customer_wide(spark, sf_dir)
+    renamed = wide.where("nationkey = '3'").select("rowkey", F.lit("RENAMED").alias("segment"))
+    outdated = _supplier_wide(spark, sf_dir).select("rowkey", F.lit("0").alias("acctbal"), F.lit("-").alias("segment"))
+    first = to_cells(renamed, {"info": ("segment",)}, ts=3)
+    return first, to_cells(outdated, {"info": ("acctbal", "segment")}, ts=1)
+
+
 def product_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as ``name price store`` text beside their key; blanks in names become ``_``."""
     name = F.translate("p_name", " ", "_")

@@ -167,6 +167,21 @@ WHERE qualifier <> 'segment' OR rowkey NOT IN (SELECT rowkey FROM wide WHERE kin
 UNION ALL {_cells("(SELECT * FROM wide WHERE kind = 'supplier')", 2)}
 UNION ALL SELECT rowkey, 'info', 'segment', 2, 'ON_HOLD' FROM wide WHERE kind = 'customer' AND balance < 0"""
 
+# After two more puts: of each cell that any put names, the version with the newest stamp.
+_PUTS = f"""
+SELECT rowkey, family, qualifier, max(ts) AS ts, arg_max(value, ts) AS value FROM (
+  SELECT rowkey, family, qualifier, ts, value FROM ({_UPSERTED})
+  WHERE qualifier = 'segment' AND rowkey IN (SELECT rowkey FROM wide WHERE kind = 'customer' AND nationkey = '3')
+  UNION ALL SELECT rowkey, 'info', 'segment', 3, 'RENAMED' FROM wide WHERE kind = 'customer' AND nationkey = '3'
+  UNION ALL SELECT * FROM ({_cells("(SELECT * FROM wide WHERE kind = 'supplier')", 2)})
+  UNION ALL SELECT rowkey, 'info', 'acctbal', 1, '0' FROM wide WHERE kind = 'supplier'
+  UNION ALL SELECT rowkey, 'info', 'segment', 1, '-' FROM wide WHERE kind = 'supplier')
+GROUP BY rowkey, family, qualifier
+UNION ALL
+SELECT rowkey, family, qualifier, ts, value FROM ({_UPSERTED})
+WHERE rowkey NOT IN (SELECT rowkey FROM wide WHERE kind = 'supplier')
+  AND (qualifier <> 'segment' OR rowkey NOT IN (SELECT rowkey FROM wide WHERE kind = 'customer' AND nationkey = '3'))"""
+
 _PRODUCTS = """
 SELECT p_partkey, replace(p_name, ' ', '_') AS name, CAST(floor(p_retailprice) AS INTEGER) AS price, p_size AS store
 FROM part"""
@@ -190,6 +205,7 @@ ORACLE: dict[str, str] = {
     "ip_geo_range_join": _on_requests("SELECT ip, country, province, city FROM requests"),
     "visit_dedup": _on_visits(f"SELECT {_BARE} FROM visits"),
     "visit_table": _on_visits(f"SELECT rowkey, {_STORED}, day FROM visits"),
+    "visit_upsert": _on_visits(f"SELECT rowkey, {_STORED}, day FROM visits"),
     "visit_scan_projected": _on_visits("SELECT country, province, browsername FROM visits"),
     "visit_cells": _on_visits(_VISIT_CELLS),
     "visits_by_region": _on_visits(
@@ -231,6 +247,9 @@ ORACLE: dict[str, str] = {
     "cells_to_row": _on_wide("SELECT rowkey, segment, acctbal, nationkey, acctbal AS address_acctbal FROM wide"),
     "cell_upsert": _on_wide(_UPSERTED),
     "cell_put_stored": _on_wide(_UPSERTED),
+    "cell_put_runs": _on_wide(_PUTS),
+    "rowkey_get_stored": _on_wide(f"SELECT * FROM ({_PUTS}) WHERE rowkey = 'Supplier#000000001'"),
+    "rowkey_prefix_stored": _on_wide(f"SELECT * FROM ({_PUTS}) WHERE rowkey LIKE 'Customer#00000001%'"),
     "rowkey_get": _on_wide(
         "SELECT rowkey, segment, acctbal, nationkey FROM wide WHERE rowkey = 'Customer#000000042'"
     ),

@@ -26,7 +26,8 @@ from footfall.schemas import (
 )
 from footfall.session import scratch_path
 from footfall.sinks.messages import write_messages
-from footfall.sinks.tables import put_cells, read_cells, read_days, read_family, write_cells, write_days
+from footfall.sinks.tables import fold_cells, put_cells, read_cells, read_days, read_family, upsert_days, write_cells
+from footfall.sinks.tables import write_days
 from footfall.sources.access_log import accepted, parse_lines, rejected, typed_view, with_key
 from footfall.sources.orders import accepted_orders, parse_orders, rejected_orders, to_messages
 from footfall.sources.products import parse_products
@@ -122,6 +123,16 @@ def visit_table(spark, sf_dir):
     return _stored_visits(spark, sf_dir)
 
 
+@query
+def visit_upsert(spark, sf_dir):
+    """Half of the log is loaded, the other half comes late and is merged into the loaded days."""
+    root, ranges = scratch_path(spark, "visits"), derived.ip_ranges(spark, sf_dir)
+    first, late = (derived.access_lines(spark, sf_dir, f"event_id % 2 = {i}") for i in (0, 1))
+    write_days(daily.visits(first, ranges), root, "rowkey")
+    upsert_days(daily.visits(late, ranges), root, daily.merged_visits)
+    return read_days(spark, root, VISIT_SCHEMA)
+
+
 @query
 def visit_scan_projected(spark, sf_dir):
     return _stored_visits(spark, sf_dir).select("country", "province", "browsername")
@@ -147,12 +158,13 @@ def top10_regions(spark, sf_dir):
 
 @query
 def visits_by_browser(spark, sf_dir):
-    return visit_ops.visits_by_browser(_stored_visits(spark, sf_dir))
+    # The count needs no place, so the visits are neither located nor stored.
+    return visit_ops.visits_by_browser(visit_ops.dedup_visits(_requests(spark, sf_dir)))
 
 
 @query
 def visits_by_browser_sql(spark, sf_dir):
-    return visit_ops.visits_by_browser_sql(_stored_visits(spark, sf_dir))
+    return visit_ops.visits_by_browser_sql(visit_ops.dedup_visits(_requests(spark, sf_dir)))
 
 
 @query
@@ -313,6 +325,34 @@ def cell_put_stored(spark, sf_dir):
     return read_cells(spark, root)
 
 
+def _put_table(spark: SparkSession, sf_dir: str) -> str:
+    """A stored cell table after three puts, of which the first two are folded into it."""
+    root = scratch_path(spark, "cell_table")
+    write_cells(derived.customer_cells(spark, sf_dir), root)
+    newer, outdated = derived.later_changes(spark, sf_dir)
+    put_cells(spark, root, derived.cell_changes(spark, sf_dir))
+    put_cells(spark, root, newer)
+    fold_cells(spark, root)
+    put_cells(spark, root, outdated)
+    return root
+
+
+@query
+def cell_put_runs(spark, sf_dir):
+    return read_cells(spark, _put_table(spark, sf_dir))
+
+
+@query
+def rowkey_get_stored(spark, sf_dir):
+    """A row of a stored table, from the files whose span of keys holds it."""
+    return read_cells(spark, _put_table(spark, sf_dir), key="Supplier#000000001")
+
+
+@query
+def rowkey_prefix_stored(spark, sf_dir):
+    return read_cells(spark, _put_table(spark, sf_dir), prefix="Customer#00000001")
+
+
 @query
 def rowkey_get(spark, sf_dir):
     return cell_ops.get_row(derived.wide_rows(spark, sf_dir), "Customer#000000042")
