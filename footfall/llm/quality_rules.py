@@ -1,6 +1,6 @@
 """Quality rules whose thresholds adapt to each language and source.
 
-Every text is measured once. A mergeable sketch of each measure's distribution is kept per (lang, source): counts
+A mergeable sketch of each measure's distribution is kept per (lang, source): counts
 of values rounded down to ``SKETCH_BITS`` leading bits. Such sketches are added up by plain counting, in any order
 and with one result, have at most a few thousand cells however many rows they cover, and give quantiles with a
 relative error under 1 / 2**(SKETCH_BITS - 1). Thresholds are fences read off the sketches and joined back.
@@ -161,7 +161,7 @@ def fences(cells: DataFrame) -> DataFrame:
 
 
 def judged(measured: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
-    """``measured`` (row, m), which is read twice and should be stored, with base_failed and kept."""
+    """``measured`` (row, m), which is read twice, with base_failed and kept."""
     limits = materialize(fences(sketches(measured, lang, source)), "fences").alias("f")
     rows = measured.withColumns(
         {"lang_": F.col("row")[lang], "source_": F.col("row")[source], "base_failed": _failed_base()}
@@ -178,9 +178,11 @@ def _of_struct(value: str) -> str:
 
 
 def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """The documents that are kept, with the columns of ``docs``; they are stored once beside their measures."""
-    measured = materialize(with_measures(docs, text), "measured")
-    return judged(measured, lang, source).where("kept").select("row.*")
+    """The documents that are kept, with the columns of ``docs``.
+
+    Texts are measured twice, for the sketches and for the verdict: a stored copy of them all would be dearer.
+    """
+    return judged(with_measures(docs, text), lang, source).where("kept").select("row.*")
 
 
 def report(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
