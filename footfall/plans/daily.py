@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from footfall.functions.agents import with_agent
 from footfall.functions.keys import visit_key
 from footfall.operators.cells import sort_for_bulk_load, sort_rows_for_bulk_load, to_cells
-from footfall.operators.geo import with_geo
+from footfall.operators.geo_nested import located
 from footfall.operators.visits import browser_stat, dedup_visits, merged_keys, region_stat, storable, unreported, visit_cube
 from footfall.schemas import GEO_COLUMNS, LOG_COLUMNS, VISIT_COLUMNS, VISIT_SCHEMA
 from footfall.session import discard, materialize
@@ -23,7 +23,7 @@ FAMILY = "info"
 
 def log_rows(lines: DataFrame, ranges: DataFrame, tz: str = "UTC") -> DataFrame:
     """Readable lines as located and classed rows, for looking at a log directly."""
-    return with_geo(with_agent(accepted(parse_lines(lines, tz))), ranges).select(*LOG_COLUMNS)
+    return located(with_agent(accepted(parse_lines(lines, tz))), ranges).select(*LOG_COLUMNS)
 
 
 def requests(lines: DataFrame, tz: str = "UTC", day: str | None = None, digest: str = "crc32") -> DataFrame:
@@ -39,7 +39,7 @@ def visits(lines: DataFrame, ranges: DataFrame, tz: str = "UTC", day: str | None
     text. Addresses are looked up after it: the place follows from the address, so it
     neither changes which row wins nor has to travel.
     """
-    return storable(with_geo(dedup_visits(requests(lines, tz, day, digest)), ranges))
+    return storable(located(dedup_visits(requests(lines, tz, day, digest)), ranges))
 
 
 def staged_day(lines: DataFrame, tz: str = "UTC", day: str | None = None, digest: str = "crc32") -> DataFrame:
@@ -85,9 +85,9 @@ def load_day(
         counted = staged.agg(F.count(F.lit(1)).alias("lines"), F.count_if(bad).alias("rejected")).first()
         good = staged.where(~bad).select("rowkey", *BARE_COLUMNS, "day")
         if every_request:
-            every = _in_key_order(storable(with_geo(good, ranges)))
+            every = _in_key_order(storable(located(good, ranges)))
             append_day(every, every_request, day) if add else write_day(every, every_request, day)
-        visits_ = storable(with_geo(dedup_visits(good), ranges))
+        visits_ = storable(located(dedup_visits(good), ranges))
         if add:
             upsert_days(visits_.withColumn("day", F.lit(day)), table, merged_visits)
         else:

@@ -5,6 +5,8 @@ Everything here is a row-by-row projection of a whole table.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,6 +81,33 @@ def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An address per event: every third of IPv6, some that are none."""
+    place, host = "(user_id * 37) % 200", "user_id % 256"
+    v6 = f"concat('2001:DB8:', hex({place}), '::', lower(hex({host})), ':1')"
+    ip = f"CASE WHEN event_id % 101 = 0 THEN '10.1.2' WHEN event_id % 3 = 0 THEN {v6} ELSE concat('10.', {place}, '.', {host}, '.1') END"
+    return events(spark, sf_dir).selectExpr("event_id", f"{ip} AS ip")
+
+
+def nested_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each family: one range of all, one for each nation in it, and one of some hosts in each nation's."""
+    nations, regions = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    named = nations.join(regions, F.col("n_nationkey").isNotNull() & (F.col("n_regionkey") == F.col("r_regionkey")))
+    k = "CAST(n_nationkey AS BIGINT) * 8"
+    own = "r_name AS country, n_name AS province, concat('CITY_', n_nationkey) AS city"
+    inner = "r_name AS country, n_name AS province, concat('INNER_', n_nationkey) AS city"
+    full = ":ffff:ffff:ffff:ffff:ffff"
+    parts = [
+        named.selectExpr(f"concat('10.', {k}, '.0.0') AS lo", f"concat('10.', {k} + 7, '.255.255') AS hi", *own.split(", ", 2)),
+        named.selectExpr(f"concat('10.', {k} + 1, '.0.0') AS lo", f"concat('10.', {k} + 1, '.127.255') AS hi", *inner.split(", ", 2)),
+        named.selectExpr(f"concat('2001:db8:', hex({k}), '::') AS lo", f"concat('2001:db8:', hex({k} + 7), '{full}') AS hi", *own.split(", ", 2)),
+        named.selectExpr(f"concat('2001:db8:', hex({k} + 1), '::') AS lo", f"concat('2001:db8:', hex({k} + 1), '::7f:ffff') AS hi", *inner.split(", ", 2)),
+        regions.where("r_regionkey = 0").selectExpr("'10.0.0.0' AS lo", "'10.255.255.255' AS hi", "'TEN' AS country", "'ALL' AS province", "'ALL' AS city"),
+        regions.where("r_regionkey = 0").selectExpr("'2001:db8::' AS lo", f"'2001:db8:ffff{full}' AS hi", "'SIX' AS country", "'ALL' AS province", "'ALL' AS city"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def order_rows(rows: DataFrame) -> DataFrame:
     """Events as order rows, every field a string; purchases count as paid."""
     paid = F.when(F.col("event_type") == "purchase", F.lit("1")).otherwise(F.lit("0"))

@@ -203,6 +203,17 @@ ORACLE: dict[str, str] = {
     "row_key": _on_keyed("SELECT day, referer, url, ip, ua, rowkey FROM keyed"),
     "ua_classify": _on_requests("SELECT ua, browsername, browserversion, osname, osversion FROM requests"),
     "ip_geo_range_join": _on_requests("SELECT ip, country, province, city FROM requests"),
+    "ip_geo_nested": """
+WITH e AS (SELECT event_id, (user_id * 37) % 200 AS place, user_id % 256 AS host FROM events),
+n AS (SELECT n_nationkey AS nation, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey)
+SELECT event_id, CASE WHEN event_id % 101 = 0 THEN '10.1.2'
+    WHEN event_id % 3 = 0 THEN '2001:DB8:' || printf('%X', place) || '::' || printf('%x', host) || ':1'
+    ELSE '10.' || place || '.' || host || '.1' END AS ip,
+  CASE WHEN event_id % 101 = 0 THEN 'unknown' ELSE coalesce(r_name, CASE WHEN event_id % 3 = 0 THEN 'SIX' ELSE 'TEN' END) END AS country,
+  CASE WHEN event_id % 101 = 0 THEN 'unknown' ELSE coalesce(n_name, 'ALL') END AS province,
+  CASE WHEN event_id % 101 = 0 THEN 'unknown' WHEN nation IS NULL THEN 'ALL'
+    WHEN place % 8 = 1 AND host <= 127 THEN 'INNER_' || nation ELSE 'CITY_' || nation END AS city
+FROM e LEFT JOIN n ON place // 8 = nation""",
     "visit_dedup": _on_visits(f"SELECT {_BARE} FROM visits"),
     "visit_table": _on_visits(f"SELECT rowkey, {_STORED}, day FROM visits"),
     "visit_upsert": _on_visits(f"SELECT rowkey, {_STORED}, day FROM visits"),

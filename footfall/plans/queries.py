@@ -13,6 +13,7 @@ from footfall.operators import order_stats as stats
 from footfall.operators import ordering
 from footfall.operators import visits as visit_ops
 from footfall.operators.geo import with_geo
+from footfall.operators.geo_nested import with_geo_nested
 from footfall.plans import daily, derived
 from footfall.schemas import (
     AGENT_COLUMNS,
@@ -113,6 +114,12 @@ def ip_geo_range_join(spark, sf_dir):
     return with_geo(_parsed(spark, sf_dir).select("ip"), derived.ip_ranges(spark, sf_dir)).select("ip", *GEO_COLUMNS)
 
 
+@query
+def ip_geo_nested(spark, sf_dir):
+    """Addresses of both families in ranges that lie in each other."""
+    return with_geo_nested(derived.visitors(spark, sf_dir), derived.nested_ranges(spark, sf_dir))
+
+
 @query
 def visit_dedup(spark, sf_dir):
     return visit_ops.dedup_visits(_requests(spark, sf_dir))

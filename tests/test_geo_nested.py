@@ -1,0 +1,99 @@
+"""Address keys and nested ranges of both families against the standard library and brute force."""
+
+from __future__ import annotations
+
+import ipaddress
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from footfall.functions.net import ip_key
+from footfall.operators.geo_nested import located, with_geo_nested
+
+RANGES = "lo string, hi string, country string, province string, city string"
+
+
+def key(text):
+    try:
+        address = ipaddress.ip_address((text or "").strip())
+    except ValueError:
+        return None
+    number = int(address) + (0xFFFF << 32 if address.version == 4 else 0)
+    return None if "%" in text else number
+
+
+def test_keys_equal_the_standard_library(spark):
+    r = random.Random(7)
+    pieces = ["0", "1", "ff", "FFFF", "db8", "12345", "g", "", "::", ":", "1.2.3.4", "256.1.1.1", "1.2.3", "%eth0", "01"]
+    texts = ["".join(r.choice(pieces) + r.choice([":", ":", "", "::"]) for _ in range(r.randint(0, 9))) for _ in range(4000)]
+    texts += [":".join(f"{r.randrange(1 << 16):x}" for _ in range(n)) for n in range(1, 11)]
+    texts += [str(ipaddress.ip_address(r.getrandbits(r.choice([32, 64, 128])))) for _ in range(300)]
+    texts += ["::", "::1", "1::", "::ffff:1.2.3.4", "1:2:3:4:5:6:7::", "::2:3:4:5:6:7:8", "1:2:3:4:5:6:1.2.3.4", ":::", "1::2::3", " 1.2.3.4 ", ""]
+    # The library refuses leading zeros of IPv4 parts, which logs may have.
+    texts = [t for t in texts if not any(p.startswith("0") and len(p) > 1 and p.isdigit() for p in t.split(":")[-1].split("."))]
+    rows = spark.createDataFrame([(t,) for t in texts] + [(None,)], "ip string").select("ip", ip_key("ip").alias("key")).collect()
+    for row in rows:
+        expected = key(row.ip)
+        assert row.key == (None if expected is None else f"{expected:032x}"), row.ip
+
+
+def brute(ip, ranges):
+    number = key(ip)
+    held = [(lo, -hi, names) for lo, hi, names in ranges if number is not None and lo <= number <= hi]
+    return max(held)[2] if held else ("unknown",) * 3
+
+
+def drawn(r, n):
+    """Nested and overlapping ranges, crowded in a few blocks, some very wide."""
+    found = []
+    for i in range(n):
+        if r.random() < 0.5:
+            base = (10 << 24) + r.choice([0, 5 << 16, (5 << 16) + (3 << 8)])
+            lo = base + r.randrange(1 << r.choice([2, 8, 12, 18]))
+            bounds = [ipaddress.IPv4Address(x) for x in (lo, min(lo + r.randrange(1 << r.choice([1, 6, 14, 22])), (1 << 32) - 1))]
+        else:
+            base = int(ipaddress.IPv6Address(r.choice(["2001:db8::", "2001:db8:5::", "2001:db8:5:7::", "::"])))
+            lo = base + r.randrange(1 << r.choice([4, 60, 70, 100]))
+            bounds = [ipaddress.IPv6Address(x) for x in (lo, min(lo + r.randrange(1 << r.choice([3, 62, 80, 118])), (1 << 128) - 1))]
+        found.append((str(bounds[0]), str(bounds[1]), f"c{i}", f"p{i}", f"t{i}"))
+    return found
+
+
+@pytest.mark.parametrize("dense, limit", [(256, 1 << 30), (2, 1 << 30), (3, 0)])
+def test_nested_ranges_equal_brute_force(spark, dense, limit):
+    r = random.Random(dense)
+    table = drawn(r, 40)
+    ranges = [(key(lo), key(hi), tuple(names)) for lo, hi, *names in table]
+    numbers = [x + d for lo, hi, _ in ranges for x in (lo, hi, (lo + hi) // 2) for d in (-1, 0, 1)]
+    v4 = 0xFFFF << 32
+    ips = [str(ipaddress.IPv4Address(n - v4)) if v4 <= n < v4 + (1 << 32) else str(ipaddress.IPv6Address(n)) for n in numbers if 0 <= n < 1 << 128]
+    ips += ["::ffff:10.5.3.1", "nothing", "", "8.8.8.8", "10.5.3.9"]
+    rows = spark.createDataFrame(list(enumerate([*ips, None])), "i long, ip string")
+    located_ = with_geo_nested(rows, spark.createDataFrame(table, RANGES), broadcast_bytes=limit, dense=dense).collect()
+    assert len(located_) == len(ips) + 1
+    for row in located_:
+        assert (row.country, row.province, row.city) == brute(row.ip, ranges), row.ip
+
+
+def test_broken_and_empty_tables(spark):
+    rows = spark.createDataFrame([("1.2.3.4",)], "ip string")
+    for lo, hi in (("1.2.3.4", "1.2.3.3"), ("x", "1.2.3.3"), ("1.2.3.4", None)):
+        with pytest.raises(ValueError, match="1 ranges"):
+            with_geo_nested(rows, spark.createDataFrame([(lo, hi, "c", "p", "t")], RANGES))
+    found = with_geo_nested(rows, spark.createDataFrame([], RANGES)).collect()
+    assert [tuple(r) for r in found] == [("1.2.3.4", "unknown", "unknown", "unknown")]
+    assert with_geo_nested(rows.where("false"), spark.createDataFrame([("::", "::1", "c", "p", "t")], RANGES)).collect() == []
+
+
+def test_facts_do_not_move(spark, plan):
+    rows = spark.createDataFrame([("1.2.3.4",)], "ip string")
+    ranges = spark.createDataFrame([("1.0.0.0", "1.255.255.255", "c", "p", "t")], RANGES)
+    text = plan(with_geo_nested(rows, ranges))
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+
+
+def test_number_ranges_still_serve(spark):
+    rows = spark.createDataFrame([("1.2.3.4",)], "ip string")
+    ranges = spark.range(1).select(F.lit(0).alias("lo"), F.lit(1 << 31).alias("hi"), *[F.lit("x").alias(c) for c in ("country", "province", "city")])
+    assert located(rows, ranges).first().city == "x"
