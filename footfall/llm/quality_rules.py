@@ -100,8 +100,12 @@ def _measures(texts: pa.Array) -> pa.Array:
 
 
 def with_measures(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The document as struct ``row`` and its measures as struct ``m``."""
-    return docs.select(F.struct("*").alias("row"), F.col(text).alias("t")).select("row", _measures("t").alias("m"))
+    """The document as struct ``row`` and its measures as struct ``m``.
+
+    The explode of one keeps later filters from measuring again, in Python workers of their own.
+    """
+    each = docs.select(F.struct("*").alias("row"), F.col(text).alias("t"))
+    return each.select("row", F.explode(F.array(_measures("t"))).alias("m"))
 
 
 def _failed_base() -> Column:

@@ -551,3 +551,9 @@ def test_factored_patterns_match_the_same_words():
         pattern = re.compile(spotsigs.factored(words))
         for word in {*words, *("".join(w) for k in range(4) for w in itertools.product("abü", repeat=k))}:
             assert bool(pattern.fullmatch(word)) == (word in words)
+
+
+def test_texts_are_measured_once_a_pass(spark, plan, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for rows in (quality_rules.keep_good(docs), quality_rules.sketches(quality_rules.with_measures(docs))):
+        assert plan(rows).count("ArrowEvalPython") == 1
