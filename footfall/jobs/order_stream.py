@@ -11,7 +11,7 @@ import argparse
 
 from footfall.session import build_session
 from footfall.sources.orders import read_files, read_kafka
-from footfall.streaming.order_stream import start_order_stream, store_lookups
+from footfall.streaming.order_stream import start_order_stream, starting_offsets, store_lookups
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -32,6 +32,7 @@ def main(argv: list[str] | None = None) -> None:
     options.add_argument("--every", default="5 seconds", help="micro-batch interval")
     options.add_argument("--once", action="store_true", help="work off what has arrived, then stop")
     options.add_argument("--watermark", help="reject orders this much older than the newest, such as '2 days'")
+    options.add_argument("--distinct", help="count an order id once within this time of arrival, such as '1 hour'")
     args = options.parse_args(argv)
     if args.brokers and not args.topics:
         options.error("--brokers needs --topics")
@@ -39,11 +40,13 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session("order_stream")
     extra = dict(option.split("=", 1) for option in args.option)
     if args.brokers:
-        messages = read_kafka(spark, args.brokers, args.topics.split(","), starting=args.starting, **extra)
+        # Without a checkpoint, go on where the stored totals end.
+        starting = starting_offsets(spark, args.totals) or args.starting
+        messages = read_kafka(spark, args.brokers, args.topics.split(","), starting=starting, **extra)
     else:
         messages = read_files(spark, args.files, **extra)
     every = None if args.once else args.every
-    query = start_order_stream(messages, args.totals, args.checkpoint, every, args.watermark, rejects=args.rejects)
+    query = start_order_stream(messages, args.totals, args.checkpoint, every, args.watermark, rejects=args.rejects, distinct=args.distinct)
     try:
         query.awaitTermination()
     finally:

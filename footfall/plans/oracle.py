@@ -251,6 +251,8 @@ FROM e LEFT JOIN n ON place // 8 = nation""",
         || '","flag":"' || flag || '","orderid":"' || orderid || '"}' AS value FROM orders_in"""
     ),
     "order_stream_rejects": "SELECT text AS value, 'json' AS reject_reason FROM conversations",
+    "order_stream_windows": _on_orders(_stats("day, hour, minute")),
+    "order_stream_distinct": _on_orders(_ALL_GRAINS),
     "order_stream_totals": _on_orders(_ALL_GRAINS),
     "order_stream_counters": _on_orders(_COUNTERS),
     "order_stream_hash_fields": _on_orders(_HASH_FIELDS),

@@ -32,7 +32,8 @@ from footfall.sinks.tables import write_days
 from footfall.sources.access_log import accepted, parse_lines, rejected, typed_view, with_key
 from footfall.sources.orders import accepted_orders, parse_orders, rejected_orders, to_messages
 from footfall.sources.products import parse_products
-from footfall.streaming.order_stream import read_rejects, read_totals, start_order_stream
+from footfall.streaming.order_stream import read_rejects, read_totals, read_windows, start_order_stream
+from footfall.streaming.order_stream import start_window_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -263,10 +264,10 @@ def order_to_json(spark, sf_dir):
     return spark.read.text(path)
 
 
-def _stream(spark: SparkSession, messages: DataFrame) -> str:
+def _stream(spark: SparkSession, messages: DataFrame, **options) -> str:
     """Work off a stream of messages; returns the folder of totals, with the rejects beside it."""
     root = scratch_path(spark, "totals")
-    start_order_stream(messages, root, scratch_path(spark, "checkpoint"), every=None).awaitTermination()
+    start_order_stream(messages, root, scratch_path(spark, "checkpoint"), every=None, **options).awaitTermination()
     return root
 
 
@@ -290,6 +291,24 @@ def order_stream_rejects(spark, sf_dir):
     return read_rejects(spark, f"{_stream(spark, orders.unionByName(chat))}_rejects")
 
 
+@query
+def order_stream_windows(spark, sf_dir):
+    """Totals per minute that windows in the state store leave behind."""
+    arriving = _arriving(spark, sf_dir, "events", "event[s].parquet")
+    root = scratch_path(spark, "windows")
+    messages = to_messages(derived.order_rows(arriving))
+    start_window_stream(messages, root, scratch_path(spark, "checkpoint"), every=None).awaitTermination()
+    return read_windows(spark, root).drop("batch_id")
+
+
+@query
+def order_stream_distinct(spark, sf_dir):
+    """Every order is sent twice and counted once."""
+    arriving = _arriving(spark, sf_dir, "events", "event[s].parquet")
+    messages = to_messages(derived.order_rows(arriving.unionByName(arriving)))
+    return read_totals(spark, _stream(spark, messages, distinct="1 day"))
+
+
 @query
 def order_stream_totals(spark, sf_dir):
     return _stream_totals(spark, sf_dir)

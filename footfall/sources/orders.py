@@ -25,14 +25,21 @@ def kafka_options(brokers: str, topics: list[str], starting: str = "latest", **e
 
 
 def read_kafka(spark: SparkSession, brokers: str, topics: list[str], **options: str) -> DataFrame:
-    """Streaming message text in column ``value``. Needs the Kafka connector package."""
+    """Streaming message text in column ``value``, with topic partition and offset. Needs the Kafka connector package."""
     source = spark.readStream.format("kafka").options(**kafka_options(brokers, topics, **options))
-    return source.load().select(F.col("value").cast("string").alias("value"))
+    return from_topic(source.load())
+
+
+def from_topic(records: DataFrame) -> DataFrame:
+    """Columns value, source (topic and partition), offset of a topic's records."""
+    place = F.concat_ws("-", "topic", F.col("partition").cast("string"))
+    return records.select(F.col("value").cast("string").alias("value"), place.alias("source"), "offset")
 
 
 def read_files(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """Streaming message text from files that arrive in ``path``, one message a line."""
-    return spark.readStream.format("text").options(**options).load(path)
+    """Streaming message text from files that arrive in ``path``, one message a line; a file is a source read at once."""
+    lines = spark.readStream.format("text").options(**options).load(path)
+    return lines.select("value", F.col("_metadata.file_path").alias("source"), F.lit(0).cast("bigint").alias("offset"))
 
 
 def parse_orders(messages: DataFrame) -> DataFrame:
