@@ -11,7 +11,7 @@ import argparse
 
 from footfall.session import build_session
 from footfall.sources.orders import read_files, read_kafka
-from footfall.streaming.order_stream import start_order_stream, starting_offsets, store_lookups
+from footfall.streaming.order_stream import add_counts, start_order_stream, starting_offsets, store_lookups
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -45,6 +45,7 @@ def main(argv: list[str] | None = None) -> None:
         messages = read_kafka(spark, args.brokers, args.topics.split(","), starting=starting, **extra)
     else:
         messages = read_files(spark, args.files, **extra)
+    add_counts(spark, lambda batch, accepted, rejected: print(f"batch={batch} accepted={accepted} rejected={rejected}"))
     every = None if args.once else args.every
     query = start_order_stream(messages, args.totals, args.checkpoint, every, args.watermark, rejects=args.rejects, distinct=args.distinct)
     try:

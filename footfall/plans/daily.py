@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.functions.agents import with_agent
@@ -42,15 +42,24 @@ def visits(lines: DataFrame, ranges: DataFrame, tz: str = "UTC", day: str | None
     return storable(located(dedup_visits(requests(lines, tz, day, digest)), ranges))
 
 
-def staged_day(lines: DataFrame, tz: str = "UTC", day: str | None = None, digest: str = "crc32") -> DataFrame:
+def staged_day(
+    lines: DataFrame, tz: str = "UTC", day: str | None = None, digest: str = "crc32"
+) -> tuple[DataFrame, dict[str, int]]:
     """Every line, parsed in the one scan of the log, as stored rows: the request's columns or, where it cannot be
-    taken, its text and ``reject_reason``. ``sha2_key`` is the key without collisions, to count those of the key."""
+    taken, its text and ``reject_reason``. ``sha2_key`` is the key without collisions, to count those of the key.
+
+    Lines and rejected ones are counted by the write itself.
+    """
     rows = with_key(with_agent(parse_lines(lines, tz)), day, digest)
     incomplete = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in ("rowkey", *BARE_COLUMNS)])
     reason = F.coalesce("reject_reason", F.when(incomplete, "incomplete"))
     rows = rows.withColumn("sha2_key", visit_key(F.col("day"), "sha2")).withColumn("reject_reason", reason)
     text = F.when(F.col("reject_reason").isNotNull(), F.col("value")).alias("value")
-    return materialize(rows.select("rowkey", *BARE_COLUMNS, "day", "sha2_key", "reject_reason", text), "staged_day")
+    seen = Observation()
+    rows = rows.select("rowkey", *BARE_COLUMNS, "day", "sha2_key", "reject_reason", text)
+    bad = F.count_if(F.col("reject_reason").isNotNull())
+    staged = materialize(rows.observe(seen, F.count(F.lit(1)).alias("lines"), bad.alias("rejected")), "staged_day")
+    return staged, seen.get
 
 
 def merged_visits(stored: DataFrame) -> DataFrame:
@@ -79,10 +88,9 @@ def load_day(
     requests. Reports count visits or requests by the table they read. Returns what was
     counted: lines, accepted, rejected, and merged (visits that the short key hides).
     """
-    staged = staged_day(lines, tz, day, digest)
+    staged, counted = staged_day(lines, tz, day, digest)
     try:
         bad = F.col("reject_reason").isNotNull()
-        counted = staged.agg(F.count(F.lit(1)).alias("lines"), F.count_if(bad).alias("rejected")).first()
         good = staged.where(~bad).select("rowkey", *BARE_COLUMNS, "day")
         if every_request:
             every = _in_key_order(storable(located(good, ranges)))

@@ -228,6 +228,7 @@ FROM e LEFT JOIN n ON place // 8 = nation""",
     ),
     "visits_by_browser": _on_visits("SELECT browsername, count(*) AS cnt FROM visits GROUP BY browsername"),
     "visits_by_browser_sql": _on_visits("SELECT browsername, count(*) AS cnt FROM visits GROUP BY browsername"),
+    "visits_sql": _on_visits("SELECT day, url, count(*) AS cnt, min(formattime) AS first_minute FROM visits GROUP BY day, url"),
     "requests_by_browser": _on_requests("SELECT browsername, count(*) AS cnt FROM requests GROUP BY browsername"),
     "browser_stat": _on_visits(
         "SELECT day, browsername AS browser, count(*) AS cnt FROM visits GROUP BY day, browsername"

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.functions.agents import with_agent
+from footfall.functions.sql import register
 from footfall.operators import cells as cell_ops
 from footfall.operators import order_stats as stats
 from footfall.operators import ordering
@@ -175,6 +176,23 @@ def visits_by_browser_sql(spark, sf_dir):
     return visit_ops.visits_by_browser_sql(visit_ops.dedup_visits(_requests(spark, sf_dir)))
 
 
+@query
+def visits_sql(spark, sf_dir):
+    """Visits per day and page, from the log's lines to the report in SQL text alone."""
+    register(spark, derived.access_lines(spark, sf_dir))
+    return spark.sql(
+        """
+        WITH requests AS (
+          SELECT *, substring(formattime, 1, 8) AS day FROM access_log('UTC') WHERE reject_reason IS NULL),
+        keyed AS (SELECT *, row_key(day, referer, url, ip, ua) AS rowkey FROM requests),
+        ranked AS (
+          SELECT *, row_number() OVER (PARTITION BY day, rowkey ORDER BY formattime DESC, url DESC) AS n FROM keyed),
+        visits AS (SELECT * FROM ranked WHERE n = 1)
+        SELECT day, url, count(*) AS cnt, min(formattime) AS first_minute FROM visits GROUP BY day, url
+        """
+    )
+
+
 @query
 def requests_by_browser(spark, sf_dir):
     """Every request counts, also repeated ones of the same visit."""

@@ -38,7 +38,7 @@ LINE_PATTERN = (
 
 # When all of these hold, the pieces named in parse_lines are the fields.
 # get() and not [], which fails on a short array: common parts are evaluated up front.
-_PLAIN = (
+PLAIN = (
     "size(quoted) >= 9",
     "NOT contains(value, '\\n')",
     # Other white space where the pattern allows none; looked for in the two short pieces.
@@ -59,13 +59,21 @@ _PLAIN = (
 )
 
 # In the order of LINE_FIELDS.
-_PIECES = (
+PIECES = (
     "get(head, 0)", "concat(get(head, 3), ' ', get(head, 4))", "get(request, 0)", "get(request, 1)", "get(request, 2)",
     "get(numbers, 1)", "get(numbers, 2)", "get(quoted, 3)", "get(quoted, 5)", "get(quoted, 7)",
 )
 
 
-def _by_pattern() -> str:
+# The pieces between quotes that hold several fields.
+CUTS = (
+    "split(get(quoted, 0), ' ') AS head",
+    "split(get(quoted, 1), ' ', 3) AS request",
+    "split(get(quoted, 2), ' ') AS numbers",
+)
+
+
+def by_pattern() -> str:
     """SQL: the fields by the layout pattern, or null. No field can hold a line break."""
     groups = "\\n".join(f"${i + 1}" for i in range(len(LINE_FIELDS)))
     cut = f"split(regexp_replace(value, r'{LINE_PATTERN}', '{groups}'), '\\n')"
@@ -78,16 +86,10 @@ def parse_lines(lines: DataFrame, tz: str = "UTC") -> DataFrame:
     A good row has a null ``reject_reason``; a bad one says why, has null fields and
     keeps its text, so one damaged line never fails the job.
     """
-    pieces = lines.selectExpr("value", "split(value, '\"') AS quoted").selectExpr(
-        "value",
-        "quoted",
-        "split(get(quoted, 0), ' ') AS head",
-        "split(get(quoted, 1), ' ', 3) AS request",
-        "split(get(quoted, 2), ' ') AS numbers",
-    )
-    judged = pieces.withColumn("plain", F.expr(f"coalesce({' AND '.join(_PLAIN)}, false)"))
+    pieces = lines.selectExpr("value", "split(value, '\"') AS quoted").selectExpr("value", "quoted", *CUTS)
+    judged = pieces.withColumn("plain", F.expr(f"coalesce({' AND '.join(PLAIN)}, false)"))
     cut = judged.selectExpr(
-        "value", f"CASE WHEN plain THEN array({', '.join(_PIECES)}) ELSE {_by_pattern()} END AS fields"
+        "value", f"CASE WHEN plain THEN array({', '.join(PIECES)}) ELSE {by_pattern()} END AS fields"
     )
     walled = cut.withColumn("wall", wall_clock(log_instant(F.expr("get(fields, 1)")), tz))
     stamped = walled.withColumn("formattime", minute_digits(F.col("wall")))

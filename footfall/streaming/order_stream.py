@@ -31,6 +31,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
 
 from footfall.operators.order_stats import GRAINS, order_stats, roll_up, to_counters, to_hash_fields
@@ -41,6 +42,7 @@ REJECT_SCHEMA = "value string, reject_reason string"
 LEDGER_SCHEMA = "source string, next bigint"
 # The ledger's name for the newest minute of an order, as a number.
 NEWEST = "newest minute"
+COUNTS = "orders"  # the observation of a batch
 
 
 def _fs(spark: SparkSession, text: str):
@@ -269,6 +271,8 @@ def start_order_stream(
     parsed = parse_orders(messages)
     if distinct:
         parsed = distinct_orders(parsed, distinct)
+    wrong = F.col("reject_reason").isNotNull()
+    parsed = parsed.observe(COUNTS, F.count_if(~wrong).alias("accepted"), F.count_if(wrong).alias("rejected"))
     return (
         parsed.writeStream.foreachBatch(batch_writer(root, rejects or _beside(root, "rejects"), compact_every, watermark, ahead, first))
         .option("checkpointLocation", checkpoint)
@@ -320,6 +324,37 @@ def store_lookups(spark: SparkSession, root: str, target: str) -> None:
     to_hash_fields(totals).write.mode("overwrite").parquet(f"{target.rstrip('/')}/hash_fields")
 
 
+class BatchCounts(StreamingQueryListener):
+    """Accepted and rejected messages of each batch of each query, as the one pass over them counts; see ``add_counts``.
+
+    A message that a watermark turns down later counts as accepted here.
+    """
+
+    def __init__(self, note: Callable[[int, int, int], None]):
+        self.note = note
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        counts = event.progress.observedMetrics.get(COUNTS)
+        if counts is not None:
+            self.note(event.progress.batchId, counts["accepted"], counts["rejected"])
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        pass
+
+
+def add_counts(spark: SparkSession, note: Callable[[int, int, int], None]) -> BatchCounts:
+    """Call ``note(batch, accepted, rejected)`` after each batch of the session's order streams."""
+    listener = BatchCounts(note)
+    spark.streams.addListener(listener)
+    return listener
+
+
 def offset_ranges(query: StreamingQuery) -> list[dict]:
     """Start and end offsets of the last finished batch, per source."""
     progress = query.lastProgress

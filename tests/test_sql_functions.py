@@ -1,0 +1,43 @@
+"""The log's functions in SQL text against those of the library."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from footfall.functions.clock import format_time
+from footfall.functions.keys import visit_key
+from footfall.functions.sql import register
+from footfall.sources.access_log import parse_lines
+
+GOOD = '10.0.0.{i} - - [30/Jan/2019:0{h}:00:21 +0{h}00] "GET /{page} HTTP/1.1" 200 10 "h" "-" - "curl/7.1" "-" x'
+LINES = [GOOD.format(i=i, h=i % 9, page=page) for i in range(20) for page in ('a', 'b"c', "é")]
+LINES += ["damaged", "", None, GOOD.format(i=1, h=1, page="x").replace("30/Jan", "31/Feb"), "a\nb", GOOD.format(i=1, h=1, page="x").replace("200", "20")]
+
+
+def test_parsing_in_sql_equals_parse_lines(spark, plan):
+    lines = spark.createDataFrame([(x,) for x in LINES], "value string")
+    register(spark, lines)
+    for zone in ("UTC", "Asia/Shanghai"):
+        found = spark.sql(f"SELECT * FROM access_log('{zone}')")
+        expected = parse_lines(lines, zone)
+        assert found.columns == expected.columns
+        assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, expected.collect()), key=str)
+    assert "Python" not in plan(found)
+
+
+def test_scalar_functions_in_sql(spark):
+    rows = spark.createDataFrame(
+        [("[30/Jan/2019:01:00:21 +0800]", "d", "r", "u", "i", "a"), ("[x]", "d", None, "u", "i", "a"), (None, None, "r", "u", "i", None)],
+        "time string, day string, referer string, url string, ip string, ua string",
+    )
+    register(spark, spark.createDataFrame([], "value string"))
+    rows.createOrReplaceTempView("some_rows")
+    found = spark.sql("SELECT format_time(time, 'Asia/Shanghai') AS t, row_key(day, referer, url, ip, ua) AS k FROM some_rows")
+    expected = rows.select(format_time(F.col("time"), "Asia/Shanghai").alias("t"), visit_key(F.col("day")).alias("k"))
+    assert found.collect() == expected.collect()
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert found.collect() == expected.collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

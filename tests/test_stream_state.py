@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import shutil
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -147,3 +148,18 @@ def test_rejects_are_folded_and_empty_ones_not_written(spark, tmp_path):
     assert sorted(r[0] for r in rejects(spark, tmp_path)) == ["broken", "last", "worse"]
     assert sorted(p.name.split("-")[0] for p in root.iterdir()) == ["batch", "fold", "fold"]
     assert spark.read.parquet(str(root / "fold*")).where(F.col("value") == "worse").count() == 1
+
+
+def test_batches_are_counted_as_they_pass(spark, tmp_path):
+    seen = []
+    listener = o.add_counts(spark, lambda *counts: seen.append(counts))
+    try:
+        arrive(tmp_path / "in", 0, BATCHES[0])
+        arrive(tmp_path / "in", 1, BATCHES[1])
+        run(spark, tmp_path)
+        deadline = time.time() + 20
+        while len(seen) < 2 and time.time() < deadline:
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    assert seen == [(0, 2, 1), (1, 2, 0)]
