@@ -262,6 +262,7 @@ FROM e LEFT JOIN n ON place // 8 = nation""",
     "cell_upsert": _on_wide(_UPSERTED),
     "cell_put_stored": _on_wide(_UPSERTED),
     "cell_put_runs": _on_wide(_PUTS),
+    "cell_table_sql": _on_wide(_PUTS),
     "rowkey_get_stored": _on_wide(f"SELECT * FROM ({_PUTS}) WHERE rowkey = 'Supplier#000000001'"),
     "rowkey_prefix_stored": _on_wide(f"SELECT * FROM ({_PUTS}) WHERE rowkey LIKE 'Customer#00000001%'"),
     "rowkey_get": _on_wide(

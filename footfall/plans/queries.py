@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,10 +27,10 @@ from footfall.schemas import (
     REGION_STAT_SCHEMA,
     VISIT_SCHEMA,
 )
-from footfall.session import scratch_path
+from footfall.session import materialize, scratch_path
 from footfall.sinks.messages import write_messages
-from footfall.sinks.tables import fold_cells, put_cells, read_cells, read_days, read_family, upsert_days, write_cells
-from footfall.sinks.tables import write_days
+from footfall.sinks.tables import create_cell_table, fold_cells, list_families, publish_cells, put_cells, read_cells
+from footfall.sinks.tables import read_days, read_family, upsert_days, write_cells, write_days
 from footfall.sources.access_log import accepted, parse_lines, rejected, typed_view, with_key
 from footfall.sources.orders import accepted_orders, parse_orders, rejected_orders, to_messages
 from footfall.sources.products import parse_products
@@ -386,6 +387,20 @@ def cell_put_runs(spark, sf_dir):
     return read_cells(spark, _put_table(spark, sf_dir))
 
 
+@query
+def cell_table_sql(spark, sf_dir):
+    """The same table by its name in the catalog, in SQL; the catalog keeps no trace of it."""
+    root, name = _put_table(spark, sf_dir), f"cells_{uuid.uuid4().hex}"
+    create_cell_table(spark, name, root, ["info", "address", "unused"])
+    try:
+        publish_cells(spark, name, root)
+        families = list_families(spark).where(F.col("table") == name).select("family")
+        stored = spark.sql(f"SELECT rowkey, family, qualifier, ts, value FROM {name}")
+        return materialize(stored.join(families, "family").select(*CELL_SCHEMA.names), "cell_table")
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
 @query
 def rowkey_get_stored(spark, sf_dir):
     """A row of a stored table, from the files whose span of keys holds it."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -230,15 +231,44 @@ def read_family(spark: SparkSession, root: str, family: str) -> DataFrame:
     return read_cells(spark, root, family)
 
 
+def _name(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def create_cell_table(spark: SparkSession, name: str, root: str, families: list[str]) -> None:
-    """Create a cell table, one partition per family, unless it exists."""
+    """Create a cell table in the catalog, one partition per family, unless it exists."""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} "
         "(rowkey STRING, qualifier STRING, ts BIGINT, value STRING, family STRING) "
-        f"USING parquet PARTITIONED BY (family) LOCATION '{root}'"
+        f"USING parquet PARTITIONED BY (family) LOCATION {_name(root)}"
     )
     for family in families:
-        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION (family = '{family}')")
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION (family = {_name(family)})")
+
+
+def publish_cells(spark: SparkSession, name: str, root: str) -> None:
+    """Make the current version of the cell table at ``root`` what SQL reads under ``name``.
+
+    Puts are folded, then each family's partition is pointed at the version's folder; a family that the version has
+    and the catalog has not is added, one that has no cells any more becomes empty. Families switch one after another,
+    and SQL reads the version named last until this is called again, so call it after each write.
+    """
+    fold_cells(spark, root)
+    version, root = versions.current(spark, root, CELLS), root.rstrip("/")
+    found = {}
+    for file in version.files:
+        folder = file.path.rsplit("/", 1)[0]
+        found[unquote(folder.rsplit("/family=", 1)[1])] = f"{root}/{folder}"
+    listed = {unquote(r.partition.removeprefix("family=")) for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    for family in sorted(listed | found.keys()):
+        place = found.get(family)
+        if place is None:
+            place = f"{root}/no_cells"
+            path, fs = hadoop_path(spark, place)
+            fs.mkdirs(path)
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION (family = {_name(family)}) LOCATION {_name(place)}")
+        spark.sql(f"ALTER TABLE {name} PARTITION (family = {_name(family)}) SET LOCATION {_name(place)}")
+    spark.catalog.refreshTable(name)
 
 
 def list_families(spark: SparkSession) -> DataFrame:
@@ -250,5 +280,5 @@ def list_families(spark: SparkSession) -> DataFrame:
         columns = spark.catalog.listColumns(table.name)
         if any(c.isPartition and c.name == "family" for c in columns):
             for row in spark.sql(f"SHOW PARTITIONS {table.name}").collect():
-                found.append((table.name, row.partition.removeprefix("family=")))
+                found.append((table.name, unquote(row.partition.removeprefix("family="))))
     return spark.createDataFrame(found, "table string, family string")

@@ -235,3 +235,25 @@ def test_many_days_are_listed_by_spark(spark, tmp_path):
     tables.write_days(table_rows(spark, rows), root, "rowkey")
     assert tables.read_days(spark, root, TABLE).count() == 40
     assert tables.read_days(spark, root, TABLE, "d07").count() == 1
+
+
+def test_the_catalog_reads_what_was_written(spark, tmp_path):
+    root = str(tmp_path / "cells")
+    tables.create_cell_table(spark, "people", root, ["info", "address"])
+    try:
+        tables.write_cells(cells(spark, ("anna", "info", "age", 1, "31"), ("anna", "it's 50%", "x", 1, "y")), root)
+        tables.publish_cells(spark, "people", root)
+        named = lambda: found(spark.table("people").select(*CELL_SCHEMA.names))
+        assert named() == found(tables.read_cells(spark, root)) and len(named()) == 2
+        families = {tuple(r) for r in tables.list_families(spark).collect()}
+        assert families == {("people", f) for f in ("info", "address", "it's 50%")}
+        tables.put_cells(spark, root, cells(spark, ("anna", "info", "age", 2, "32"), ("boris", "address", "city", 2, "z")))
+        assert ("anna", "info", "age", 1, "31") in named()  # SQL stays at what was published
+        tables.publish_cells(spark, "people", root)
+        assert named() == found(tables.read_cells(spark, root)) and len(named()) == 3
+        tables.write_cells(cells(spark, ("cy", "info", "age", 3, "1")), root)
+        tables.publish_cells(spark, "people", root)
+        assert named() == [("cy", "info", "age", 3, "1")]
+        assert spark.sql("SELECT value FROM people WHERE family = 'info'").count() == 1
+    finally:
+        spark.sql("DROP TABLE people")
