@@ -68,9 +68,14 @@ def order_minute(text: Column) -> Column:
 
 
 def is_minute(text: Column) -> Column:
-    """Whether the text starts with twelve digits that are a minute of the calendar; false for null."""
+    """Whether the text starts with twelve digits that are a minute of the calendar; false for null.
+
+    By arithmetic: reading the text as a timestamp costs several times as much per order.
+    """
     head = F.substring(text, 1, 12)
     digits = (F.length(head) == 12) & (F.translate(head, "0123456789", "") == "")
-    # Read at a fixed offset: no local hour is skipped there.
-    at = F.try_to_timestamp(F.concat(head, F.lit("+0000")), F.lit("yyyyMMddHHmmZ"))
-    return F.coalesce(digits & at.isNotNull(), F.lit(False))
+    year, month, day, hour, minute = (F.substring(text, at, n).try_cast("int") for at, n in ((1, 4), (5, 2), (7, 2), (9, 2), (11, 2)))
+    leap = (year % 4 == 0) & ((year % 100 != 0) | (year % 400 == 0))
+    days = F.when(month.isin(4, 6, 9, 11), 30).when(month != 2, 31).when(leap, 29).otherwise(28)
+    real = month.between(1, 12) & (day >= 1) & (day <= days) & (hour <= 23) & (minute <= 59)
+    return F.coalesce(digits & real, F.lit(False))

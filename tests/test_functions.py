@@ -6,6 +6,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
+from footfall.functions import clock
 from footfall.functions.agents import with_agent
 from footfall.functions.keys import row_key, visit_key
 from footfall.functions.net import ip_number
@@ -83,3 +84,17 @@ def test_agents(spark):
     rows = with_agent(spark.createDataFrame([(ua,) for ua in AGENTS], "ua string"))
     found = {r.ua: (r.browsername, r.browserversion, r.osname, r.osversion) for r in rows.collect()}
     assert found == AGENTS
+
+
+def test_minutes_of_the_calendar(spark):
+    """Against the formatter that reads timestamps, over all days of months and years of every kind."""
+    texts = [f"{y}{m:02}{d:02}{rest}" for y in ("0000", "1900", "2000", "2023", "2024", "2100", "9999") for m in range(14) for d in range(33) for rest in ("0000", "2359")]
+    texts += [f"20240229{h:02}{m:02}59" for h in (0, 9, 23, 24, 99) for m in (0, 59, 60, 99)]
+    texts += ["2024022900", "20240229000", " 20240229000", "+20240229000", "2024022900.0", "٢٠٢٤٠٢٢٩٠٠٠٠", "", "x", None, "202402290000tail"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    head = F.substring("t", 1, 12)
+    digits = (F.length(head) == 12) & (F.translate(head, "0123456789", "") == "")
+    at = F.try_to_timestamp(F.concat(head, F.lit("+0000")), F.lit("yyyyMMddHHmmZ"))
+    read = F.coalesce(digits & at.isNotNull(), F.lit(False))
+    for row in rows.select("t", clock.is_minute(F.col("t")).alias("a"), read.alias("b")).collect():
+        assert row.a == row.b, row.t
