@@ -1,14 +1,16 @@
 """WARC records and a Merkle fixity audit of two replicas.
 
 Pages are serialised as WARC/1.1 response records in key order; a manifest holds each record's place in the archive
-(position, byte offset, length) and digest. Over a replica's digests, in the order of the manifest's offset ranges, a
-tree is built with ``FANOUT`` children to a node, a level at a time. An audit compares the roots and goes down only
-below nodes that differ, so replicas that agree cost one comparison and damage costs its branches; what is left at the
-bottom are the damaged records.
-
-A replica's records take their position from the manifest by record id, so a lost record damages its own branch and
-does not shift the others. Rows with the same key and address are copies of one record, whose leaf hashes their number
-and all their digests. Defined results: a null page body is an empty payload, null keys come first, a null address is
+(position, byte offset, length) and digest. A tree stands over a replica's records in the order of the manifest: a leaf
+hashes offset, length and digest of its record, a node the places and hashes of its ``FANOUT`` children in order and the
+offset range they cover. An audit compares the roots and goes down only below nodes that differ, so replicas that agree
+cost one comparison and damage costs its branches; what is left at the bottom are the damaged records.
+
+A replica's records take their place in the tree from the kept manifest by record id, so a lost record damages its own
+branch and does not shift the others. Where a replica has a manifest of its own, its offsets are hashed: records whose
+content is right and whose place is not are told, so neither wrong offsets nor another order of the records passes.
+Rows with the same key and address are copies of one record, whose leaf hashes their number and all their digests.
+Defined results: a null page body is an empty payload, null keys come first, a null address is
 an empty one; an empty table gives an empty report; other columns are not read.
 """
 
@@ -64,15 +66,20 @@ def manifest(replica: DataFrame) -> DataFrame:
 
 
 def tree(placed: DataFrame, size: int) -> list[DataFrame]:
-    """Levels (node, hash) from the leaves up to the one root, for (position, hash) of an archive of ``size`` records."""
-    level = materialize(placed.select(F.col("position").alias("node"), "hash"), "leaves")
+    """Levels (node, hash, offset, length) from the leaves up to the one root, for (position, offset, length, hash) of an
+    archive of ``size`` records."""
+    leaf = F.sha2(F.concat_ws("|", F.col("offset").cast("string"), F.col("length").cast("string"), "hash"), 256)
+    level = materialize(placed.select(F.col("position").alias("node"), leaf.alias("hash"), "offset", "length"), "leaves")
     levels = [level]
     while size > 1:
         size = -(-size // FANOUT)
-        children = F.array_sort(F.collect_list(F.struct("node", "hash")))
-        text = F.array_join(F.transform(children, lambda c: F.concat_ws(":", c["node"].cast("string"), c["hash"])), ",")
-        grouped = level.groupBy(F.expr(f"node DIV {FANOUT}").alias("parent")).agg(F.sha2(text, 256).alias("hash"))
-        level = materialize(grouped.select(F.col("parent").alias("node"), "hash"), "nodes")
+        children = F.array_sort(F.collect_list(F.struct("node", "offset", "length", "hash")))
+        one = lambda c: F.concat_ws(":", *[c[x].cast("string") for x in ("node", "offset", "length", "hash")])
+        text = F.array_join(F.transform(children, one), ",")
+        grouped = level.groupBy(F.expr(f"node DIV {FANOUT}").alias("parent")).agg(
+            F.sha2(text, 256).alias("hash"), F.min("offset").alias("offset"), F.sum("length").alias("length")
+        )
+        level = materialize(grouped.select(F.col("parent").alias("node"), "hash", "offset", "length"), "nodes")
         levels.append(level)
     return levels
 
@@ -85,28 +92,34 @@ def mismatches(one: list[DataFrame], other: list[DataFrame]) -> DataFrame:
             below = F.expr(f"node DIV {FANOUT}")
             a = a.join(wanted, below == F.col("bad"), "left_semi")
             b = b.join(wanted, below == F.col("bad"), "left_semi")
-        b = b.select(F.col("node").alias("bad"), F.col("hash").alias("b_hash"))
+        a, b = a.select("node", "hash"), b.select(F.col("node").alias("bad"), F.col("hash").alias("b_hash"))
         differ = a.join(b, F.col("node") == F.col("bad"), "full").where(~F.col("hash").eqNullSafe(F.col("b_hash")))
         wanted = materialize(differ.select(F.coalesce("node", "bad").alias("bad")), "mismatches")
     return wanted
 
 
-def audit(kept: DataFrame, copy: DataFrame) -> DataFrame:
+def audit(kept: DataFrame, copy: DataFrame, copy_book: DataFrame | None = None) -> DataFrame:
     """One row per record of either replica (leaves): key, id, position, offset, length, sha256, status.
 
-    ``status`` is ok, corrupt, missing (from the copy) or extra (only in the copy; no place).
+    ``status`` is ok, corrupt, missing (from the copy), extra (only in the copy; no place) or, with ``copy_book``, the
+    copy's own manifest (id, offset), misplaced: whole, but not where the kept manifest has it.
     """
     book = manifest(kept)
     found = materialize(copy, "copy")
-    placed = found.select("id", "hash").join(book.select("id", "position"), "id")
+    placed = found.select("id", "hash", "length").join(book.select("id", "position", F.col("offset").alias("due")), "id")
+    if copy_book is None:
+        placed = placed.withColumn("offset", F.col("due"))
+    else:
+        placed = placed.join(copy_book.select("id", "offset"), "id", "left")
+    placed = materialize(placed, "placed")
     size = book.count()
     bad = mismatches(tree(book, size), tree(placed, size))
-    there = placed.select("position", F.lit(True).alias("there"))
-    state = bad.join(there, F.col("bad") == F.col("position"), "left").select(
-        "bad", F.when(F.col("there"), "corrupt").otherwise("missing").alias("status")
-    )
+    there = placed.select("position", F.col("hash").alias("copy_hash"))
+    state = bad.join(there, F.col("bad") == F.col("position"), "left").select("bad", "copy_hash", F.col("position").isNotNull().alias("there"))
+    status = F.when(F.col("bad").isNull(), "ok").when(~F.col("there"), "missing")
+    status = status.when(F.col("hash").eqNullSafe(F.col("copy_hash")), "misplaced").otherwise("corrupt")
     mine = book.join(state, F.col("position") == F.col("bad"), "left").select(
-        "key", "id", "position", "offset", "length", "sha256", F.coalesce("status", F.lit("ok")).alias("status")
+        "key", "id", "position", "offset", "length", "sha256", status.alias("status")
     )
     none = F.lit(None).cast("long")
     extra = found.join(book.select("id"), "id", "left_anti").select(

@@ -475,6 +475,26 @@ def test_fixity_audit_finds_the_damage(spark):
     assert [r.status for r in fixity.audit(kept, fixity.leaves(copies)).where("status != 'ok'").collect()] == ["corrupt"]
 
 
+def test_wrong_places_do_not_pass_the_audit(spark):
+    pages = spark.createDataFrame([(i, f"http://x/{i:03}", "b" * (10 + i % 7)) for i in range(300)], "page_id long, url string, html string")
+    kept = fixity.leaves(pages)
+    book = fixity.manifest(kept)
+    assert fixity.audit(kept, kept, book).where("status != 'ok'").count() == 0
+    places = {r.key: (r.id, r.offset, r.length) for r in book.collect()}
+
+    def misplaced(changed):
+        rows = [(i, offset) for i, offset, _ in {**places, **changed}.values()]
+        found = fixity.audit(kept, kept, spark.createDataFrame(rows, "id string, offset long")).where("status != 'ok'")
+        return {r.key: r.status for r in found.collect()}
+
+    # Two records of one length change places, far apart; one offset is wrong; one is not in the copy's manifest.
+    a, b = places[21], places[280]
+    assert a[2] == b[2]
+    assert misplaced({21: (a[0], b[1], a[2]), 280: (b[0], a[1], b[2])}) == {21: "misplaced", 280: "misplaced"}
+    assert misplaced({7: (places[7][0], places[7][1] + 1, 0)}) == {7: "misplaced"}
+    assert misplaced({7: ("another", 5, 0)}) == {7: "misplaced"}
+
+
 def test_running_totals_over_many_partitions(spark):
     rows = spark.range(1000).selectExpr("id", "id % 7 AS v").repartitionByRange(6, "id").sortWithinPartitions("id")
     found = with_running_total(rows, F.col("v"), "before", "place").orderBy("id").collect()
