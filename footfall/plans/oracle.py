@@ -275,6 +275,9 @@ FROM e LEFT JOIN n ON place // 8 = nation""",
     ),
     "family_scan": _on_wide(f"SELECT * FROM ({_cells('wide', 1)}) WHERE family = 'info'"),
     "bulk_cells": _on_wide(_cells("wide", 1)),
+    "bulk_cells_regions": _on_wide(
+        f"SELECT c.*, day FROM ({_cells('wide', 1)}) c, (SELECT unnest(['20240101', '20240102']) AS day)"
+    ),
     "bulk_visit_cells": _on_visits(_VISIT_CELLS),
     "product_sort": (
         "SELECT *, row_number() OVER (ORDER BY price DESC, store DESC, p_partkey) AS position "

@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from footfall.functions.agents import with_agent
 from footfall.functions.sql import register
@@ -29,6 +30,7 @@ from footfall.schemas import (
 )
 from footfall.session import materialize, scratch_path
 from footfall.sinks.messages import write_messages
+from footfall.sinks.regions import load_regions
 from footfall.sinks.tables import create_cell_table, fold_cells, list_families, publish_cells, put_cells, read_cells
 from footfall.sinks.tables import read_days, read_family, upsert_days, write_cells, write_days
 from footfall.sources.access_log import accepted, parse_lines, rejected, typed_view, with_key
@@ -441,6 +443,16 @@ def bulk_cells(spark, sf_dir):
     return spark.read.schema(CELL_SCHEMA).parquet(folder)
 
 
+@query
+def bulk_cells_regions(spark, sf_dir):
+    """Two days loaded into the same regions, the second by the splits that the first left."""
+    root, rows = scratch_path(spark, "region_cells"), derived.wide_rows(spark, sf_dir)
+    for day in ("20240101", "20240102"):
+        load_regions(rows, root, day, derived.FAMILIES, ts=1, most_rows=1000)
+    schema = StructType([*CELL_SCHEMA.fields, StructField("day", StringType())])
+    return read_days(spark, root, schema)
+
+
 @query
 def bulk_visit_cells(spark, sf_dir):
     root = scratch_path(spark, "bulk_visit_cells")

@@ -1,0 +1,85 @@
+"""Bulk loads into kept regions."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from footfall.schemas import CELL_SCHEMA
+from footfall.sinks import regions
+from footfall.sinks.tables import read_days
+
+FAMILIES = {"info": ("a", "b")}
+
+
+def rows(spark, numbers, day="d1"):
+    keys = [(f"{day}_{i * 7919 % 10007:05}", str(i), None if i % 3 else "x") for i in numbers]
+    return spark.createDataFrame(keys, "rowkey string, a string, b string").repartition(5)
+
+
+def spans(spark, folder):
+    """Least and greatest key of each file, without its day, and whether it is in order inside."""
+    cells = spark.read.schema(CELL_SCHEMA).parquet(folder)
+    held = cells.select(F.col("_metadata.file_name").alias("f"), F.monotonically_increasing_id().alias("i"), "rowkey", "qualifier")
+    found = held.groupBy("f").agg(F.sort_array(F.collect_list(F.struct("i", "rowkey", "qualifier"))).alias("r")).collect()
+    out = []
+    for r in found:
+        keys = [(x.rowkey, x.qualifier) for x in r.r]
+        assert keys == sorted(keys)
+        out.append((keys[0][0].split("_")[1], keys[-1][0].split("_")[1]))
+    return sorted(out)
+
+
+def crossing(spans_, points):
+    return [s for s in spans_ if any(s[0] < p <= s[1] for p in points)]
+
+
+def test_loads_share_the_splits_of_the_first(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "t")
+    one = regions.load_regions(rows(spark, range(4000)), root, "d1", FAMILIES, region=regions.WITHOUT_DAY)
+    number, points = regions.splits(spark, root)
+    assert number == 0 and len(points) == 7
+    # Later loads place nothing.
+    monkeypatch.setattr(regions, "_sampled", None)
+    two = regions.load_regions(rows(spark, range(1000, 9000), "d2"), root, "d2", FAMILIES, region=regions.WITHOUT_DAY)
+    assert regions.splits(spark, root) == (0, points)
+    for folder in (one, two):
+        found = spans(spark, folder)
+        assert len(found) == 8 and not crossing(found, points)
+        assert all(a[1] < b[0] for a, b in zip(found, found[1:]))
+    stored = read_days(spark, root, "rowkey string, family string, qualifier string, ts bigint, value string, day string")
+    assert stored.where("qualifier = 'a'").groupBy("day").count().orderBy("day").collect() == [("d1", 4000), ("d2", 8000)]
+
+
+def test_full_regions_are_split_for_the_next_load(spark, tmp_path):
+    root = str(tmp_path / "t")
+    regions.load_regions(rows(spark, range(800)), root, "d1", FAMILIES, region=regions.WITHOUT_DAY, most_rows=150)
+    _, before = regions.splits(spark, root)
+    crowded = rows(spark, range(800), "d2").unionByName(
+        spark.createDataFrame([(f"d2_5x{i:04}", "y", None) for i in range(1000)], "rowkey string, a string, b string")
+    )
+    regions.load_regions(crowded, root, "d2", FAMILIES, region=regions.WITHOUT_DAY, most_rows=150)
+    _, after = regions.splits(spark, root)
+    assert set(before) < set(after) and sum(p.startswith("5x") for p in after) >= 5
+    folder = regions.load_regions(crowded, root, "d3", FAMILIES, region=regions.WITHOUT_DAY, most_rows=10_000)
+    assert not crossing(spans(spark, folder), after) and regions.splits(spark, root)[1] == after
+    counts = spark.read.parquet(folder).where("qualifier = 'a'").groupBy(F.col("_metadata.file_name")).count()
+    assert counts.agg(F.max("count")).first()[0] <= 300
+
+
+def test_a_later_load_has_no_range_exchange(spark, tmp_path, plan):
+    points = ["b", "c"]
+    table = spark.createDataFrame([("a",), ("b",), ("d",), (None,)], "rowkey string")
+    dealt = table.withColumn("n", regions.region_of("rowkey", points)).repartitionById(3, F.col("n"))
+    assert "rangepartitioning" not in plan(dealt).lower()
+    places = {r.rowkey: r.p for r in dealt.select("rowkey", F.spark_partition_id().alias("p")).collect()}
+    assert places == {"a": 0, "b": 1, "d": 2, None: 0}
+
+
+def test_empty_loads_and_dead_writers(spark, tmp_path):
+    root = tmp_path / "t"
+    regions.load_regions(rows(spark, []), str(root), "d1", FAMILIES)
+    assert regions.splits(spark, str(root)) == (0, [])
+    (root / regions.REGIONS / f"{1:012d}").write_text("[")
+    regions.load_regions(rows(spark, range(10)), str(root), "d1", FAMILIES)
+    assert regions.splits(spark, str(root)) == (0, [])
+    assert read_days(spark, str(root), "rowkey string, day string").count() == 14
