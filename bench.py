@@ -24,6 +24,7 @@ HEADLINE = (
     "region_stat", "order_parse_json", "order_stats_day", "order_stats_hour", "order_stats_minute",
     "order_stats_all_grains", "order_counters", "order_hash_fields", "order_stream_totals", "order_stream_rejects", "row_to_cells",
     "cells_to_row", "cell_upsert", "cell_put_stored", "bulk_visit_cells", "rowkey_prefix_scan", "bulk_cells", "product_sort", "product_sort_price",
+    "visit_upsert", "visits_sql", "ip_geo_nested", "cell_put_runs", "rowkey_get_stored", "bulk_cells_regions", "order_stream_windows",
 )
 
 
