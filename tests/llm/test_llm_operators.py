@@ -190,6 +190,19 @@ def test_token_files_round_trip_and_lookup(spark):
         token_files.documents(spark, f"{folder}_x").collect()
 
 
+def test_a_key_of_a_third_of_all_rows_is_spread(spark):
+    texts = [f"text {i}" for i in range(600)] + ["the same"] * 300
+    ids = [*range(300), *[300] * 200, *[None] * 100, *[7] * 300]
+    folder = scratch_path(spark, "files")
+    token_files.write(documents(spark, texts, ids).repartition(4), folder, BYTES)
+    blocks = spark.read.parquet(f"{folder}/blocks").select("part", F.size("keys").alias("n")).groupBy("part").agg(F.sum("n").alias("n"))
+    assert max(r.n for r in blocks.collect()) < 200
+    held = sorted(((r.start, r.key, r.n_tokens) for r in token_files.documents(spark, folder).collect()), key=lambda x: x[0])
+    assert [k for _, k, _ in held] == sorted(ids, key=lambda k: (k is not None, k or 0))
+    assert all(a[0] + a[2] == b[0] for a, b in zip(held, held[1:]))
+    assert token_files.lookup(spark, folder, 7).count() == 301
+
+
 def test_lookup_beside_null_keys(spark):
     texts, ids = ["nobody's", "also nobody's", "one", "two", "two again"], [None, None, 1, 2, 2]
     coder = Tokenizer.from_file(BYTES)
