@@ -7,6 +7,7 @@ from check_oracle import connect, difference
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from footfall.llm.common import WORDS
 from footfall.llm.queries import ORACLE, QUERIES
 from footfall.session import materialize
 
@@ -61,6 +62,42 @@ def test_awkward_tables_have_a_result(spark, folder, name):
     assert QUERIES[name](spark, folder([])).collect() == []
 
 
+LONG = [
+    (1, " ".join(str(i * 7919 % 100_003) for i in range(150_000)), "en", "a", 1),  # a million characters of numbers
+    (2, "short line\n" * 300_000, "en", "a", 1),
+    (3, "word, " * 10 + "a.b@example.com 4111111111111111 4111111111111111 1.2.3.4", None, "b", 1),
+]
+
+
+def test_values_on_awkward_tables(spark, folder):
+    path = folder(AWKWARD + LONG, extra=True)
+    texts = sorted(((i, t) for i, t, *_ in AWKWARD + LONG), key=lambda x: (x[0] is not None, x[0] or 0))
+    words = {(i, len(WORDS.findall(t or ""))) for i, t in texts}
+    mix = QUERIES["op1_pareto_mix"](spark, path).collect()
+    assert {(r.doc_id, r.size) for r in mix} == words
+    assert all(r.taken in (0, r.size, 2 * r.size) for r in mix)
+    files = sorted(QUERIES["op3_zstd_token_files"](spark, path).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in files] == [i for i, _ in texts]
+    assert files[0].start == 0 and all(a.start + a.n_tokens == b.start for a, b in zip(files, files[1:]))
+    pieces = QUERIES["op5_best_fit_packing"](spark, path).collect()
+    assert {(r.doc_id, r.length, r.start) for r in pieces if r.doc_id in (2, 3)} >= {(2, 1, 0), (3, 1, 0)}
+    assert max(r.length for r in pieces) == 4096
+    sets = QUERIES["op6_ngram_jaccard_join"](spark, path).collect()
+    lazy = {r.component_id for r in sets if r.doc_id in (1, 8) and r.n_shingles < 100}
+    assert lazy == {1} and all(r.component_id == r.doc_id for r in sets if not r.n_shingles)
+    found = {(r.doc_id, r.n_email, r.n_ip, r.n_card, r.n_phone) for r in QUERIES["op7_semi_markov_pii"](spark, path).collect()}
+    assert {(3, 1, 1, 0, 0), (None, 1, 0, 0, 1), (7, 0, 1, 0, 0), (2, 0, 0, 0, 0)} <= found
+    shards = QUERIES["op8_hilbert_shards"](spark, path).collect()
+    assert {(r.doc_id, r.size) for r in shards} == {(i, len((t or "").encode()) + 1) for i, t in texts}
+    for shard in range(8):
+        slots = sorted(r.slot for r in shards if r.shard == shard)
+        assert slots == list(range(len(slots))) and len(slots) in (len(texts) // 8, len(texts) // 8 + 1)
+    rules = {(r.doc_id, r.n_words, r.n_dup_lines) for r in QUERIES["op9_quality_rules"](spark, path).collect()}
+    assert {(2, 600_000, 299_999), (1, 150_000, 0), (5, 40_000, 0), (2, 0, 0)} <= rules
+    ranked = QUERIES["op13_lexical_search"](spark, path).collect()
+    assert {r.item_id for r in ranked} == {1, 2, 3, 5, 6, 7, 8, None} and all(r.score > 0 for r in ranked)
+
+
 def test_pipeline_on_awkward_tables(spark, folder):
     for extra in (False, True):
         path = folder(AWKWARD, extra)
