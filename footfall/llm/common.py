@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -32,6 +32,20 @@ def whole(text: str | None) -> str:
     return "" if text is None else text
 
 
+_HELD: dict[str, object] = {}
+
+
+def worker_cache(owner: str, make: Callable[[], object]) -> object:
+    """What a Python worker keeps between tasks, for one owner at a time: what another one kept is let go.
+
+    Workers live on from one operator to the next, so caches that only grew would add up.
+    """
+    if owner not in _HELD:
+        _HELD.clear()
+        _HELD[owner] = make()
+    return _HELD[owner]
+
+
 class Tables:
     """Tables that an operator writes on its way, in the shared folder; each is dropped once nothing reads it.
 

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from footfall.llm.common import WORDS, slices, whole
+from footfall.llm.common import WORDS, slices, whole, worker_cache
 from footfall.session import materialize
 
 SYMBOLS = "#*$%&|<>"
@@ -92,6 +92,7 @@ def measure(text: str) -> tuple[int, ...]:
 
 @F.arrow_udf(SCHEMA)
 def _measures(texts: pa.Array) -> pa.Array:
+    worker_cache("measures", list)  # nothing is kept; what other operators kept goes
     batch, found = pa.record_batch({"t": texts}), []
     for part in slices([batch], "t", SLICE):
         found += [measure(whole(t)) for t in part.column("t").to_pylist()]

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from functools import cache
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 
+from footfall.llm.common import worker_cache
+
 BASE = np.uint64(0xD6E8FEB86659FD93)
 STEP = np.uint64(0x9E3779B97F4A7C15)
 BLOCK = 1 << 20
@@ -20,14 +21,18 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-@cache
-def _block() -> tuple[np.ndarray, np.ndarray]:
-    """Powers 1 to BLOCK of BASE and of its inverse; the only ones that are kept."""
+def _made_block() -> tuple[np.ndarray, np.ndarray]:
+    """Powers 1 to BLOCK of BASE and of its inverse."""
     inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
     with np.errstate(over="ignore"):
         return np.cumprod(np.full(BLOCK, BASE)), np.cumprod(np.full(BLOCK, inverse))
 
 
+def _block() -> tuple[np.ndarray, np.ndarray]:
+    """The only powers that a worker keeps."""
+    return worker_cache("powers", _made_block)
+
+
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers 1 to ``size`` of BASE and of its inverse."""
     if size <= BLOCK:

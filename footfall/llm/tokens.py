@@ -6,15 +6,17 @@ import os
 import re
 import zlib
 from array import array
+from itertools import islice
 from sys import getsizeof
 
 import numpy as np
 from tokenizers import Tokenizer
 
-# Memory for the encoded pieces that a Python worker remembers, and what one takes besides its texts.
-KNOWN_BYTES = 96 << 20
+from footfall.llm.common import worker_cache
+
+# Memory for the encoded pieces that a Python worker remembers, and what one takes besides its text and ids.
+KNOWN_BYTES = 224 << 20
 ENTRY_BYTES = 60
-SEEN = 1 << 20
 
 _BLANKS = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
@@ -33,7 +35,7 @@ class Encoder:
     Texts are cut before every blank between two other characters, where the vocabularies used here never join
     anything (their patterns begin a match there, and no special token holds a blank or takes one in), so each distinct
     piece needs encoding once. Strings of special tokens in a text are those tokens, as by the library's default.
-    Pieces are remembered from their second batch on, in at most ``KNOWN_BYTES`` of memory; others are encoded again.
+    Pieces are remembered in at most ``KNOWN_BYTES`` of memory; later ones are encoded again.
     """
 
     def __init__(self, vocabulary: str):
@@ -44,7 +46,6 @@ class Encoder:
         self.known: dict[str, bytes] = {}
         self.fresh: dict[str, bytes] = {}
         self.room = KNOWN_BYTES
-        self.seen = bytearray(SEEN)
 
     def learn(self, docs: list[list[str]]) -> list[list[bytes]]:
         """Ids of every piece of the documents, in place; see the class for what is remembered."""
@@ -69,17 +70,15 @@ class Encoder:
         return found
 
     def _remember(self) -> None:
-        """Keep what was learned last and was new once before, while there is room."""
-        seen, mask = self.seen, SEEN - 1
-        for piece, coded in self.fresh.items():
-            if self.room <= 0:
-                break
-            place = hash(piece) & mask
-            if seen[place]:
-                self.known[piece] = coded
-                self.room -= getsizeof(piece) + getsizeof(coded) + ENTRY_BYTES
-            else:
-                seen[place] = 1
+        """Keep what was learned last, as far as there is room."""
+        if self.room <= 0:
+            return
+        size = sum(map(getsizeof, self.fresh)) + sum(map(getsizeof, self.fresh.values())) + ENTRY_BYTES * len(self.fresh)
+        kept = self.fresh
+        if size > self.room:
+            kept = dict(islice(kept.items(), int(len(kept) * self.room / size)))
+        self.known.update(kept)
+        self.room -= size
 
     def known_or_coded(self, piece: str) -> bytes:
         """Ids of a piece of the documents that were learned last."""
@@ -96,16 +95,9 @@ class Encoder:
         return np.frombuffer(coded, f"<u{self.width}").astype("<u4")
 
 
-_ENCODER: dict[int, Encoder] = {}
-
-
 def encoder(vocabulary: str) -> Encoder:
-    """The worker's encoder for a vocabulary, given as the text of its file; the one before is let go."""
-    key = zlib.crc32(vocabulary.encode())
-    if key not in _ENCODER:
-        _ENCODER.clear()
-        _ENCODER[key] = Encoder(vocabulary)
-    return _ENCODER[key]
+    """The worker's encoder for a vocabulary, given as the text of its file."""
+    return worker_cache(f"encoder {zlib.crc32(vocabulary.encode())}", lambda: Encoder(vocabulary))
 
 
 def vocabulary(path: str) -> str:

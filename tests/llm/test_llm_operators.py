@@ -18,7 +18,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from footfall.llm import attribution, fixity, hilbert, jaccard_join, mixing, packing, pii, quality_rules, spotsigs
+from footfall.llm import attribution, common, fixity, hilbert, jaccard_join, mixing, packing, pii, quality_rules, spotsigs
 from footfall.llm import shingles as shingles_module
 from footfall.llm import token_files, tokens
 from footfall.llm.common import WORDS, with_running_total
@@ -553,13 +553,13 @@ def test_powers_of_long_texts_and_their_memory(monkeypatch):
     texts = [" ".join(f"w{i}" for i in range(k)) for k in (3, 40, 900)]
     whole, at = shingle_sets(pa.array(texts), 3)
     monkeypatch.setattr(shingles_module, "BLOCK", 16)
-    shingles_module._block.cache_clear()
+    common._HELD.clear()
     try:
         again, places = shingle_sets(pa.array(texts), 3)
         assert (again == whole).all() and (places == at).all()
         assert sum(x.nbytes for x in shingles_module._block()) == 2 * 8 * 16
     finally:
-        shingles_module._block.cache_clear()
+        common._HELD.clear()
 
 
 def test_an_encoder_remembers_in_bounded_memory(monkeypatch):
@@ -571,10 +571,12 @@ def test_an_encoder_remembers_in_bounded_memory(monkeypatch):
         coded = coder.encode(texts)
         assert [coder.ids(c).tolist() for c in coded] == [theirs.encode(t, add_special_tokens=False).ids for t in texts]
     held = sum(map(sys.getsizeof, coder.known)) + sum(map(sys.getsizeof, coder.known.values()))
-    assert 10_000 < held < 21_000
+    assert 10_000 < held < 21_000 and len(coder.known) < 900
     tokens.encoder(tokens.vocabulary(BYTES))
     tokens.encoder(tokens.vocabulary(WORD_PARTS))
-    assert len(tokens._ENCODER) == 1
+    assert len(common._HELD) == 1
+    shingle_sets(pa.array(["one operator's cache at a time"]), 3)
+    assert list(common._HELD) == ["powers"]
 
 
 def test_factored_patterns_match_the_same_words():
