@@ -9,7 +9,7 @@ The dictionary is trained on serialized id arrays of at most ``SAMPLE`` document
 those with the least hash of their key. Everything else covers all documents. Files go to a folder that all executors
 reach, written and read by Spark. Where too few samples exist to train, the samples themselves serve as dictionary.
 
-Defined results: keys ascend, null keys first, ties by the first eight characters and then a hash of the text; null and empty texts are the end id alone; repeated rows
+Defined results: keys ascend, null keys first, ties in the order in which they are read; null and empty texts are the end id alone; repeated rows
 are documents of their own; an empty table gives an empty table. Only key and text are read.
 """
 
@@ -115,10 +115,9 @@ def write(docs: DataFrame, folder: str, path: str, key: str = "doc_id", text: st
         if keys:
             yield block()
 
-    # What follows the key splits a key that very many rows share; the row number splits equal rows.
-    order = [F.col("key").asc_nulls_first(), "start", "hash", "number"]
-    ties = {"start": F.substring("text", 1, 8), "hash": F.xxhash64("text"), "number": F.monotonically_increasing_id()}
-    ranged = docs.withColumns(ties).repartitionByRange(partitions(spark), *order)
+    # The row number splits a key that very many rows share. No text is read to place the ranges.
+    order = [F.col("key").asc_nulls_first(), "number"]
+    ranged = docs.withColumn("number", F.monotonically_increasing_id()).repartitionByRange(partitions(spark), *order)
     ordered = ranged.sortWithinPartitions(*order).select("key", "text")
     ordered.mapInArrow(run, schema).write.option("compression", "none").parquet(f"{folder}/blocks")
 

@@ -7,25 +7,29 @@ import re
 import zlib
 from array import array
 from itertools import islice
-from sys import getsizeof
 
 import numpy as np
 from tokenizers import Tokenizer
 
 from footfall.llm.common import worker_cache
 
-# Memory for the encoded pieces that a Python worker remembers, and what one takes besides its text and ids.
+# Memory for the encoded pieces that a Python worker remembers, and what one takes besides characters and ids.
 KNOWN_BYTES = 224 << 20
-ENTRY_BYTES = 60
+ENTRY_BYTES = 160
 
-_BLANKS = re.compile(r"\s\s")
+# White space besides the blank.
+_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c != " "]
+_ASCII_SPACES = [c for c in _SPACES if c.isascii()]
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 
 
 def pieces_of(text: str) -> list[str]:
     """The text cut before every blank that stands between two characters other than white space."""
-    if "\0" in text or _BLANKS.search(text):
+    if "\0" in text or "  " in text:
         return _CUT.split(text)
+    for c in _ASCII_SPACES if text.isascii() else _SPACES:
+        if c in text and (f" {c}" in text or f"{c} " in text):
+            return _CUT.split(text)
     return text.replace(" ", "\0 ").split("\0")
 
 
@@ -73,7 +77,8 @@ class Encoder:
         """Keep what was learned last, as far as there is room."""
         if self.room <= 0:
             return
-        size = sum(map(getsizeof, self.fresh)) + sum(map(getsizeof, self.fresh.values())) + ENTRY_BYTES * len(self.fresh)
+        # Up to two bytes a character; four in few texts.
+        size = sum(map(len, self.fresh)) * 2 + sum(map(len, self.fresh.values())) + ENTRY_BYTES * len(self.fresh)
         kept = self.fresh
         if size > self.room:
             kept = dict(islice(kept.items(), int(len(kept) * self.room / size)))
