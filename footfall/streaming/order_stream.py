@@ -155,6 +155,15 @@ def compact_rejects(spark: SparkSession, root: str, rejects: str) -> None:
         _fold(spark, rejects, last, spark.read.schema(REJECT_SCHEMA).parquet(*paths), False)
 
 
+def _write_minutes(rows: DataFrame, folder: str) -> None:
+    """Write totals per minute as a file or so for each day.
+
+    They are shuffled once more, few rows, so that each part of the totals is added up in a task of its own: a
+    ``coalesce(1)`` would put all parts into one task, whose memory grows with the number of shuffle partitions.
+    """
+    rows.select(*TOTALS_SCHEMA.names).repartition("day").write.mode("overwrite").parquet(folder)
+
+
 def _at(text: Column) -> Column:
     return F.try_to_timestamp(F.concat(text, F.lit("+0000")), F.lit("yyyyMMddHHmmZ"))
 
@@ -305,8 +314,8 @@ def start_window_stream(
     totals = order_stats(timed, "minute", F.window("at", "1 minute"))
 
     def store(changed: DataFrame, batch_id: int) -> None:
-        rows = changed.withColumn("batch_id", F.lit(batch_id).cast("bigint")).select(*TOTALS_SCHEMA.names)
-        rows.coalesce(1).write.mode("overwrite").parquet(f"{root.rstrip('/')}/batch-{batch_id:012d}")
+        rows = changed.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        _write_minutes(rows, f"{root.rstrip('/')}/batch-{batch_id:012d}")
         if compact_every and batch_id % compact_every == compact_every - 1:
             compact_totals(changed.sparkSession, root, read_windows)
 

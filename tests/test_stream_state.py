@@ -55,6 +55,35 @@ def test_windows_survive_one_wrong_clock_and_folds(spark, tmp_path):
     assert found == {"999901010000": (1, 1, 1), "202401010000": (2, 2, 5), "202401010001": (1, 0, 0)}
 
 
+def tasks_of(spark, group, work):
+    """Numbers of tasks of the stages that ``work`` runs under a job group."""
+    jobs = spark.sparkContext.statusTracker()
+    work()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    stages = [s for j in jobs.getJobIdsForGroup(group()) for s in jobs.getJobInfo(j).stageIds]
+    return [info.numTasks for info in map(jobs.getStageInfo, stages) if info]
+
+
+@pytest.fixture
+def three_parts(spark):
+    """Three shuffle partitions, which stay as they are, as in a stream with a state."""
+    changed = {"spark.sql.shuffle.partitions": "3", "spark.sql.adaptive.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in changed}
+    for key, value in changed.items():
+        spark.conf.set(key, value)
+    yield
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def test_no_task_holds_all_windows_of_the_state(spark, tmp_path, three_parts):
+    arrive(tmp_path / "in", 0, [message(f"202401{d:02}00{m:02}00", 1) for d in (1, 2) for m in range(60)])
+    held = []
+    assert 3 in tasks_of(spark, lambda: str(held[0][0].runId), lambda: held.append(windows(spark, tmp_path)))
+    assert len(held[0][1]) == 120
+
+
 def order(number, fee=1):
     return json.dumps({"time": "20240101090000", "userid": "1", "courseid": "2", "fee": str(fee), "flag": "1", "orderid": number})
 
