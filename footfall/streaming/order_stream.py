@@ -212,9 +212,9 @@ def batch_writer(
                 read.append(good.agg(newest.alias("next")).select(F.lit(NEWEST).alias("source"), "next").where("next IS NOT NULL"))
             if read:
                 ledger = read[0] if len(read) == 1 else read[0].unionByName(read[1])
-                ledger.coalesce(1).write.mode("overwrite").parquet(f"{_beside(root, 'offsets')}/{name}")
+                ledger.repartition(1).write.mode("overwrite").parquet(f"{_beside(root, 'offsets')}/{name}")
             rows = order_stats(good, "minute").withColumn("batch_id", F.lit(number).cast("bigint"))
-            rows.select(*TOTALS_SCHEMA.names).coalesce(1).write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}")
+            _write_minutes(rows, f"{root.rstrip('/')}/{name}")
         finally:
             parsed.unpersist()
         if compact_every and number % compact_every == compact_every - 1:

@@ -84,6 +84,15 @@ def test_no_task_holds_all_windows_of_the_state(spark, tmp_path, three_parts):
     assert len(held[0][1]) == 120
 
 
+def test_no_task_holds_all_totals_of_a_batch(spark, tmp_path, three_parts):
+    arrive(tmp_path / "in", 0, [message(f"202401{d:02}00{m:02}00", 1) for d in (1, 2) for m in range(60)])
+    write = o.batch_writer(str(tmp_path / "totals"), str(tmp_path / "rejects"))
+    batch = o.parse_orders(spark.read.text(str(tmp_path / "in")))
+    spark.sparkContext.setJobGroup("one batch", "one batch")
+    assert 3 in tasks_of(spark, lambda: "one batch", lambda: write(batch, 0))
+    assert o.read_minutes(spark, str(tmp_path / "totals")).count() == 120
+
+
 def order(number, fee=1):
     return json.dumps({"time": "20240101090000", "userid": "1", "courseid": "2", "fee": str(fee), "flag": "1", "orderid": number})
 
