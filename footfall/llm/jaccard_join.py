@@ -40,6 +40,7 @@ HOT_LIMIT = 1 << 20
 QUARTER = np.uint64(1 << 62)
 FILTER_BITS = 24
 SKETCH = 256
+SLICE = 1 << 18  # bytes of text worked on at a time; a task holds some sixty times as many
 
 
 def prefix_size(n: np.ndarray | int, percent: int):
@@ -51,7 +52,7 @@ def _over_texts(docs: DataFrame, schema: str, rows: Callable[..., dict]) -> Data
     names = [part.split()[0] for part in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             found = rows(batch)
             yield pa.RecordBatch.from_arrays([found[name] for name in names], names)
 

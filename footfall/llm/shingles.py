@@ -11,7 +11,7 @@ from footfall.llm.common import worker_cache
 
 BASE = np.uint64(0xD6E8FEB86659FD93)
 STEP = np.uint64(0x9E3779B97F4A7C15)
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:

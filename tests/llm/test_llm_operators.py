@@ -9,6 +9,7 @@ import re
 import resource
 import sys
 import time
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -562,6 +563,49 @@ def test_powers_of_long_texts_and_their_memory(monkeypatch):
         common._HELD.clear()
 
 
+def test_shingles_of_a_batch_take_little_memory():
+    class Docs:
+        def mapInArrow(self, run, schema):
+            return run
+
+    texts = [" ".join(f"w{k}x{i}" for i in range(200)) for k in range(2500)]  # 3 MB
+    batch = pa.record_batch({"id": pa.array(range(len(texts))), "text": pa.array(texts)})
+
+    def rows(part):
+        values, at = shingle_sets(part.column("text"), 5)
+        order, sizes = jaccard_join._prefixes(values, at, 80, np.zeros(0, np.uint64), np.zeros(0, np.uint64))
+        return {"n": pa.array(sizes + 0 * len(order))}
+
+    common._HELD.clear()
+    tracemalloc.start()
+    try:
+        found = [n for part in jaccard_join._over_texts(Docs(), "n long", rows)([batch]) for n in part.column("n").to_pylist()]
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+        common._HELD.clear()
+    assert found == [jaccard_join.prefix_size(196, 80)] * len(texts)
+    assert most < 24 << 20
+
+
+def test_another_owner_gives_memory_back_to_the_system(monkeypatch):
+    asked = []
+
+    class Pool:
+        def release_unused(self):
+            asked.append(dict(common._HELD))
+
+    monkeypatch.setattr(common.pa, "default_memory_pool", Pool)
+    common._HELD.clear()
+    try:
+        common.worker_cache("one", lambda: [1])
+        common.worker_cache("two", lambda: [2])
+        assert common.worker_cache("two", lambda: [3]) == [2]
+    finally:
+        common._HELD.clear()
+    assert asked == [{}, {}]  # once an owner, after what the other kept is gone
+
+
 def test_an_encoder_remembers_in_bounded_memory(monkeypatch):
     monkeypatch.setattr(tokens, "KNOWN_BYTES", 20_000)
     coder = tokens.Encoder(tokens.vocabulary(BYTES))
