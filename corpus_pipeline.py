@@ -19,7 +19,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group whose sets of five-word shingles link at a similarity of 0.8 or more."""
-    return jaccard_join.one_of_each(docs, width=5, percent=80)
+    return jaccard_join.one_of_each(docs, width=5, percent=80, stored=True)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,8 @@ first ``n - ceil(percent * n / 100) + 1`` tokens of each under any one order of
 frequent tokens last, so that passages which many documents share stay out of the prefixes. Classes with the same
 prefix and the same size form a group; prefixes are joined between groups, pairs of groups are filtered by size and by
 the best overlap their prefixes still allow, and only then expanded to their members. Member pairs are filtered once
-more by the overlap that sketches of 256 bytes allow, and what is left is verified on whole sets.
+more by the overlap that sketches of 256 bytes allow, and what is left is verified on whole sets. Classes go by numbers
+given when they are stored, as digests would be most of what the prefix join shuffles.
 
 A token is frequent if it is in at least ``HOT`` documents. Frequencies cover all documents, but in two steps: tokens
 with a hash in the lowest quarter for all documents, the others only for documents whose lowest quarter has too few
@@ -131,7 +132,10 @@ def _overlap_bound(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def class_prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """One row per class: set, n, sketch, key (of size and prefix), prefix (its first tokens, in the join's order)."""
+    """One row per class: set, n, sketch, key (of size and prefix), prefix (its first tokens, in the join's order), rare.
+
+    ``rare`` is the number of tokens in the prefix that are not frequent; they come first.
+    """
     spark = docs.sparkSession
     low = spark.sparkContext.broadcast(_counted(docs, width, lambda values, at: values < QUARTER))
 
@@ -151,16 +155,19 @@ def class_prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
         some = np.flatnonzero(sizes)
         keep = [ordered[at[i] : at[i] + sizes[i]] for i in some]
         joined = np.concatenate(keep) if keep else np.zeros(0, np.uint64)
+        firsts = np.concatenate(([0], np.cumsum(sizes[some])))
+        rare = ~(_is_in(joined, low.value) | _is_in(joined, high.value))
         return {
             "set": pa.array([digest(values[at[i] : at[i + 1]]) for i in some], pa.binary()),
             "n": pa.array(np.diff(at)[some], pa.int64()),
             "sketch": pa.array(_sketches(values, at, some), pa.binary()),
             "key": pa.array([digest(np.append(p, np.uint64(n_))) for p, n_ in zip(keep, np.diff(at)[some])], pa.binary()),
-            "prefix": lists(joined, np.concatenate(([0], np.cumsum(sizes[some])))),
+            "prefix": lists(joined, firsts),
+            "rare": pa.array(np.diff(np.concatenate(([0], np.cumsum(rare)))[firsts]), pa.int64()),
         }
 
-    every = _over_texts(docs, "set binary, n long, sketch binary, key binary, prefix array<long>", rows)
-    return every.groupBy("set").agg(*[F.first(c).alias(c) for c in ("n", "sketch", "key", "prefix")])
+    every = _over_texts(docs, "set binary, n long, sketch binary, key binary, prefix array<long>, rare long", rows)
+    return every.groupBy("set").agg(*[F.first(c).alias(c) for c in ("n", "sketch", "key", "prefix", "rare")])
 
 
 def _needed(percent: int) -> Column:
@@ -197,7 +204,7 @@ def _group_pairs(left: DataFrame, right: DataFrame, percent: int, *more: Column)
 
 
 def _candidate_sets(docs: DataFrame, width: int, wanted: DataFrame, tables: Tables) -> DataFrame:
-    """(set, tokens) of the wanted classes. A bit map of fixed size, 2**FILTER_BITS bits, spares the others the shuffle."""
+    """(class, tokens) of the wanted (class, set). A bit map of fixed size, 2**FILTER_BITS bits, spares the others the shuffle."""
     spark = docs.sparkSession
     place = F.conv(F.hex(F.substring("set", 1, 3)), 16, 10).cast("long")
     marks = (
@@ -224,13 +231,13 @@ def _candidate_sets(docs: DataFrame, width: int, wanted: DataFrame, tables: Tabl
 
     found = _over_texts(docs, "set binary, tokens array<long>", rows)
     once = found.groupBy("set").agg(F.first("tokens").alias("tokens"))
-    return tables.store(once.join(wanted, "set", "left_semi"), "candidates")
+    return tables.store(once.join(wanted, "set").select("class", "tokens"), "candidates")
 
 
 def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Those of the class pairs (a, b) whose sketches leave room for enough overlap."""
     a, b = (
-        classes.select(F.col("set").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"sketch_{x}")) for x in "ab"
+        classes.select(F.col("class").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"sketch_{x}")) for x in "ab"
     )
     bound = _overlap_bound("sketch_a", "sketch_b")
     met = pairs.join(a, "a").join(b, "b").withColumn("most", bound)
@@ -242,9 +249,9 @@ def _verified(
 ) -> DataFrame:
     """Those of the class pairs (a, b) whose whole sets are similar enough."""
     pairs = tables.store(_plausible(pairs, classes, percent), f"plausible_{label}")
-    wanted = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct()
-    sets = _candidate_sets(docs, width, wanted, tables)
-    a, b = (sets.select(F.col("set").alias(x), F.col("tokens").alias(f"tokens_{x}")) for x in "ab")
+    wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
+    sets = _candidate_sets(docs, width, classes.select("class", "set").join(wanted, "class", "left_semi"), tables)
+    a, b = (sets.select(F.col("class").alias(x), F.col("tokens").alias(f"tokens_{x}")) for x in "ab")
     met = pairs.join(a, "a").join(b, "b").withColumn("i", F.size(F.array_intersect("tokens_a", "tokens_b")))
     good = F.expr(f"100 * i >= {percent} * (size(tokens_a) + size(tokens_b) - i)")
     found = tables.store(met.where(good).select("a", "b"), label)
@@ -252,32 +259,42 @@ def _verified(
     return found
 
 
-def links(docs: DataFrame, width: int, percent: int, tables: Tables) -> DataFrame:
-    """Links (a, b) between classes that connect every component of the similarity graph of classes.
+def _postings(reps: DataFrame) -> DataFrame:
+    """(token, group, n, pos, spos) of the prefixes' tokens, but for rare ones that only one group has.
+
+    Tokens that no other prefix has cannot be common; only the others before a place count there. A rare token's list
+    is short, so that its length is counted where the list lies together; frequent tokens are kept unasked.
+    """
+    posted = reps.select(F.col("class").alias("group"), "n", "rare", F.posexplode("prefix").alias("pos", "token"))
+    frequent = F.col("pos") >= F.col("rare")
+    dealt = F.when(frequent, F.col("group")).otherwise(F.lit(-1))  # a frequent token's list stays spread
+    counted = posted.withColumn("others", F.count(F.lit(1)).over(Window.partitionBy("token", dealt)))
+    shared = counted.where(frequent | (F.col("others") > 1))
+    spos = F.row_number().over(Window.partitionBy("group").orderBy("pos"))
+    return shared.select("token", "group", "n", (F.col("pos") + 1).alias("pos"), spos.alias("spos"))
+
+
+def links(docs: DataFrame, width: int, percent: int, tables: Tables) -> tuple[DataFrame, DataFrame]:
+    """(links (a, b) that connect every component of the similarity graph of classes, (class, set) of all classes).
 
-    ``docs`` has columns id, text. Links inside a component that other links already imply may be missing.
+    ``docs`` has a column text. Links inside a component that other links already imply may be missing.
     """
-    classes = tables.store(class_prefixes(docs, width, percent), "classes")
-    grouped = classes.groupBy("key").agg(F.min("set").alias("first"))
-    members = tables.store(classes.select("set", "key").join(grouped, "key").select("set", "first"), "members")
-    reps = classes.join(members.where("set = first"), "set", "left_semi")
-    posted = reps.select(F.col("set").alias("group"), "n", F.posexplode("prefix").alias("pos", "token"))
-    posted = posted.withColumn("pos", F.col("pos") + 1)
-    shared = reps.select(F.explode("prefix").alias("token")).groupBy("token").count().where("count > 1")
-    # Tokens that no other prefix has cannot be common; only the others before a place count there.
-    in_group = Window.partitionBy("group").orderBy("pos")
-    postings = posted.join(shared.drop("count"), "token").withColumn("spos", F.row_number().over(in_group))
-    postings = tables.store(postings, "postings")
+    numbered = class_prefixes(docs, width, percent).withColumn("class", F.monotonically_increasing_id())
+    classes = tables.store(numbered, "classes")
+    grouped = classes.groupBy("key").agg(F.min("class").alias("first"))
+    members = tables.store(classes.select("class", "key").join(grouped, "key").select("class", "first"), "members")
+    reps = classes.join(members.where("class = first"), "class", "left_semi")
+    postings = tables.store(_postings(reps), "postings")
 
     # Hub round: each list with its earliest group, each group's members with its first.
     hubs = postings.groupBy("token").agg(F.min(F.struct("pos", "group", "n", "spos")).alias("h"))
     hubs = tables.store(hubs.select("token", "h.group", "h.n", "h.pos", "h.spos"), "hubs")
     stars = _group_pairs(hubs, postings.select(*hubs.columns), percent)
-    a_members = members.select(F.col("first").alias("b"), F.col("set").alias("other"))
+    a_members = members.select(F.col("first").alias("b"), F.col("class").alias("other"))
     spread = stars.join(a_members, "b").select("a", F.col("other").alias("b"))
-    back = members.select(F.col("first").alias("a"), F.col("set").alias("other"))
+    back = members.select(F.col("first").alias("a"), F.col("class").alias("other"))
     spread = spread.union(stars.join(back, "a").select("b", F.col("other").alias("a"))).union(
-        members.where("set != first").select("first", "set")
+        members.where("class != first").select("first", "class")
     )
     ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
     pairs = tables.store(spread.toDF("a", "b").select(*ordered).distinct(), "hub_pairs")
@@ -286,8 +303,8 @@ def links(docs: DataFrame, width: int, percent: int, tables: Tables) -> DataFram
 
     # Exact round: what may link two components.
     roots = components(found)
-    placed = members.join(roots.select(F.col("node").alias("set"), "root"), "set", "left").select(
-        "set", "first", F.coalesce("root", "set").alias("root")
+    placed = members.join(roots.select(F.col("node").alias("class"), "root"), "class", "left").select(
+        "class", "first", F.coalesce("root", "class").alias("root")
     )
     placed = tables.store(placed, "placed")
     of_group = placed.groupBy("first").agg(F.min("root").alias("root"), F.max("root").alias("top"))
@@ -302,23 +319,25 @@ def links(docs: DataFrame, width: int, percent: int, tables: Tables) -> DataFram
     met = _group_pairs(minority, post.drop("hub_root"), percent, apart)
     mixed = of_group.where("root IS NULL").select(F.col("group").alias("a"), F.col("group").alias("b"))
     met = met.union(mixed)
-    x = placed.select(F.col("first").alias("a"), F.col("set").alias("sa"), F.col("root").alias("ra"))
-    y = placed.select(F.col("first").alias("b"), F.col("set").alias("sb"), F.col("root").alias("rb"))
+    x = placed.select(F.col("first").alias("a"), F.col("class").alias("sa"), F.col("root").alias("ra"))
+    y = placed.select(F.col("first").alias("b"), F.col("class").alias("sb"), F.col("root").alias("rb"))
     rest = met.join(x, "a").join(y, "b").where("ra != rb").select(F.col("sa").alias("a"), F.col("sb").alias("b"))
     rest = rest.select(*ordered).distinct().join(found, ["a", "b"], "left_anti")
     pairs = tables.store(rest, "pairs")
     tables.drop("placed_postings")
     found = found.union(_verified(docs, width, percent, pairs, classes, tables, "links"))
-    tables.drop("classes", "pairs")
-    return found
+    tables.drop("pairs")
+    return found, classes.select("class", "set")
 
 
 def _rooted(docs: DataFrame, width: int, percent: int, tables: Tables) -> tuple[DataFrame, DataFrame]:
     """(sets of ``docs``, (set, root) of every class): classes of one component share a root."""
     sets = tables.store(document_sets(docs, width), "sets")
-    roots = components(links(docs.select("id", "text"), width, percent, tables)).withColumnRenamed("node", "set")
-    classes = sets.where("n > 0").select("set").distinct().join(roots, "set", "left")
-    return sets, tables.store(classes.select("set", F.coalesce("root", "set").alias("root")), "roots")
+    found, classes = links(docs.select("text"), width, percent, tables)
+    rooted = classes.join(components(found).withColumnRenamed("node", "class"), "class", "left")
+    roots = tables.store(rooted.select("set", F.coalesce("root", "class").alias("root")), "roots")
+    tables.drop("classes")
+    return sets, roots
 
 
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -333,18 +352,29 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, key:
     return joined.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), mine.alias("component_id"), "set")
 
 
-def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
+def one_of_each(
+    docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text", stored: bool = False
+) -> DataFrame:
     """The documents with one kept of each component: that with the smallest key (null last), then the first stored.
 
     Documents without a word stay. Rows are known by their place, which a second scan need not give again, so they are
-    stored once together with it, and both the sets and the kept rows come from there.
+    stored once together with it, and both the sets and the kept rows come from there. With ``stored``, ``docs`` is as
+    read from Parquet files that stay; there a file and a row's number in it are the place, and no copy is made.
     """
     tables = Tables(docs.sparkSession)
-    rows = tables.store(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("id")), "rows")
-    texts = rows.select("id", F.col("row")[key].alias("key"), F.col("row")[text].alias("text"))
+    number = F.monotonically_increasing_id()
+    row = F.struct("*").alias("row")
+    if stored:
+        place = F.struct("_metadata.file_path", "_metadata.row_index").alias("place")
+        rows = docs.select(row, place)
+    else:
+        rows = tables.store(docs.select(row, number.alias("place")), "rows")
+        number = F.col("place")
+    texts = rows.select(number.alias("id"), "place", F.col("row")[key].alias("key"), F.col("row")[text].alias("text"))
     sets, roots = _rooted(texts, width, percent, tables)
     first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "id")).alias("first")
     by_set = sets.where("n > 0").groupBy("set").agg(first).join(roots, "set")
     kept = by_set.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.id").alias("id"))
-    kept = tables.store(kept.union(sets.where("n = 0").select("id")), "kept")
-    return rows.join(kept, "id", "left_semi").select("row.*")
+    # Fewer rows go than stay.
+    gone = tables.store(sets.where("n > 0").join(kept, "id", "left_anti").select("place"), "gone")
+    return rows.join(gone, "place", "left_anti").select("row.*")

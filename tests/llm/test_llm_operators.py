@@ -111,6 +111,33 @@ def test_one_of_each_whatever_the_splits(spark):
     assert kept == sorted({root for _, root in brute_components(texts, 5, 80).values()})
 
 
+def test_one_of_each_of_stored_rows_copies_no_text(spark, monkeypatch):
+    texts = [t for t in near_copies(3) if t]
+    path = scratch_path(spark, "docs")
+    docs = documents(spark, texts).union(documents(spark, texts[:9])).withColumn("place", F.lit("own"))
+    docs.repartition(7).write.parquet(path)
+    docs = spark.read.parquet(path)
+    expected = sorted(jaccard_join.one_of_each(docs, 5, 80).collect())
+    columns, store = {}, jaccard_join.Tables.store
+
+    def noted(self, df, label):
+        columns[label] = dict(df.dtypes)
+        return store(self, df, label)
+
+    monkeypatch.setattr(jaccard_join.Tables, "store", noted)
+    assert sorted(jaccard_join.one_of_each(docs, 5, 80, stored=True).collect()) == expected
+    assert not any("row" in c or "text" in c for c in columns.values())
+    # What most of the disk goes to names groups by numbers, not digests.
+    assert columns["postings"] == {"token": "bigint", "group": "bigint", "n": "bigint", "pos": "int", "spos": "int"}
+
+
+def test_postings_drop_rare_tokens_of_one_group(spark):
+    rows = [(1, 20, [5, 6, 9], 2), (2, 21, [7, 6, 8], 2), (3, 22, [4], 1)]
+    reps = spark.createDataFrame(rows, "class long, n long, prefix array<long>, rare long")
+    found = {tuple(r) for r in jaccard_join._postings(reps).collect()}
+    assert found == {(6, 1, 20, 2, 1), (9, 1, 20, 3, 2), (6, 2, 21, 2, 1), (8, 2, 21, 3, 2)}
+
+
 def test_components_of_long_paths(spark):
     links = [(i, i + 1) for i in range(0, 60)] + [(100 + i, 100 + (i * 7 + 3) % 40) for i in range(40)] + [(5, 5)]
     found = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
