@@ -16,6 +16,8 @@ from footfall.llm.common import worker_cache
 # Memory for the encoded pieces that a Python worker remembers, and what one takes besides characters and ids.
 KNOWN_BYTES = 224 << 20
 ENTRY_BYTES = 160
+# Pieces that are encoded as one text.
+JOINED = 256
 
 # White space besides the blank.
 _SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c != " "]
@@ -39,7 +41,8 @@ class Encoder:
     Texts are cut before every blank between two other characters, where the vocabularies used here never join
     anything (their patterns begin a match there, and no special token holds a blank or takes one in), so each distinct
     piece needs encoding once. Strings of special tokens in a text are those tokens, as by the library's default.
-    Pieces are remembered in at most ``KNOWN_BYTES`` of memory; later ones are encoded again.
+    Pieces are remembered in at most ``KNOWN_BYTES`` of memory; later ones are encoded again. Many new pieces are encoded
+    as one text with a special token between them, at which the library cuts before all else.
     """
 
     def __init__(self, vocabulary: str):
@@ -50,6 +53,31 @@ class Encoder:
         self.known: dict[str, bytes] = {}
         self.fresh: dict[str, bytes] = {}
         self.room = KNOWN_BYTES
+        added = self.tokenizer.get_added_tokens_decoder()
+        exact = [n for n, t in added.items() if t.special and not (t.lstrip or t.rstrip or t.single_word or t.normalized)]
+        # A mark's first character tells whether a piece could take part in an added token; see _coded.
+        fit = (m for m in exact if all(added[m].content[0] not in t.content[1:] for t in added.values()))
+        fit = (m for m in fit if not any(t.content.startswith(added[m].content) for n, t in added.items() if n != m))
+        self.mark = next(fit, None)
+        self.between = None if self.mark is None else added[self.mark].content
+
+    def _coded(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of each of the pieces."""
+        joint = [] if self.between is None else [p for p in new if self.between[0] not in p]
+        groups = [joint[i : i + JOINED] for i in range(0, len(joint), JOINED)]
+        found = {}
+        texts = [self.between.join(group) for group in groups]
+        for group, c in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = array(self.code, c.ids)
+            ends = np.flatnonzero(np.frombuffer(ids, self.code) == self.mark).tolist()
+            if len(ends) == len(group) - 1:
+                coded, size = ids.tobytes(), ids.itemsize
+                starts = [0, *[(e + 1) * size for e in ends]]
+                found.update(zip(group, [coded[a : b * size] for a, b in zip(starts, [*ends, len(ids)])]))
+        alone = [p for p in new if p not in found]
+        for piece, c in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
+            found[piece] = array(self.code, c.ids).tobytes()
+        return found
 
     def learn(self, docs: list[list[str]]) -> list[list[bytes]]:
         """Ids of every piece of the documents, in place; see the class for what is remembered."""
@@ -65,9 +93,7 @@ class Encoder:
                     gaps.append((f, at, d[at]))
             except ValueError:
                 continue
-        new = list({piece for _, _, piece in gaps})
-        coded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.fresh = {piece: array(self.code, c.ids).tobytes() for piece, c in zip(new, coded)}
+        self.fresh = self._coded(list({piece for _, _, piece in gaps}))
         for f, at, piece in gaps:
             f[at] = self.fresh[piece]
         self._remember()

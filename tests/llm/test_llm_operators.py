@@ -665,6 +665,28 @@ def test_texts_are_measured_once_a_pass(spark, plan, sf_dir):
         assert plan(rows).count("ArrowEvalPython") == 1
 
 
+@pytest.mark.parametrize("path", [BYTES, WORD_PARTS])
+def test_new_pieces_are_encoded_together(path):
+    theirs = Tokenizer.from_file(path)
+    coder = tokens.Encoder(tokens.vocabulary(path))
+    sizes, encode = [], coder.tokenizer.encode_batch_fast
+
+    class Counted:
+        def encode_batch_fast(self, texts, **more):
+            sizes.append(len(texts))
+            return encode(texts, **more)
+
+    coder.tokenizer = Counted()
+    r = random.Random(41)
+    signs = ["a", "Bc", "1", ".", "\n", "\u0301", "é", "ſ", "\0", "日", "<", "|", ">", "<|endoftext|>", "<|startoftext|>", "<|endof", "text|>", "'", "s"]
+    texts = ["", *[" ".join("".join(r.choices(signs, k=r.randint(1, 5))) for _ in range(r.randint(0, 9))) for _ in range(2000)]]
+    found = [coder.ids(c).tolist() for c in coder.encode(texts)]
+    assert found == [theirs.encode(t, add_special_tokens=False).ids for t in texts]
+    sizes.clear()
+    coder.encode([" ".join(f"new{i}" for i in range(5000))])
+    assert sum(sizes) <= 5000 // tokens.JOINED + 1
+
+
 def test_pieces_are_cut_at_blanks_between_other_characters():
     r = random.Random(31)
     cut = re.compile(r"(?<=\S)(?= \S)")
