@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from footfall.llm import jaccard_join, mixing, packing, pii, quality_rules
 from footfall.session import materialize
 
+# What a worker's encoder remembers: less than where packing runs alone, as the executors have grown in the stages before.
+REMEMBERED = 32 << 20
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -33,7 +36,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece of a training sequence."""
-    return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"), remembered=REMEMBERED)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -29,6 +29,7 @@ from footfall.session import materialize
 CAPACITY = 4096
 END = 1
 GROUP = 16384
+SLICE = 1 << 18  # bytes of text encoded at a time
 
 
 def fullest(counts: dict[int, int], lengths: list[int], room: int) -> list[int]:
@@ -83,14 +84,24 @@ def pack(lengths: list[int], capacity: int = CAPACITY) -> tuple[list[int], list[
     return bins, offsets
 
 
-def pieces(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
-    """(key, piece, start, length, ids_crc32): each document's ids and end id, cut where longer than a sequence."""
+def pieces(
+    docs: DataFrame,
+    path: str,
+    key: str = "doc_id",
+    text: str = "text",
+    capacity: int = CAPACITY,
+    remembered: int | None = None,
+) -> DataFrame:
+    """(key, piece, start, length, ids_crc32): each document's ids and end id, cut where longer than a sequence.
+
+    ``remembered`` bounds what a worker's encoder remembers, in bytes; it changes time and memory, never a row.
+    """
     words = docs.sparkSession.sparkContext.broadcast(vocabulary(path))
     kind = docs.schema[key].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(words.value)
-        for batch in slices(batches, "text"):
+        coder = encoder(words.value, remembered)
+        for batch in slices(batches, "text", SLICE):
             rows, source = [], []
             for i, coded in enumerate(coder.encode([whole(t) for t in batch.column("text").to_pylist()])):
                 ids = np.append(coder.ids(coded), np.uint32(END))
@@ -109,9 +120,16 @@ def pieces(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
     return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, schema)
 
 
-def packed(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
+def packed(
+    docs: DataFrame,
+    path: str,
+    key: str = "doc_id",
+    text: str = "text",
+    capacity: int = CAPACITY,
+    remembered: int | None = None,
+) -> DataFrame:
     """One row per piece: key, piece, start, length, ids_crc32, sequence_id, offset."""
-    cut = pieces(docs, path, key, text, capacity).withColumn("number", F.monotonically_increasing_id())
+    cut = pieces(docs, path, key, text, capacity, remembered).withColumn("number", F.monotonically_increasing_id())
     cut = materialize(cut, "pieces")
     groups = max(1, -(-cut.count() // GROUP))
     dealt = cut.withColumn("group", F.pmod(F.xxhash64("number"), F.lit(groups)))

@@ -13,7 +13,8 @@ from tokenizers import Tokenizer
 
 from footfall.llm.common import worker_cache
 
-# Memory for the encoded pieces that a Python worker remembers, and what one takes besides characters and ids.
+# Memory for the encoded pieces that a Python worker remembers if not told otherwise, and what one takes besides
+# characters and ids.
 KNOWN_BYTES = 224 << 20
 ENTRY_BYTES = 160
 # Pieces that are encoded as one text.
@@ -41,18 +42,19 @@ class Encoder:
     Texts are cut before every blank between two other characters, where the vocabularies used here never join
     anything (their patterns begin a match there, and no special token holds a blank or takes one in), so each distinct
     piece needs encoding once. Strings of special tokens in a text are those tokens, as by the library's default.
-    Pieces are remembered in at most ``KNOWN_BYTES`` of memory; later ones are encoded again. Many new pieces are encoded
-    as one text with a special token between them, at which the library cuts before all else.
+    Pieces are remembered in at most ``remembered`` bytes of memory (``KNOWN_BYTES`` by default); later ones are encoded
+    again. Many new pieces are encoded as one text with a special token between them, at which the library cuts before
+    all else.
     """
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabulary: str, remembered: int | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.code = "H" if self.width == 2 else "I"
         self.known: dict[str, bytes] = {}
         self.fresh: dict[str, bytes] = {}
-        self.room = KNOWN_BYTES
+        self.room = KNOWN_BYTES if remembered is None else remembered
         added = self.tokenizer.get_added_tokens_decoder()
         exact = [n for n, t in added.items() if t.special and not (t.lstrip or t.rstrip or t.single_word or t.normalized)]
         # A mark's first character tells whether a piece could take part in an added token; see _coded.
@@ -126,9 +128,10 @@ class Encoder:
         return np.frombuffer(coded, f"<u{self.width}").astype("<u4")
 
 
-def encoder(vocabulary: str) -> Encoder:
+def encoder(vocabulary: str, remembered: int | None = None) -> Encoder:
     """The worker's encoder for a vocabulary, given as the text of its file."""
-    return worker_cache(f"encoder {zlib.crc32(vocabulary.encode())}", lambda: Encoder(vocabulary))
+    owner = f"encoder {zlib.crc32(vocabulary.encode())} {remembered}"
+    return worker_cache(owner, lambda: Encoder(vocabulary, remembered))
 
 
 def vocabulary(path: str) -> str:

@@ -19,6 +19,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from footfall.llm import attribution, common, fixity, hilbert, jaccard_join, mixing, packing, pii, quality_rules, spotsigs
 from footfall.llm import shingles as shingles_module
 from footfall.llm import token_files, tokens
@@ -650,6 +651,44 @@ def test_an_encoder_remembers_in_bounded_memory(monkeypatch):
     assert list(common._HELD) == ["powers"]
 
 
+def test_the_pipelines_packing_takes_little_memory_of_a_worker(spark, monkeypatch):
+    class Docs:
+        sparkSession = spark
+        schema = spark.createDataFrame([], "doc_id long, text string").schema
+
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    class Asked(Exception):
+        pass
+
+    def asked(*args):
+        raise Asked(args)
+
+    cut = packing.pieces
+    monkeypatch.setattr(packing, "pieces", asked)
+    with pytest.raises(Asked) as caught:
+        corpus_pipeline.packed(spark, Docs(), "")
+    texts = [" ".join(f"w{i}x{k}" for i in range(250)) for k in range(1600)]  # 400,000 pieces
+    batches = [pa.record_batch({"key": pa.array([s]), "text": pa.array([" ".join(texts[s : s + 40])])}) for s in range(0, 1600, 40)]
+    common._HELD.clear()
+    try:
+        found = [r for b in cut(*caught.value.args[0])(iter(batches)) for r in b.to_pylist()]
+        (coder,) = common._HELD.values()
+        held = sum(map(sys.getsizeof, coder.known)) + sum(map(sys.getsizeof, coder.known.values()))
+    finally:
+        common._HELD.clear()
+    assert 0 < held + sys.getsizeof(coder.known) < 36 << 20
+    theirs = Tokenizer.from_file(WORD_PARTS)
+    for row in (found[0], found[-1]):
+        text = next(b["text"][0].as_py() for b in batches if b["key"][0].as_py() == row["key"])
+        ids = [*theirs.encode(text, add_special_tokens=False).ids, packing.END][row["start"] :][: packing.CAPACITY]
+        assert (row["length"], row["ids_crc32"]) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+
+
 def test_factored_patterns_match_the_same_words():
     r = random.Random(21)
     for _ in range(200):
